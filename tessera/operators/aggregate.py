@@ -211,15 +211,15 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     from pyspark.sql import types as T
 
     cols = list(cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)])
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"),
                                                   F.col(c).cast("double").alias("value"))
                                          for c in cols])).alias("kv")).select("kv.*")
-    basic = long.groupBy("column").agg(F.count("value").alias("count"), F.avg("value").alias("mean"),
+    basic = long.groupBy("column_name").agg(F.count("value").alias("count"), F.avg("value").alias("mean"),
                                        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
                                        F.max("value").alias("max"))
-    qs = exact_quantiles(long, "value", [0.25, 0.5, 0.75], by=["column"], prefix="__q")
-    return (basic.join(qs, "column", "left")
-                 .select("column", "count", "mean", "std", "min", F.col("__q0").alias("p25"),
+    qs = exact_quantiles(long, "value", [0.25, 0.5, 0.75], by=["column_name"], prefix="__q")
+    return (basic.join(qs, "column_name", "left")
+                 .select("column_name", "count", "mean", "std", "min", F.col("__q0").alias("p25"),
                          F.col("__q1").alias("p50"), F.col("__q2").alias("p75"), "max"))
 
 
@@ -228,7 +228,7 @@ def profile(df: DataFrame) -> DataFrame:
     counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
     types = dict(df.dtypes)
     return counts.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("non_null"), F.lit(types[c]).alias("dtype"))
+        F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("non_null"), F.lit(types[c]).alias("dtype"))
         for c in df.columns])).alias("r")).select("r.*")
 
 
