@@ -354,4 +354,44 @@ c AS (SELECT 'cut_050' AS model, {_COUNTS} FROM s
              count_if(y = 1 AND p < 0.3), count_if(y <> 1 AND p < 0.3) FROM s),
 w AS (SELECT model, {_ratios()} FROM c)
 UNPIVOT w ON accuracy, precision, recall, f1 INTO NAME metric VALUE value"""
+
+    q["ols"] = """
+SELECT l_returnflag, round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
+       round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept,
+       round(regr_r2(l_extendedprice, l_quantity), 6) AS r2
+FROM lineitem GROUP BY l_returnflag"""
+    q["gd_steps"] = """
+WITH RECURSIVE d AS (SELECT l_quantity / 50 AS x, l_extendedprice / 100000 AS y FROM lineitem),
+s AS (SELECT CAST(count(*) AS DOUBLE) AS m, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(x * y) AS sxy,
+             sum(y * y) AS syy FROM d),
+it(i, b, w) AS (
+  SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE
+  UNION ALL
+  SELECT i + 1, b - 0.1 * (m * b + sx * w - sy) / m, w - 0.1 * (b * sx + sxx * w - sxy) / m
+  FROM it, s WHERE i < 5)
+SELECT i AS iteration, round(b, 8) AS b, round(w, 8) AS w,
+       round((m * b * b + w * sxx * w + syy + 2 * b * (sx * w) - 2 * b * sy - 2 * (w * sxy)) / (2 * m), 8) AS J
+FROM it, s WHERE i >= 1"""
+    q["dbscan"] = """
+WITH RECURSIVE p AS (SELECT c_custkey AS id, c_acctbal / 1000 AS x, c_nationkey * 0.4::DOUBLE AS y FROM customer),
+nb AS (SELECT a.id, b.id AS id2 FROM p a JOIN p b
+       ON (0.0::DOUBLE + (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 0.5625),
+core AS (SELECT id FROM nb GROUP BY id HAVING count(*) >= 20),
+ce AS (SELECT nb.id, nb.id2 FROM nb JOIN core c1 ON nb.id = c1.id JOIN core c2 ON nb.id2 = c2.id),
+reach(id, root) AS (SELECT id, id FROM core UNION SELECT ce.id2, r.root FROM reach r JOIN ce ON r.id = ce.id),
+comp AS (SELECT id, min(root) AS root FROM reach GROUP BY id),
+lab AS (SELECT root, dense_rank() OVER (ORDER BY root) - 1 AS label FROM (SELECT DISTINCT root FROM comp)),
+core_lab AS (SELECT comp.id, lab.label FROM comp JOIN lab ON comp.root = lab.root),
+border AS (SELECT nb.id, min(cl.label) AS label FROM nb JOIN core_lab cl ON nb.id2 = cl.id
+           WHERE nb.id NOT IN (SELECT id FROM core) GROUP BY nb.id)
+SELECT p.id AS c_custkey, CAST(coalesce(cl.label, b.label, -1) AS INTEGER) AS label,
+       p.id IN (SELECT id FROM core) AS is_core
+FROM p LEFT JOIN core_lab cl ON p.id = cl.id LEFT JOIN border b ON p.id = b.id"""
+    q["components"] = """
+WITH RECURSIVE e AS (
+  SELECT DISTINCT a.l_partkey AS src, b.l_partkey AS dst FROM lineitem a JOIN lineitem b
+  ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1 WHERE a.l_partkey <> b.l_partkey),
+s AS (SELECT src AS a, dst AS b FROM e UNION SELECT dst, src FROM e),
+reach(node, root) AS (SELECT DISTINCT a, a FROM s UNION SELECT s.b, r.root FROM reach r JOIN s ON r.node = s.a)
+SELECT node AS part, min(root) AS component FROM reach GROUP BY node"""
     return q
