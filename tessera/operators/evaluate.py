@@ -65,7 +65,7 @@ def roc_auc(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> DataFr
     yy = _c(y)
     per = df.where(_c(score).isNotNull() & yy.isNotNull()).groupBy(*by, _c(score).alias("__s")).agg(
         F.count_if(yy == 1).alias("__p"), F.count_if(yy != 1).alias("__n"))
-    scanned = prefix_scan(per, by, ["__s"], {"__nb": ("sum", F.col("__n"))}, inclusive=False)
+    scanned = prefix_scan(per, by, ["__s"], {"__nb": ("sum", F.col("__n"))}, inclusive=False, materialize=True)
     tot = scanned.groupBy(*by).agg(
         F.sum(F.col("__p") * (F.col("__nb") + F.col("__n") / 2.0)).alias("__num"),
         F.sum("__p").alias("__P"), F.sum("__n").alias("__N"))
@@ -95,8 +95,7 @@ def threshold_sweep(df: DataFrame, y: str, prob: str, thresholds: Sequence[float
     table joined by slot -- no per-threshold job and no pairing of rows with thresholds.
     """
     ts = [float(t) for t in thresholds]
-    arr = F.array(*[F.lit(t) for t in ts])
-    slot = F.size(F.filter(arr, lambda t: t <= _c(prob)))
+    slot = sum(((_c(prob) >= F.lit(t)).cast("int") for t in ts), F.lit(0))
     counts = (df.withColumn("__j", slot).groupBy("__j")
                 .agg(F.count_if(_c(y) == 1).alias("__pos"), F.count_if(_c(y) != 1).alias("__neg")))
     spark = df.sparkSession

@@ -15,6 +15,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import cut_lineage
+
 __all__ = ["prefix_scan", "fill_group_median", "running_bank", "nth_by_order", "deepest_basin",
            "assign_folds", "ordinal"]
 
@@ -66,14 +68,23 @@ def _chunk_expr(df: DataFrame, keys: Sequence[Column], chunks: int, seed: int =
 
 
 def prefix_scan(df: DataFrame, part: Sequence[str], order: Sequence, aggs: Mapping[str, tuple[str, Column]],
-                inclusive: bool = True, reverse: bool = False, chunks: int | None = None) -> DataFrame:
+                inclusive: bool = True, reverse: bool = False, chunks: int | None = None,
+                materialize: bool = False) -> DataFrame:
     """Running aggregates per ``part`` in ``order`` (a total order), added as new columns.
 
     ``aggs`` maps output name -> (op, expression) with op in sum/max/min.
     ``inclusive`` includes the current row; ``reverse`` scans from the end.
     Sums over an empty prefix are 0, max/min are NULL.
+
+    The input is read by two plan branches (rows and chunk summaries).  When it is
+    expensive to recompute (an aggregate, or another scan's output) pass
+    ``materialize=True`` to checkpoint it first, so upstream work runs once.
     """
     part = list(part)
+    if materialize:
+        from tessera.session import cut_lineage
+
+        df = cut_lineage(df)
     spark = df.sparkSession
     chunks = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ocols = [F.col(c) if isinstance(c, str) else c for c in order]
@@ -167,15 +178,17 @@ def deepest_basin(df: DataFrame, series: Sequence[str], order: Sequence[str], h:
     """
     series = list(series)
     hc = F.col(h)
-    a = running_bank(df, series, order, h, chunks=chunks)                          # pos, bank, is_bank
+    # each scan's output is checkpointed: the next scan reads it twice (rows, summaries)
+    src = df.select(*series, *order, h)
+    a = running_bank(src, series, order, h, chunks=chunks)                         # pos, bank, is_bank
     b = prefix_scan(a, series, order,
                     {"rbank": ("max", hc),
                      "next_bank": ("min", F.when(F.col("is_bank"), F.col("pos")))},
-                    inclusive=False, reverse=True, chunks=chunks)
+                    inclusive=False, reverse=True, chunks=chunks, materialize=True)
     b = b.withColumn("is_rbank", F.col("rbank").isNull() | (hc > F.col("rbank")))
     c = prefix_scan(b, series, order, {"prev_rbank": ("max", F.when(F.col("is_rbank"), F.col("pos")))},
-                    inclusive=False, chunks=chunks)
-    c = c.cache()
+                    inclusive=False, chunks=chunks, materialize=True)
+    c = cut_lineage(c)
     fwd = _basins(c, series, h, bank_flag="is_bank", bank_of="bank", other="next_bank", direction=0)
     rev = _basins(c, series, h, bank_flag="is_rbank", bank_of="rbank", other="prev_rbank", direction=1)
     cand = fwd.unionByName(rev).where(F.col("depth") > 0)
