@@ -103,10 +103,13 @@ def prefix_scan(df: DataFrame, part: Sequence[str], order: Sequence, aggs: Mappi
     summary = summary.select(*[F.col(p).alias(f"__p_{p}") for p in part], F.col("__chunk").alias("__c"),
                              *[_OPS[op](F.col(f"__t{i}")).over(before).alias(f"__carry{i}")
                                for i, (_, (op, _)) in enumerate(aggs.items())])
+    # Only the series that runs on from the previous chunk has a carry, so at most
+    # (chunks - 1) summary rows are non-empty: a proven bound, broadcast safely.
+    summary = summary.where(F.col("__carry0").isNotNull())
     cond = F.col("__chunk") == F.col("__c")
     for p in part:
         cond = cond & F.col(p).eqNullSafe(F.col(f"__p_{p}"))
-    joined = local.join(summary, cond, "left")
+    joined = local.join(F.broadcast(summary), cond, "left")
     out = joined.withColumns({name: _combine(op, F.col(f"__carry{i}"), F.col(f"__l{i}"))
                               for i, (name, (op, _)) in enumerate(aggs.items())})
     drop = ["__chunk", "__c", *[f"__p_{p}" for p in part]]

@@ -241,7 +241,7 @@ def cost_history(spark: SparkSession, d: str) -> DataFrame:
                                             (F.col("l_discount") * 10).alias("d"),
                                             (F.col("l_extendedprice") / 100000).alias("y"))
     model = M.LinearRegressionGD(["x", "d"], "y", alpha=0.5, eps=1e-10, max_iter=10000).fit(li)
-    return model.history_frame(spark)
+    return model.history_frame(spark).select("iteration", F.round("J", 10).alias("J"))
 
 
 def kmeans(spark: SparkSession, d: str) -> DataFrame:

@@ -372,6 +372,26 @@ it(i, b, w) AS (
 SELECT i AS iteration, round(b, 8) AS b, round(w, 8) AS w,
        round((m * b * b + w * sxx * w + syy + 2 * b * (sx * w) - 2 * b * sy - 2 * (w * sxy)) / (2 * m), 8) AS J
 FROM it, s WHERE i >= 1"""
+    q["cost_history"] = """
+WITH RECURSIVE d AS (SELECT l_quantity / 50 AS x1, l_discount * 10 AS x2, l_extendedprice / 100000 AS y
+                     FROM lineitem),
+s AS (SELECT CAST(count(*) AS DOUBLE) AS m, sum(x1) AS s1, sum(x2) AS s2, sum(y) AS sy, sum(x1 * x1) AS s11,
+             sum(x1 * x2) AS s12, sum(x2 * x2) AS s22, sum(x1 * y) AS s1y, sum(x2 * y) AS s2y, sum(y * y) AS syy
+      FROM d),
+it(i, b, w1, w2, j, j1, j2) AS (
+  SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, -1.0::DOUBLE, NULL::DOUBLE, NULL::DOUBLE
+  UNION ALL
+  SELECT i + 1, nb, nw1, nw2,
+         (m * nb * nb + (nw1 * nw1 * s11 + 2 * nw1 * nw2 * s12 + nw2 * nw2 * s22) + syy
+          + 2 * nb * (s1 * nw1 + s2 * nw2) - 2 * nb * sy - 2 * (nw1 * s1y + nw2 * s2y)) / (2 * m),
+         j, j1
+  FROM (SELECT it.*, s.*,
+               b - 0.5 * (m * b + s1 * w1 + s2 * w2 - sy) / m AS nb,
+               w1 - 0.5 * (b * s1 + s11 * w1 + s12 * w2 - s1y) / m AS nw1,
+               w2 - 0.5 * (b * s2 + s12 * w1 + s22 * w2 - s2y) / m AS nw2
+        FROM it, s) t
+  WHERE NOT (i >= 3 AND abs(j2 - j1) < 1e-10) AND i <= 10001)
+SELECT CAST(i AS INTEGER) AS iteration, round(j, 10) AS J FROM it WHERE i >= 1"""
     q["dbscan"] = """
 WITH RECURSIVE p AS (SELECT c_custkey AS id, c_acctbal / 1000 AS x, c_nationkey * 0.4::DOUBLE AS y FROM customer),
 nb AS (SELECT a.id, b.id AS id2 FROM p a JOIN p b

@@ -84,7 +84,7 @@ def row_mean_rank(spark: SparkSession, d: str) -> DataFrame:
     top = O.top_k(y, "row_mean", 10, desc=True, tiebreak=["l_orderkey", "l_linenumber"])
     w = Window.orderBy(F.col("row_mean").desc_nulls_last(), "l_orderkey", "l_linenumber")
     return top.select("l_orderkey", "l_linenumber", _r(F.col("row_mean")).alias("row_mean"),
-                      (F.row_number().over(w) - 1).alias("position"))
+                      (F.row_number().over(w) - 1).cast("long").alias("position"))
 
 
 def ratio_argmax(spark: SparkSession, d: str) -> DataFrame:
