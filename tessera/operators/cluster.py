@@ -23,7 +23,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, spread
 
 __all__ = ["components", "dbscan", "kmeans", "elbow", "kmeans_cost_one"]
 
@@ -90,7 +90,7 @@ def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_samp
     ckeys = [f"__c{i}" for i in range(d)]
     pts = df.select(F.col(id_col).alias("id"), *[F.col(c).cast("double").alias(f"__x{i}") for i, c in enumerate(cols)],
                     *cell)
-    pts = cut_lineage(pts)
+    pts = cut_lineage(spread(pts))
     counts = pts.groupBy(*ckeys).agg(F.count(F.lit(1)).alias("__cnt"))
     pts = pts.join(counts, ckeys)
     offs = _offsets(d)
@@ -170,7 +170,7 @@ def elbow(df: DataFrame, ks: Sequence[int], featuresCol: str = "features", seed:
           maxIter: int = 20) -> DataFrame:
     """(k, inertia) for each k on one cached input."""
     spark = df.sparkSession
-    data = df.select(featuresCol).persist()
+    data = spread(df.select(featuresCol)).persist()
     rows = []
     for k in ks:
         cost = kmeans_cost_one(data, featuresCol) if k == 1 else \

@@ -21,7 +21,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, spread
 
 __all__ = ["Binner", "BestFirstTree", "BoostedTrees"]
 
@@ -140,8 +140,8 @@ class BestFirstTree:
     def fit(self, df: DataFrame) -> "BestFirstTree":
         self.binner = Binner(self.featuresCols, self.maxBins).fit(df)
         self.classes = sorted(r[0] for r in df.select(self.labelCol).distinct().collect())
-        data = cut_lineage(self.binner.transform(df.select(*self.featuresCols, self.labelCol))
-                           .select("__bins", self.labelCol))
+        data = cut_lineage(spread(self.binner.transform(df.select(*self.featuresCols, self.labelCol))
+                                  .select("__bins", self.labelCol)))
         root = _Node(0, 0)
         self.nodes = {0: root}
         hist = self._hist(data, [0])
@@ -294,7 +294,7 @@ class BoostedTrees:
             self.base = math.log(mean_y / (1 - mean_y))
         else:
             self.base = float(mean_y)
-        cur = cut_lineage(data.withColumn("__m", F.lit(self.base)))
+        cur = cut_lineage(spread(data.withColumn("__m", F.lit(self.base))))
         best_loss, best_round, since = math.inf, 0, 0
         for rnd in range(1, self.numRounds + 1):
             g, h, _ = self._grad(F.col("__m"), y)
@@ -303,7 +303,11 @@ class BoostedTrees:
             nodes = self._grow(fit_rows)
             self.trees.append(nodes)
             nxt = cur.withColumn("__m", F.col("__m") + _leaf_values(nodes, F.col("__bins")))
-            nxt = cut_lineage(nxt) if rnd % self.checkpointInterval == 0 else nxt.persist()
+            if rnd % self.checkpointInterval == 0:
+                nxt = cut_lineage(nxt)           # eager, reads the still-cached previous margins
+            else:
+                nxt = nxt.persist()
+                nxt.count()                      # materialise before the previous margins are dropped
             cur.unpersist()
             cur = nxt
             if self.validationCol:

@@ -17,7 +17,7 @@ from tessera.operators import features as X
 from tessera.operators import models as M
 from tessera.operators.trees import BestFirstTree, BoostedTrees
 from tessera.plans.inputs import passengers
-from tessera.session import cut_lineage, table
+from tessera.session import cut_lineage, spread, table
 
 DOC_FEATURES = ["log_chars", "log_words", "digit_share", "upper_share", "line_share"]
 
@@ -31,9 +31,10 @@ def _docs(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", "lang", "source", F.col("quality").cast("double").alias("label"),
         F.log1p(F.col("n_chars").cast("double")).alias("log_chars"),
         F.log1p(F.size(F.split("text", r"\s+")).cast("double")).alias("log_words"),
-        (F.length(F.regexp_replace("text", "[^0-9]", "")) / n).alias("digit_share"),
-        (F.length(F.regexp_replace("text", "[^A-Z]", "")) / n).alias("upper_share"),
-        (F.length(F.regexp_replace("text", "[^\n]", "")) / n).alias("line_share"))
+        ((F.length("text") - F.length(F.translate("text", "0123456789", ""))) / n).alias("digit_share"),
+        ((F.length("text") - F.length(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))) / n)
+        .alias("upper_share"),
+        ((F.length("text") - F.length(F.translate("text", "\n", ""))) / n).alias("line_share"))
     # text features are computed once; every later pass reads the small checkpointed table
     feats = cut_lineage(feats)
     return cut_lineage(X.stratified_split(feats, "doc_id", "label", 0.25, seed=42))
@@ -47,7 +48,7 @@ def _doc_matrix(spark: SparkSession, d: str):
     sm = X.Standardizer(cols).fit(dm.transform(train))
     va = VectorAssembler(inputCols=cols, outputCol="features")
     full = va.transform(sm.transform(dm.transform(f)))
-    full = cut_lineage(full.select("doc_id", "label", "is_test", "features", *cols))
+    full = cut_lineage(spread(full.select("doc_id", "label", "is_test", "features", *cols)))
     return full, cols
 
 
@@ -56,7 +57,7 @@ def _emb(spark: SparkSession, d: str) -> DataFrame:
     e = e.select("vec_id", F.col("label").cast("double").alias("label"),
                  array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
                  (F.col("label") >= 5).cast("double").alias("binary"))
-    return X.hash_split(e, "vec_id", 0.25, seed=42)
+    return cut_lineage(spread(X.hash_split(e, "vec_id", 0.25, seed=42)))
 
 
 def logistic(spark: SparkSession, d: str) -> DataFrame:
@@ -141,7 +142,7 @@ def _emb_columns(spark: SparkSession, d: str) -> tuple[DataFrame, list[str]]:
     cols = [f"e{i}" for i in range(64)]
     flat = e.select("vec_id", (F.col("label") >= 5).cast("int").alias("binary"),
                     *[F.get("embedding", i).cast("double").alias(c) for i, c in enumerate(cols)])
-    return X.hash_split(flat, "vec_id", 0.25, seed=42), cols
+    return cut_lineage(spread(X.hash_split(flat, "vec_id", 0.25, seed=42))), cols
 
 
 def boost(spark: SparkSession, d: str) -> DataFrame:

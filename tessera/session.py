@@ -58,6 +58,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when ``df`` has fewer partitions than the cluster's
+    parallelism -- used before data is cached for iterative algorithms (model fits,
+    boosting rounds), so every iteration uses every core.  Large inputs already have
+    enough splits and are left untouched (no extra shuffle)."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one of the shared Parquet tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
