@@ -3,12 +3,10 @@
 * ``components``: large-star / small-star rounds (Kiveris et al., 2014), each a
   grouped ``min`` plus a join; O(log n) rounds; the edge table is checkpointed
   (reliably) every round, so lineage stays short and survives executor loss.
-* ``dbscan``: grid cells of side eps/sqrt(d).  Two points in one cell are always
-  within eps, so a cell's own points are counted, and its cores linked, without
-  forming pairs; only points of *different* nearby cells are paired, and a point
-  in a cell already holding ``min_samples`` points needs no pairing to be core.
-  Cells suit low dimensions (2-3).  Pairs between two crowded neighbouring cells
-  remain; see README for the limit.
+* ``dbscan``: grid cells of side eps/sqrt(d) with sub-cells.  Points of one cell
+  are always within eps, so they are counted and their cores linked without pairs;
+  across cells, whole sub-cells are counted or linked by distance bounds and only
+  boundary sub-cell pairs are checked point by point.  Suits 2-3 dimensions.
 * ``kmeans``/``elbow``: MLlib k-means (k-means||), cost from the training summary;
   k = 1 is the closed form sum |x|^2 - |sum x|^2 / n.
 """
@@ -45,13 +43,14 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst", nodes: Data
         # large star: every neighbour above u points to the smallest of u's neighbourhood
         m = e.groupBy("a").agg(F.min("b").alias("mb")).select("a", F.least("a", "mb").alias("m"))
         large = e.join(m, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = cut_lineage(_sym(large))
+        large = _sym(large).persist()  # read twice below; the round's output is checkpointed
         # small star: u and its smaller neighbours point to the smallest of them
         low = large.where(F.col("b") <= F.col("a"))
         m2 = low.groupBy("a").agg(F.min("b").alias("mb")).select("a", F.least("a", "mb").alias("m"))
         small = (low.join(m2, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                     .unionByName(m2.select("a", F.col("m").alias("b"))))
         small = cut_lineage(_sym(small))
+        large.unpersist()
         # one job: any edge present on one side only means the edge set still moves
         diff = (small.withColumn("__s", F.lit(1)).join(e.withColumn("__e", F.lit(1)), ["a", "b"], "full_outer")
                      .where(F.col("__s").isNull() | F.col("__e").isNull()))
@@ -78,70 +77,136 @@ def _offsets(d: int) -> list[tuple[int, ...]]:
     return out
 
 
-def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_samples: int) -> DataFrame:
+def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_samples: int,
+           sub: int = 4) -> DataFrame:
     """(id, label, is_core).  Neighbourhoods include the point itself and use
     ``distance <= eps``.  Clusters are numbered 0, 1, ... in order of their smallest
     core id; a border point joins the lowest-numbered cluster among its core
-    neighbours; noise is -1."""
+    neighbours; noise is -1.
+
+    Grid cells have side eps/sqrt(d), so all points of one cell are neighbours: a
+    cell holding ``min_samples`` points makes them all core, and the cores of a cell
+    are one node of the cluster graph -- no pairs inside a cell.  Each cell is cut
+    into ``sub``^d sub-cells.  Across cells, work is done on occupied sub-cells:
+    a (point or sub-cell, sub-cell) pair whose farthest distance is within eps counts
+    or links without looking at points, one whose nearest distance is beyond eps is
+    dropped, and only the boundary pairs left are checked point by point.  The
+    bounds use a relative margin of 1e-9 on eps, so the result stays exact.
+    """
     cols = list(cols)
     d = len(cols)
     side = eps / math.sqrt(d) * (1 - 1e-12)  # strictly inside eps even after rounding
-    cell = [F.floor(F.col(c) / side).cast("long").alias(f"__c{i}") for i, c in enumerate(cols)]
-    ckeys = [f"__c{i}" for i in range(d)]
-    pts = df.select(F.col(id_col).alias("id"), *[F.col(c).cast("double").alias(f"__x{i}") for i, c in enumerate(cols)],
-                    *cell)
-    pts = cut_lineage(spread(pts))
-    counts = pts.groupBy(*ckeys).agg(F.count(F.lit(1)).alias("__cnt"))
-    pts = pts.join(counts, ckeys)
-    offs = _offsets(d)
-    # neighbour cells of each point (excluding its own cell)
-    off_arr = F.array(*[F.array(*[F.lit(v) for v in o]) for o in offs])
-    probe_cells = [(F.col(f"__c{i}") + F.get(F.col("__o"), i)).alias(f"__n{i}") for i in range(d)]
-
-    def cross_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-        lp = left.select("id", *[F.col(f"__x{i}") for i in range(d)], F.explode(off_arr).alias("__o"), *ckeys) \
-                 .select("id", *[f"__x{i}" for i in range(d)], *probe_cells)
-        rp = right.select(F.col("id").alias("id2"), *[F.col(f"__x{i}").alias(f"__y{i}") for i in range(d)],
-                          *[F.col(f"__c{i}").alias(f"__n{i}") for i in range(d)])
-        j = lp.join(rp, [f"__n{i}" for i in range(d)])
-        diffs = [F.col(f"__x{i}") - F.col(f"__y{i}") for i in range(d)]
-        dist2 = sum((t * t for t in diffs), F.lit(0.0))
-        return j.where(dist2 <= F.lit(eps * eps)).select("id", "id2")
-
-    # core test: own cell count, plus cross-cell neighbours only for points in small cells
+    t = side / sub
+    lo2, hi2 = (eps * (1 - 1e-9)) ** 2, (eps * (1 + 1e-9)) ** 2
+    X = [f"__x{i}" for i in range(d)]
+    S = [f"__s{i}" for i in range(d)]
+    CC = [f"__c{i}" for i in range(d)]
+    pts = df.select(F.col(id_col).alias("id"), *[F.col(c).cast("double").alias(x) for c, x in zip(cols, X)])
+    pts = pts.select("id", *X, *[F.floor(F.col(x) / t).cast("long").alias(sx) for x, sx in zip(X, S)])
+    pts = pts.select("id", *X, *S, *[F.floor(F.col(sx) / sub).cast("long").alias(c) for sx, c in zip(S, CC)])
+    pts = spread(pts)
+    counts = pts.groupBy(*CC).agg(F.count(F.lit(1)).alias("__cnt"))
+    pts = cut_lineage(pts.join(counts, CC))
+    off_arr = F.array(*[F.array(*[F.lit(v) for v in o]) for o in _offsets(d)])
+
+    def near_subcells(left: DataFrame, keep: list[str], occ: DataFrame, occ_cols: list[str]) -> DataFrame:
+        """Rows of ``left`` x occupied sub-cells ``occ`` lying in the neighbouring cells."""
+        lp = left.select(*keep, *CC, F.explode(off_arr).alias("__o"))
+        lp = lp.select(*keep, *CC, *[(F.col(c) + F.get(F.col("__o"), i)).alias(f"__n{i}") for i, c in enumerate(CC)])
+        rp = occ.select(*[F.col(c).alias(f"__n{i}") for i, c in enumerate(CC)],
+                        *[F.col(sx).alias(f"__t{i}") for i, sx in enumerate(S)], *occ_cols)
+        return lp.join(rp, [f"__n{i}" for i in range(d)])
+
+    def point_box(x: str, b: str):
+        lo, hi = F.col(b) * t, (F.col(b) + 1) * t
+        near = F.greatest(lo - F.col(x), F.lit(0.0), F.col(x) - hi)
+        far = F.greatest(F.abs(F.col(x) - lo), F.abs(F.col(x) - hi))
+        return near * near, far * far
+
+    def point_box_bounds():
+        near2, far2 = F.lit(0.0), F.lit(0.0)
+        for i in range(d):
+            n2, f2 = point_box(X[i], f"__t{i}")
+            near2, far2 = near2 + n2, far2 + f2
+        return near2, far2
+
+    def exact_within(a: list[str], b: list[str]):
+        diffs = [F.col(p) - F.col(q) for p, q in zip(a, b)]
+        return sum((z * z for z in diffs), F.lit(0.0)) <= F.lit(eps * eps)
+
+    def members(frame: DataFrame, prefix: str, extra: list[str]) -> DataFrame:
+        """Points of a sub-cell, keyed by the probe columns __t*."""
+        return frame.select(F.col("id").alias(f"{prefix}id"), *[F.col(x).alias(f"{prefix}{x}") for x in X],
+                            *[F.col(sx).alias(f"__t{i}") for i, sx in enumerate(S)], *extra)
+
+    # ---- core test: own cell count + whole neighbour sub-cells + boundary points
+    occ = pts.groupBy(*S, *CC).agg(F.count(F.lit(1)).alias("__occ"))
     sparse = pts.where(F.col("__cnt") < min_samples)
-    extra = cross_pairs(sparse, pts).groupBy("id").agg(F.count(F.lit(1)).alias("__extra"))
-    core = (pts.join(extra, "id", "left")
-               .withColumn("is_core", (F.col("__cnt") + F.coalesce(F.col("__extra"), F.lit(0))) >= min_samples))
+    cand = near_subcells(sparse, ["id", *X], occ, ["__occ"])
+    near2, far2 = point_box_bounds()
+    cand = cand.withColumns({"__near2": near2, "__far2": far2}).where(F.col("__near2") <= hi2)
+    cand = cand.persist()
+    whole = cand.where(F.col("__far2") <= lo2).groupBy("id").agg(F.sum("__occ").alias("__w"))
+    edge = cand.where(F.col("__far2") > lo2).select("id", *X, *[f"__t{i}" for i in range(d)])
+    q = members(pts, "q_", [])
+    hits = (edge.join(q, [f"__t{i}" for i in range(d)]).where(exact_within(X, [f"q_{x}" for x in X]))
+                .groupBy("id").agg(F.count(F.lit(1)).alias("__e")))
+    core = (pts.join(whole, "id", "left").join(hits, "id", "left")
+               .withColumn("is_core", (F.col("__cnt") + F.coalesce("__w", F.lit(0)) + F.coalesce("__e", F.lit(0)))
+                           >= min_samples)
+               .select("id", *X, *S, *CC, "is_core"))
     core = cut_lineage(core)
     cores = core.where("is_core")
-    # cell nodes: the cores of one cell are connected; link cells through close core pairs
-    cell_id = F.concat_ws(":", *[F.col(k).cast("string") for k in ckeys])
-    core_cells = cores.select("id", cell_id.alias("cell"), *[f"__x{i}" for i in range(d)], *ckeys)
-    links = cross_pairs(cores, cores).where(F.col("id") < F.col("id2"))
-    cell_of = core_cells.select("id", "cell")
-    cell_edges = (links.join(cell_of, "id").withColumnRenamed("cell", "src")
-                       .join(cell_of.withColumnRenamed("id", "id2").withColumnRenamed("cell", "dst"), "id2")
-                       .select("src", "dst").where(F.col("src") != F.col("dst")).distinct())
-    comp = components(cell_edges, nodes=core_cells.select(F.col("cell").alias("node")))
-    core_comp = cell_of.join(comp.withColumnRenamed("node", "cell"), "cell")
-    # number clusters by their smallest core id
+    # ---- cluster graph on cells: link neighbouring cells through their core sub-cells
+    cocc = cores.groupBy(*S, *CC).agg(F.count(F.lit(1)).alias("__k"))
+    sp = near_subcells(cocc.select(*S, *CC), [*S], cocc, [])
+    gaps = [F.abs(F.col(sx) - F.col(f"__t{i}")) for i, sx in enumerate(S)]
+    sp_near2 = sum(((F.greatest(g - 1, F.lit(0)) * t) ** 2 for g in gaps), F.lit(0.0))
+    sp_far2 = sum((((g + 1) * t) ** 2 for g in gaps), F.lit(0.0))
+    cell_a = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(CC)])
+    cell_b = F.struct(*[F.col(f"__n{i}").alias(f"k{i}") for i in range(d)])
+    sp = (sp.withColumns({"__near2": sp_near2, "__far2": sp_far2, "src": cell_a, "dst": cell_b})
+            .where(F.col("__near2") <= hi2))
+    sp = sp.persist()
+    linked = sp.where(F.col("__far2") <= lo2).select("src", "dst").distinct()
+    todo = sp.where(F.col("__far2") > lo2).join(linked, ["src", "dst"], "left_anti")
+    a_pts = cores.select(F.col("id").alias("a_id"), *[F.col(x).alias(f"a_{x}") for x in X],
+                         *[F.col(sx).alias(sx) for sx in S])
+    b_pts = members(cores, "b_", [])
+    found = (todo.select("src", "dst", *S, *[f"__t{i}" for i in range(d)])
+                 .join(a_pts, S).join(b_pts, [f"__t{i}" for i in range(d)])
+                 .where(exact_within([f"a_{x}" for x in X], [f"b_{x}" for x in X]))
+                 .select("src", "dst").distinct())
+    cell_edges = linked.unionByName(found)
+    core_cells = cores.select(cell_a.alias("node")).distinct()
+    comp = components(cell_edges, nodes=core_cells)
+    core_comp = cores.select("id", cell_a.alias("node")).join(comp, "node")
+    # number clusters by their smallest core id (one row per cluster: a small global rank)
     first = core_comp.groupBy("component").agg(F.min("id").alias("__first"))
-    # one row per cluster: a global rank over this small table is cheap
     ranked = first.withColumn("label", F.dense_rank().over(Window.orderBy("__first")) - 1)
-    core_lab = core_comp.join(ranked, "component").select("id", "label")
-    core_lab = cut_lineage(core_lab)
-    # border points: lowest label among core neighbours (same cell or nearby cells)
+    cell_lab = cut_lineage(core_comp.join(ranked, "component").groupBy("node").agg(F.min("label").alias("label")))
+    core_lab = cores.select("id", cell_a.alias("node")).join(cell_lab, "node").select("id", "label")
+    # ---- border points: lowest label among core neighbours (own cell, whole sub-cells, boundary points)
     non_core = core.where(~F.col("is_core"))
-    same_cell = (non_core.select("id", *ckeys)
-                 .join(cores.select(F.col("id").alias("id2"), *ckeys), ckeys).select("id", "id2"))
-    near = cross_pairs(non_core, cores).unionByName(same_cell)
-    border = (near.join(core_lab.withColumnRenamed("id", "id2"), "id2").groupBy("id")
-                  .agg(F.min("label").alias("label")))
+    own = non_core.select("id", cell_a.alias("node")).join(cell_lab, "node").select("id", "label")
+    lab_occ = cocc.select(*S, *CC, cell_a.alias("node")).join(cell_lab, "node").drop("node")
+    bc = near_subcells(non_core, ["id", *X], lab_occ, ["label"])
+    bnear2, bfar2 = point_box_bounds()
+    bc = bc.withColumns({"__near2": bnear2, "__far2": bfar2}).where(F.col("__near2") <= hi2)
+    bc = bc.persist()
+    b_whole = bc.where(F.col("__far2") <= lo2).select("id", "label")
+    c_pts = members(cores.join(core_lab, "id"), "c_", ["label"])
+    b_edge = (bc.where(F.col("__far2") > lo2).select("id", *X, *[f"__t{i}" for i in range(d)])
+                .join(c_pts, [f"__t{i}" for i in range(d)])
+                .where(exact_within(X, [f"c_{x}" for x in X])).select("id", "label"))
+    border = own.unionByName(b_whole).unionByName(b_edge).groupBy("id").agg(F.min("label").alias("label"))
     labels = core_lab.unionByName(border)
-    return (core.select("id", "is_core").join(labels, "id", "left")
-                .select(F.col("id").alias(id_col), F.coalesce(F.col("label"), F.lit(-1)).cast("int").alias("label"),
-                        "is_core"))
+    out = cut_lineage(core.select("id", "is_core").join(labels, "id", "left")
+                      .select(F.col("id").alias(id_col),
+                              F.coalesce(F.col("label"), F.lit(-1)).cast("int").alias("label"), "is_core"))
+    for tmp in (cand, sp, bc):
+        tmp.unpersist()
+    return out
 
 
 def kmeans(df: DataFrame, k: int, featuresCol: str = "features", seed: int = 0, maxIter: int = 20):

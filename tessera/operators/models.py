@@ -234,7 +234,7 @@ def svm_rbf(dim_in: int, C: float = 1.0, n: int = 1, gamma: float = 0.1, n_featu
             seed: int = 0) -> Pipeline:
     """M5: RBF-kernel SVM approximated by random Fourier features + LinearSVC."""
     rff = RandomFourierFeatures(featuresCol, "__rff", dim_in, n_features, gamma, seed)
-    svc = LinearSVC(featuresCol="__rff", labelCol=labelCol, regParam=reg_param(C, n), maxIter=50)
+    svc = LinearSVC(featuresCol="__rff", labelCol=labelCol, regParam=reg_param(C, n), maxIter=50, tol=1e-4)
     clf = OneVsRest(classifier=svc, featuresCol="__rff", labelCol=labelCol, parallelism=4) if multiclass else svc
     return Pipeline(stages=[rff, clf])
 
@@ -244,7 +244,7 @@ def svm_poly(dim_in: int, C: float = 1.0, n: int = 1, gamma: float | None = None
     """M6: cubic-kernel SVM (coef0 = 0) as explicit monomials + LinearSVC."""
     g = gamma if gamma is not None else 1.0 / max(dim_in, 1)
     cub = CubicFeatures(featuresCol, "__cubic", dim_in, g)
-    return Pipeline(stages=[cub, LinearSVC(featuresCol="__cubic", labelCol=labelCol, regParam=reg_param(C, n),
+    return Pipeline(stages=[cub, LinearSVC(featuresCol="__cubic", labelCol=labelCol, regParam=reg_param(C, n), tol=1e-4,
                                            maxIter=50)])
 
 

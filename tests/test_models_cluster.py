@@ -150,3 +150,21 @@ def test_kmeans_cost_one(spark):
     assert abs(C.kmeans_cost_one(df) - ((X - X.mean(0)) ** 2).sum()) < 1e-9
     el = {r.k: r.inertia for r in C.elbow(df, [1, 2, 3]).collect()}
     assert el[1] >= el[2] >= el[3] * 0.999
+
+
+def test_dbscan_dense_configurations(spark):
+    for seed, n, std, eps, ms in [(7, 400, 0.3, 0.5, 10), (8, 400, 0.2, 0.4, 30), (9, 250, 1.0, 0.3, 3)]:
+        pts = blobs(spark, n, centers=3, std=std, seed=seed).orderBy("id").collect()
+        P = np.array([[r.x0, r.x1] for r in pts])
+        exp_labels, exp_core = _textbook_dbscan(P, eps, ms)
+        df = spark.createDataFrame([(int(r.id), float(r.x0), float(r.x1)) for r in pts], "id long, x double, y double")
+        got = {r.id: (r.label, r.is_core) for r in C.dbscan(df, "id", ["x", "y"], eps, ms).collect()}
+        for i in range(len(P)):
+            lab, core = got[i]
+            assert core == bool(exp_core[i]), (seed, i)
+            if exp_core[i] or exp_labels[i] == -1:
+                assert lab == exp_labels[i], (seed, i)
+            else:  # border: lowest cluster among its core neighbours
+                d2 = ((P - P[i]) ** 2).sum(1)
+                nbr = [exp_labels[j] for j in np.nonzero(d2 <= eps * eps)[0] if exp_core[j]]
+                assert lab == min(nbr), (seed, i)
