@@ -86,7 +86,9 @@ def prefix_scan(df: DataFrame, part: Sequence[str], order: Sequence, aggs: Mappi
 
         df = cut_lineage(df)
     spark = df.sparkSession
-    chunks = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # at most 512 chunks: enough to split any hot series, and the boundary CASE tree
+    # (O(chunks) nodes, log2(chunks) deep) stays small enough for whole-stage codegen
+    chunks = chunks or min(int(spark.conf.get("spark.sql.shuffle.partitions")), 512)
     ocols = [F.col(c) if isinstance(c, str) else c for c in order]
     okeys = [c.desc() for c in ocols] if reverse else [c.asc() for c in ocols]
     tmp = {f"__x{i}": expr for i, (_, (_, expr)) in enumerate(aggs.items())}

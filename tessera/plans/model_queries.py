@@ -24,13 +24,14 @@ DOC_FEATURES = ["log_chars", "log_words", "digit_share", "upper_share", "line_sh
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
     """documents with quality labels -> numeric text features, language/source dummies, split flag."""
-    docs = table(spark, d, "documents")
     lab = table(spark, d, "labels")
+    # whole texts are processed; spread first so a single-split file is not one task
+    docs = spread(table(spark, d, "documents").join(lab.select("doc_id"), "doc_id", "left_semi"))
     n = F.greatest(F.length("text"), F.lit(1))
     feats = docs.join(lab, "doc_id").select(
         "doc_id", "lang", "source", F.col("quality").cast("double").alias("label"),
         F.log1p(F.col("n_chars").cast("double")).alias("log_chars"),
-        F.log1p(F.size(F.split("text", r"\s+")).cast("double")).alias("log_words"),
+        F.log1p(F.regexp_count("text", F.lit(r"\S+")).cast("double")).alias("log_words"),
         ((F.length("text") - F.length(F.translate("text", "0123456789", ""))) / n).alias("digit_share"),
         ((F.length("text") - F.length(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))) / n)
         .alias("upper_share"),
