@@ -95,7 +95,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     # a proven bound, so it is broadcast and the data never shuffles for the join.
     by = user_by or ["__all"]
     small = not user_by
-    data = df.select(*user_by, v.alias("__v")).where(F.col("__v").isNotNull())
+    data = df.select(*user_by, v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
     if small:
         data = data.withColumn("__all", F.lit(0))
     stats = data.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"),
