@@ -111,11 +111,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
                             F.col("__lo").alias("lo"), F.col("__hi").alias("hi"),
                             F.lit(0).cast("long").alias("below"), F.col("__n").alias("cnt")))
     # narrow intervals until they are small
+    refined = False
     for _ in range(max_rounds):
         targets = _cut(targets)
         big = targets.where((F.col("cnt") > max_exact) & (F.col("lo") < F.col("hi")))
         if big.isEmpty():
             break
+        refined = True
         side = big.select(*by, "t", "lo", "hi", "below", "r")
         joined = data.join(F.broadcast(side) if small else side, by, "inner")
         joined = joined.where((F.col("__v") >= F.col("lo")) & (F.col("__v") <= F.col("hi")))
@@ -135,7 +137,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
                                   F.coalesce("nlo", "lo").alias("lo"), F.coalesce("nhi", "hi").alias("hi"),
                                   F.coalesce("nbelow", "below").alias("below"),
                                   F.coalesce("ncnt", "cnt").alias("cnt")))
-    targets = _cut(targets)
+    if refined:
+        targets = _cut(targets)
     # finish: single-valued intervals are answered directly, the rest by ranking a few rows
     single = targets.where(F.col("lo") == F.col("hi")).select(*by, "t", F.col("lo").alias("val"))
     multi = targets.where(F.col("lo") < F.col("hi")).select(*by, "t", "lo", "hi", "below", "r")
