@@ -307,12 +307,16 @@ class BoostedTrees:
                 nxt = cut_lineage(nxt)           # eager, reads the still-cached previous margins
             else:
                 nxt = nxt.persist()
+            vl = None
+            if self.validationCol:
+                # this job also materialises the cached margins (whole partitions are cached)
+                _, _, loss = self._grad(F.col("__m"), y)
+                vl = nxt.where(F.col(self.validationCol)).agg(F.avg(loss)).first()[0]
+            elif rnd % self.checkpointInterval != 0:
                 nxt.count()                      # materialise before the previous margins are dropped
             cur.unpersist()
             cur = nxt
             if self.validationCol:
-                _, _, loss = self._grad(F.col("__m"), y)
-                vl = cur.where(F.col(self.validationCol)).agg(F.avg(loss)).first()[0]
                 self.history.append((rnd, None, vl))
                 if vl is not None and vl < best_loss - 1e-12:
                     best_loss, best_round, since = vl, rnd, 0

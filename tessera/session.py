@@ -59,13 +59,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when ``df`` has fewer partitions than the cluster's
-    parallelism -- used before data is cached for iterative algorithms (model fits,
-    boosting rounds), so every iteration uses every core.  Large inputs already have
-    enough splits and are left untouched (no extra shuffle)."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+def spread(df: DataFrame, rows_per_partition: int = 20_000) -> DataFrame:
+    """Round-robin repartition of a few-partition input before it is cached for an
+    iterative algorithm (model fits, boosting rounds), so every iteration uses every
+    core.  Inputs that already have the cluster's parallelism are returned untouched
+    without any job; otherwise rows are counted and the target is about
+    ``rows_per_partition`` rows per partition (tiny inputs stay whole: per-task
+    overhead would dominate every iteration)."""
+    cap = df.sparkSession.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    if have >= cap:
+        return df
+    want = min(cap, max(1, -(-df.count() // rows_per_partition)))
+    return df.repartition(want) if want > have else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
