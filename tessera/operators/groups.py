@@ -62,14 +62,20 @@ def eliminate_by_groups(df: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     4. keep pairs whose sum is now unique.
     Candidates are taken as a set (duplicates removed first).
     """
+    from tessera.session import cut_lineage
+
+    # Every step reads its input twice (group counts + semi join), so the candidate
+    # set and each step's (shrinking) output are checkpointed: the source table is
+    # scanned once instead of once per branch of the chain.
     pairs = df.select(F.col(a).alias("a"), F.col(b).alias("b")).distinct()
     prod, tot = F.col("a") * F.col("b"), F.col("a") + F.col("b")
-    pairs = pairs.withColumns({"prod": prod, "total": tot})
-    amb = keep_ambiguous(pairs, "prod")
-    amb_prods = amb.select("prod").distinct().withColumn("__amb", F.lit(True))
-    flagged = pairs.join(amb_prods, "prod", "left")
-    step2 = keep_groups_all(amb, "total", F.col("__amb"), within=flagged)
-    step3 = keep_unique(step2, "prod")
+    pairs = cut_lineage(pairs.withColumns({"prod": prod, "total": tot}))
+    amb_prods = (pairs.groupBy("prod").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
+                      .select("prod", F.lit(True).alias("__amb")))
+    flagged = cut_lineage(pairs.join(amb_prods, "prod", "left"))
+    amb = flagged.where(F.col("__amb")).drop("__amb")
+    step2 = cut_lineage(keep_groups_all(amb, "total", F.col("__amb"), within=flagged))
+    step3 = cut_lineage(keep_unique(step2, "prod"))
     step4 = keep_unique(step3, "total")
     return step4.select(F.col("a").alias(a), F.col("b").alias(b), "prod", "total")
 
