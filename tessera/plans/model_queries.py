@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import cluster as C
+from tessera.operators import evaluate as E
 from tessera.operators import features as X
 from tessera.operators import models as M
 from tessera.operators.trees import BestFirstTree, BoostedTrees
@@ -277,7 +278,34 @@ def components(spark: SparkSession, d: str) -> DataFrame:
     return C.components(edges).select(F.col("node").alias("part"), "component")
 
 
+def model_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Metrics table (accuracy, precision, recall, F1, AUC) of
+    logistic regression and an RBF SVM with Platt probabilities on the same test rows."""
+    full, cols = _doc_matrix(spark, d)
+    train = cut_lineage(X.kfold(full.where(~F.col("is_test")), 3, ["doc_id"], label="label"))
+    test = full.where(F.col("is_test"))
+    n = train.count()
+    lr = M.logistic(C=1.0, n=n).fit(train)
+    svm = M.PlattScaler(M.svm_rbf(len(cols), C=1.0, n=n, gamma=1.0 / len(cols), n_features=128), "fold",
+                        k=3).fit(train)
+    results = {}
+    for name, model in [("logistic", lr), ("svm_rbf", svm)]:
+        scored = M.predict_proba(model, test).select("label", "prediction", "p")
+        results[name] = E.classification_metrics(scored, "label", "prediction", "p")
+    return E.metrics_table(results, wide=True)
+
+
+def model_sweep(spark: SparkSession, d: str) -> DataFrame:
+    """Threshold sweep (0.10 ... 0.90) over the logistic model's test probabilities."""
+    full, _ = _doc_matrix(spark, d)
+    train = full.where(~F.col("is_test"))
+    model = M.logistic(C=1.0, n=train.count()).fit(train)
+    scored = M.predict_proba(model, full.where(F.col("is_test")))
+    return E.threshold_sweep(scored, "label", "p")
+
+
 QUERIES = {
+    "model_metrics": model_metrics, "model_sweep": model_sweep,
     "logistic": logistic, "logistic_grid": logistic_grid, "coefficients": coefficients, "svm_rbf": svm_rbf,
     "svm_poly": svm_poly, "tree": tree, "forest": forest, "gbt": gbt, "boost": boost, "boost_reg": boost_reg,
     "mlp": mlp, "cv_scores": cv_scores, "compare_models": compare_models, "ols": ols, "gd_steps": gd_steps,
