@@ -269,6 +269,13 @@ def dbscan(spark: SparkSession, d: str) -> DataFrame:
     return C.dbscan(_points(spark, d), "c_custkey", ["x", "y"], 0.75, 20)
 
 
+def single_link(spark: SparkSession, d: str) -> DataFrame:
+    """Single-linkage clusters (k = 5) of suppliers on two scaled columns."""
+    s = table(spark, d, "supplier").select("s_suppkey", (F.col("s_acctbal") / 1000).alias("x"),
+                                          (F.col("s_nationkey") * 0.4).alias("y"))
+    return C.single_linkage(s, "s_suppkey", ["x", "y"], 5)
+
+
 def components(spark: SparkSession, d: str) -> DataFrame:
     """G1: connected components of parts linked by consecutive lines of an order."""
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
@@ -309,5 +316,5 @@ QUERIES = {
     "logistic": logistic, "logistic_grid": logistic_grid, "coefficients": coefficients, "svm_rbf": svm_rbf,
     "svm_poly": svm_poly, "tree": tree, "forest": forest, "gbt": gbt, "boost": boost, "boost_reg": boost_reg,
     "mlp": mlp, "cv_scores": cv_scores, "compare_models": compare_models, "ols": ols, "gd_steps": gd_steps,
-    "cost_history": cost_history, "kmeans": kmeans, "elbow": elbow, "dbscan": dbscan, "components": components,
+    "cost_history": cost_history, "kmeans": kmeans, "elbow": elbow, "dbscan": dbscan, "single_link": single_link, "components": components,
 }

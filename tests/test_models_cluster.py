@@ -168,3 +168,40 @@ def test_dbscan_dense_configurations(spark):
                 d2 = ((P - P[i]) ** 2).sum(1)
                 nbr = [exp_labels[j] for j in np.nonzero(d2 <= eps * eps)[0] if exp_core[j]]
                 assert lab == min(nbr), (seed, i)
+
+
+def _kruskal_labels(P, k):
+    n = len(P)
+    d2 = ((P[:, None, :] - P[None, :, :]) ** 2).sum(-1)
+    edges = sorted((d2[i, j], i, j) for i in range(n) for j in range(i + 1, n))
+    parent = list(range(n))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    comps = n
+    for _, i, j in edges:
+        if comps == k:
+            break
+        a, b = find(i), find(j)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            comps -= 1
+    return [find(i) for i in range(n)]
+
+
+def test_single_linkage_matches_kruskal(spark):
+    pts = blobs(spark, 120, centers=4, std=0.8, seed=5).orderBy("id").collect()
+    P = np.array([[r.x0, r.x1] for r in pts])
+    df = spark.createDataFrame([(int(r.id), float(r.x0), float(r.x1)) for r in pts], "id long, x double, y double")
+    for k in (4, 7):
+        exp = _kruskal_labels(P, k)
+        got = {r.id: r.label for r in C.single_linkage(df, "id", ["x", "y"], k).collect()}
+        assert len(set(got.values())) == k
+        # same partition: two points share a label exactly when they share a root
+        pairs_exp = {(i, j) for i in range(len(P)) for j in range(i + 1, len(P)) if exp[i] == exp[j]}
+        pairs_got = {(i, j) for i in range(len(P)) for j in range(i + 1, len(P)) if got[i] == got[j]}
+        assert pairs_exp == pairs_got
