@@ -102,3 +102,13 @@ def test_capacity_lookup_known_values_and_recurrence(spark):
     exp = [min(n for n in range(1, 400) if (n if k == 1 else F_.get((n, k), 10 ** 9)) >= f) for f, k in reqs]
     got = [r.trials for r in G.capacity_lookup(spark.createDataFrame(reqs, "f long, k int"), "f", "k").collect()]
     assert got == exp
+
+
+def test_capacity_without_ansi_mode(spark):
+    prev = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        req = spark.createDataFrame([(100, 2), (10 ** 12, 2), (10 ** 18, 100)], "f long, k int")
+        assert [r.trials for r in G.capacity_lookup(req, "f", "k").collect()] == [14, 1414214, 60]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", prev)
