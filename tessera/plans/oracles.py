@@ -56,10 +56,10 @@ def _describe_sql() -> str:
     for c in ["p_partkey", "p_size", "p_retailprice"]:
         v = f"CAST({c} AS DOUBLE)"
         parts.append(
-            f"SELECT '{c}' AS column_name, count({c}) AS count, round(avg({v}), 4) AS mean, "
-            f"round(stddev_samp({v}), 4) AS std, round(min({v}), 4) AS min, "
-            f"round(quantile_cont({v}, 0.25), 4) AS p25, round(quantile_cont({v}, 0.5), 4) AS p50, "
-            f"round(quantile_cont({v}, 0.75), 4) AS p75, round(max({v}), 4) AS max FROM part")
+            f"SELECT '{c}' AS column_name, count({c}) AS count, (round(avg({v}), 4) + 0.0::DOUBLE) AS mean, "
+            f"(round(stddev_samp({v}), 4) + 0.0::DOUBLE) AS std, (round(min({v}), 4) + 0.0::DOUBLE) AS min, "
+            f"(round(quantile_cont({v}, 0.25), 4) + 0.0::DOUBLE) AS p25, (round(quantile_cont({v}, 0.5), 4) + 0.0::DOUBLE) AS p50, "
+            f"(round(quantile_cont({v}, 0.75), 4) + 0.0::DOUBLE) AS p75, (round(max({v}), 4) + 0.0::DOUBLE) AS max FROM part")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -97,7 +97,7 @@ energy AS (
 gdp AS (
   SELECT {_case(code_c, _RENAME, code_c)} AS Country, count(*) AS customers, avg(c_acctbal) AS avg_acctbal
   FROM customer WHERE c_acctbal <= 9000 GROUP BY c_nationkey)
-SELECT e.Country, r.r_name AS region, e.supply_gj, g.customers, round(g.avg_acctbal, 4) AS avg_acctbal
+SELECT e.Country, r.r_name AS region, e.supply_gj, g.customers, (round(g.avg_acctbal, 4) + 0.0::DOUBLE) AS avg_acctbal
 FROM energy e JOIN gdp g ON e.Country = g.Country JOIN region r ON e.n_regionkey = r.r_regionkey"""
 
     q["row_mean_rank"] = """
@@ -113,7 +113,7 @@ m AS (
             / nullif(CAST(c1 IS NOT NULL AS INTEGER) + CAST(c2 IS NOT NULL AS INTEGER)
                      + CAST(c3 IS NOT NULL AS INTEGER) + CAST(c4 IS NOT NULL AS INTEGER), 0) AS rm
   FROM y)
-SELECT l_orderkey, l_linenumber, round(rm, 4) AS row_mean,
+SELECT l_orderkey, l_linenumber, (round(rm, 4) + 0.0::DOUBLE) AS row_mean,
        row_number() OVER (ORDER BY rm DESC NULLS LAST, l_orderkey, l_linenumber) - 1 AS position
 FROM m ORDER BY rm DESC NULLS LAST, l_orderkey, l_linenumber LIMIT 10"""
 
@@ -122,7 +122,7 @@ WITH per AS (
   SELECT o_custkey, sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0.0 END) AS f,
          sum(o_totalprice) AS t FROM orders GROUP BY o_custkey),
 r AS (SELECT o_custkey, f / nullif(t, 0) AS ratio FROM per)
-SELECT o_custkey, round(ratio, 6) AS max_ratio FROM r WHERE ratio IS NOT NULL
+SELECT o_custkey, (round(ratio, 6) + 0.0::DOUBLE) AS max_ratio FROM r WHERE ratio IS NOT NULL
 ORDER BY ratio DESC, o_custkey LIMIT 1"""
 
     q["nth_label"] = """
@@ -135,15 +135,15 @@ WHERE c_custkey = (SELECT c_custkey FROM customer ORDER BY c_acctbal DESC NULLS
 
     q["corr_pair"] = """
 SELECT l_returnflag,
-       round(corr(CASE WHEN l_linenumber = 3 THEN NULL ELSE l_quantity END, l_extendedprice), 6) AS corr
+       (round(corr(CASE WHEN l_linenumber = 3 THEN NULL ELSE l_quantity END, l_extendedprice), 6) + 0.0::DOUBLE) AS corr
 FROM lineitem GROUP BY l_returnflag"""
 
     q["group_stats"] = f"""
 WITH cn AS (
   SELECT c.c_acctbal, {_case("n.n_name", CONTINENT, "NULL")} AS continent
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey)
-SELECT continent, count(*) AS size, round(sum(c_acctbal), 2) AS sum, round(avg(c_acctbal), 4) AS mean,
-       round(stddev_samp(c_acctbal), 4) AS std
+SELECT continent, count(*) AS size, (round(sum(c_acctbal), 2) + 0.0::DOUBLE) AS sum, (round(avg(c_acctbal), 4) + 0.0::DOUBLE) AS mean,
+       (round(stddev_samp(c_acctbal), 4) + 0.0::DOUBLE) AS std
 FROM cn WHERE continent IS NOT NULL GROUP BY continent"""
 
     q["describe"] = _describe_sql()
@@ -152,13 +152,13 @@ FROM cn WHERE continent IS NOT NULL GROUP BY continent"""
     q["group_median_fill"] = f"""
 WITH ev AS ({_PASSENGERS}),
 med AS (SELECT group_type, median(value) AS m FROM ev GROUP BY group_type)
-SELECT ev.event_id, ev.group_type, round(coalesce(ev.value, med.m), 4) AS value
+SELECT ev.event_id, ev.group_type, (round(coalesce(ev.value, med.m), 4) + 0.0::DOUBLE) AS value
 FROM ev LEFT JOIN med ON ev.group_type = med.group_type"""
 
     q["median_fill"] = f"""
 WITH ev AS ({_PASSENGERS})
-SELECT event_id, round(coalesce(value, (SELECT median(value) FROM ev)), 4) AS value,
-       round(coalesce(k, (SELECT median(k) FROM ev)), 4) AS k FROM ev"""
+SELECT event_id, (round(coalesce(value, (SELECT median(value) FROM ev)), 4) + 0.0::DOUBLE) AS value,
+       (round(coalesce(k, (SELECT median(k) FROM ev)), 4) + 0.0::DOUBLE) AS k FROM ev"""
 
     q["mode_fill"] = f"""
 WITH ev AS ({_PASSENGERS}),
@@ -171,21 +171,21 @@ WITH ev AS (SELECT *, {_hash_unit("event_id", 7)} < 0.25 AS is_test FROM ({_PASS
 gm AS (SELECT group_type, user_id, median(value) AS gm FROM ev WHERE NOT is_test GROUP BY group_type, user_id),
 mo AS (SELECT event_type AS mo FROM ev WHERE NOT is_test AND event_type IS NOT NULL GROUP BY event_type
        ORDER BY count(*) DESC, event_type LIMIT 1)
-SELECT ev.event_id, ev.is_test, round(coalesce(ev.value, gm.gm), 4) AS value,
-       round(coalesce(ev.k, (SELECT median(k) FROM ev WHERE NOT is_test)), 4) AS k,
+SELECT ev.event_id, ev.is_test, (round(coalesce(ev.value, gm.gm), 4) + 0.0::DOUBLE) AS value,
+       (round(coalesce(ev.k, (SELECT median(k) FROM ev WHERE NOT is_test)), 4) + 0.0::DOUBLE) AS k,
        coalesce(ev.event_type, (SELECT mo FROM mo)) AS event_type
 FROM ev LEFT JOIN gm ON ev.group_type = gm.group_type AND ev.user_id = gm.user_id"""
 
     q["class_counts"] = "SELECT event_type, count(*) AS n FROM events GROUP BY event_type"
     q["distinct_values"] = "SELECT DISTINCT event_type FROM events"
     q["pop_mean_std"] = """
-SELECT o_orderstatus, round(avg(o_totalprice), 2) AS mean, round(stddev_pop(o_totalprice), 2) AS std
+SELECT o_orderstatus, (round(avg(o_totalprice), 2) + 0.0::DOUBLE) AS mean, (round(stddev_pop(o_totalprice), 2) + 0.0::DOUBLE) AS std
 FROM orders GROUP BY o_orderstatus"""
     q["extremes"] = """
 SELECT l_returnflag, max(l_extendedprice) AS max_price, min(l_extendedprice) AS min_price
 FROM lineitem GROUP BY l_returnflag"""
 
-    rounded = "SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, -1) AS bucket FROM orders"
+    rounded = "SELECT o_orderkey, o_custkey, o_orderstatus, (round(o_totalprice, -1) + 0.0::DOUBLE) AS bucket FROM orders"
     q["ambiguous_keys"] = f"""
 WITH o AS ({rounded})
 SELECT o_orderkey, bucket FROM o WHERE bucket IN (SELECT bucket FROM o GROUP BY bucket HAVING count(*) > 1)"""
@@ -236,7 +236,7 @@ WITH {_BASIN_CTE},
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY depth DESC, dir,
                                  CASE WHEN dir = 0 THEN right_index ELSE -left_index END) AS rn
     FROM cand WHERE depth > 0)
-SELECT user_id, left_index, right_index, round(depth, 4) AS depth FROM ranked WHERE rn = 1"""
+SELECT user_id, left_index, right_index, (round(depth, 4) + 0.0::DOUBLE) AS depth FROM ranked WHERE rn = 1"""
 
     q["running_bank"] = f"""
 WITH {_BASIN_CTE}
@@ -250,7 +250,7 @@ WITH r AS (
   FROM orders),
 h AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
       FROM r WHERE running >= 500000)
-SELECT o_custkey, o_orderkey, round(running, 2) AS running FROM h WHERE rn = 1"""
+SELECT o_custkey, o_orderkey, (round(running, 2) + 0.0::DOUBLE) AS running FROM h WHERE rn = 1"""
 
     q["capacity_lookup"] = """
 WITH RECURSIVE req AS (
@@ -266,7 +266,7 @@ SELECT s_suppkey, floors, glasses,
 FROM req"""
 
     q["top_abs"] = """
-SELECT p_partkey, round(p_retailprice - 1500, 4) AS score FROM part
+SELECT p_partkey, (round(p_retailprice - 1500, 4) + 0.0::DOUBLE) AS score FROM part
 ORDER BY abs(p_retailprice - 1500) DESC, p_partkey LIMIT 15"""
     q["sorted_nulls_last"] = """
 SELECT s_suppkey, CASE WHEN s_suppkey % 10 = 0 THEN NULL ELSE s_acctbal END AS bal FROM supplier
@@ -274,14 +274,14 @@ ORDER BY bal DESC NULLS LAST, s_suppkey"""
 
     q["array_scale"] = """
 SELECT vec_id, CAST(len(embedding) AS INTEGER) AS n,
-       round(list_reduce(list_transform(embedding, lambda x: CAST(x AS DOUBLE) / 255.0::DOUBLE), lambda a, b: a + b), 8)
+       (round(list_reduce(list_transform(embedding, lambda x: CAST(x AS DOUBLE) / 255.0::DOUBLE), lambda a, b: a + b), 8) + 0.0::DOUBLE)
          AS total
 FROM embeddings"""
     q["dot"] = """
 SELECT vec_id,
-       round(0.5::DOUBLE + list_reduce(list_transform(range(64), lambda i: CAST(embedding[i + 1] AS DOUBLE)
-             * (CAST((i % 7) - 3 AS DOUBLE) / 10::DOUBLE)), lambda a, b: a + b), 6) AS score,
-       round(CAST(embedding[4] AS DOUBLE), 6) AS x3
+       (round(0.5::DOUBLE + list_reduce(list_transform(range(64), lambda i: CAST(embedding[i + 1] AS DOUBLE)
+             * (CAST((i % 7) - 3 AS DOUBLE) / 10::DOUBLE)), lambda a, b: a + b), 6) + 0.0::DOUBLE) AS score,
+       (round(CAST(embedding[4] AS DOUBLE), 6) + 0.0::DOUBLE) AS x3
 FROM embeddings"""
     q["text_clean"] = """
 SELECT c_custkey,
@@ -300,7 +300,7 @@ SELECT p_partkey, dense_rank() OVER (ORDER BY p_brand) - 1 AS hot,
     q["standardize"] = """
 WITH s AS (SELECT avg(l_quantity) AS m1, stddev_pop(l_quantity) AS s1,
                   avg(l_extendedprice) AS m2, stddev_pop(l_extendedprice) AS s2 FROM lineitem)
-SELECT l_orderkey, l_linenumber, round((l_quantity - m1) / s1, 4) AS q_z, round((l_extendedprice - m2) / s2, 4) AS p_z
+SELECT l_orderkey, l_linenumber, (round((l_quantity - m1) / s1, 4) + 0.0::DOUBLE) AS q_z, (round((l_extendedprice - m2) / s2, 4) + 0.0::DOUBLE) AS p_z
 FROM lineitem, s"""
     q["hash_split"] = f"SELECT o_orderkey, {_hash_unit('o_orderkey', 42)} < 0.25 AS is_test FROM orders"
     q["stratified_split"] = f"""
@@ -322,17 +322,17 @@ c AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY l_linenumber ORDER BY p
 g0 AS (SELECT p, count_if(y = 1) AS pos, count_if(y <> 1) AS neg FROM s GROUP BY p),
 c0 AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb
        FROM g0)
-SELECT l_linenumber, round(sum(pos * (nb + neg / 2.0)) / (sum(pos) * sum(neg)), 6) AS auc FROM c GROUP BY l_linenumber
+SELECT l_linenumber, (round(sum(pos * (nb + neg / 2.0)) / (sum(pos) * sum(neg)), 6) + 0.0::DOUBLE) AS auc FROM c GROUP BY l_linenumber
 UNION ALL
-SELECT 0 AS l_linenumber, round(sum(pos * (nb + neg / 2.0)) / (sum(pos) * sum(neg)), 6) AS auc FROM c0"""
+SELECT 0 AS l_linenumber, (round(sum(pos * (nb + neg / 2.0)) / (sum(pos) * sum(neg)), 6) + 0.0::DOUBLE) AS auc FROM c0"""
     house = "SELECT l_extendedprice / 1000 AS y, l_quantity * 1.5 + 3 AS z, l_returnflag FROM lineitem"
     q["r2"] = f"""
 WITH h AS ({house})
-SELECT l_returnflag, round(1 - sum((y - z) * (y - z)) / (var_pop(y) * count(y)), 6) AS r2
+SELECT l_returnflag, (round(1 - sum((y - z) * (y - z)) / (var_pop(y) * count(y)), 6) + 0.0::DOUBLE) AS r2
 FROM h GROUP BY l_returnflag"""
     q["half_mse"] = f"""
 WITH h AS ({house})
-SELECT l_returnflag, round(sum((z - y) * (z - y)) / (2 * count(*)), 4) AS J FROM h GROUP BY l_returnflag"""
+SELECT l_returnflag, (round(sum((z - y) * (z - y)) / (2 * count(*)), 4) + 0.0::DOUBLE) AS J FROM h GROUP BY l_returnflag"""
     q["threshold_sweep"] = f"""
 WITH s AS ({_SCORED}),
 t AS (SELECT 0.1::DOUBLE + 0.05::DOUBLE * CAST(i AS DOUBLE) AS threshold FROM range(17) r(i)),
@@ -340,7 +340,7 @@ c AS (SELECT t.threshold,
              count_if(s.y = 1 AND s.p >= t.threshold) AS tp, count_if(s.y <> 1 AND s.p >= t.threshold) AS fp,
              count_if(s.y = 1 AND s.p < t.threshold) AS fn, count_if(s.y <> 1 AND s.p < t.threshold) AS tn
       FROM t, s GROUP BY t.threshold)
-SELECT round(threshold, 2) AS threshold, {_ratios()} FROM c"""
+SELECT (round(threshold, 2) + 0.0::DOUBLE) AS threshold, {_ratios()} FROM c"""
     q["confusion"] = f"""
 WITH s AS ({_SCORED}) SELECT y AS actual, pred AS predicted, count(*) AS n FROM s GROUP BY y, pred"""
     q["scores_by_split"] = f"""
@@ -356,9 +356,9 @@ w AS (SELECT model, {_ratios()} FROM c)
 UNPIVOT w ON accuracy, precision, recall, f1 INTO NAME metric VALUE value"""
 
     q["ols"] = """
-SELECT l_returnflag, round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
-       round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept,
-       round(regr_r2(l_extendedprice, l_quantity), 6) AS r2
+SELECT l_returnflag, (round(regr_slope(l_extendedprice, l_quantity), 4) + 0.0::DOUBLE) AS slope,
+       (round(regr_intercept(l_extendedprice, l_quantity), 4) + 0.0::DOUBLE) AS intercept,
+       (round(regr_r2(l_extendedprice, l_quantity), 6) + 0.0::DOUBLE) AS r2
 FROM lineitem GROUP BY l_returnflag"""
     q["gd_steps"] = """
 WITH RECURSIVE d AS (SELECT l_quantity / 50 AS x, l_extendedprice / 100000 AS y FROM lineitem),
@@ -369,8 +369,8 @@ it(i, b, w) AS (
   UNION ALL
   SELECT i + 1, b - 0.1 * (m * b + sx * w - sy) / m, w - 0.1 * (b * sx + sxx * w - sxy) / m
   FROM it, s WHERE i < 5)
-SELECT i AS iteration, round(b, 8) AS b, round(w, 8) AS w,
-       round((m * b * b + w * sxx * w + syy + 2 * b * (sx * w) - 2 * b * sy - 2 * (w * sxy)) / (2 * m), 8) AS J
+SELECT i AS iteration, (round(b, 8) + 0.0::DOUBLE) AS b, (round(w, 8) + 0.0::DOUBLE) AS w,
+       (round((m * b * b + w * sxx * w + syy + 2 * b * (sx * w) - 2 * b * sy - 2 * (w * sxy)) / (2 * m), 8) + 0.0::DOUBLE) AS J
 FROM it, s WHERE i >= 1"""
     q["cost_history"] = """
 WITH RECURSIVE d AS (SELECT l_quantity / 50 AS x1, l_discount * 10 AS x2, l_extendedprice / 100000 AS y
@@ -391,7 +391,7 @@ it(i, b, w1, w2, j, j1, j2) AS (
                w2 - 0.5 * (b * s2 + s12 * w1 + s22 * w2 - s2y) / m AS nw2
         FROM it, s) t
   WHERE NOT (i >= 3 AND abs(j2 - j1) < 1e-10) AND i <= 10001)
-SELECT CAST(i AS INTEGER) AS iteration, round(j, 10) AS J FROM it WHERE i >= 1"""
+SELECT CAST(i AS INTEGER) AS iteration, (round(j, 10) + 0.0::DOUBLE) AS J FROM it WHERE i >= 1"""
     q["dbscan"] = """
 WITH RECURSIVE p AS (SELECT c_custkey AS id, c_acctbal / 1000 AS x, c_nationkey * 0.4::DOUBLE AS y FROM customer),
 nb AS (SELECT a.id, b.id AS id2 FROM p a JOIN p b
