@@ -57,10 +57,12 @@ def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = F.md5) ->
     else:
         variants = rows.join(odd, (rows.h == odd.h) & (rows.r == odd.r), "left") \
             .select(rows.doc_id, rows.h, rows.text_sha256, rows.r, odd.norm)
-        groups = variants.groupBy("h", "norm").agg(F.min("r").alias("best"), F.count(F.lit(1)).alias("n"))
-    on = variants.h == groups.h
-    if "norm" in groups.columns:
-        on = on & variants.norm.eqNullSafe(groups.norm)
+        groups = variants.groupBy("h", F.col("norm").alias("g_norm")) \
+            .agg(F.min("r").alias("best"), F.count(F.lit(1)).alias("n"))
+    groups = groups.withColumnRenamed("h", "g_h")
+    on = F.col("h") == F.col("g_h")
+    if "g_norm" in groups.columns:
+        on = on & F.col("norm").eqNullSafe(F.col("g_norm"))
     return variants.join(groups, on).select(
         "doc_id", F.col("best.i").alias("keep_id"), F.col("n").cast("long").alias("group_size"),
         F.col("doc_id").eqNullSafe(F.col("best.i")).alias("kept"), "text_sha256")

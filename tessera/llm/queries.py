@@ -7,17 +7,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm.shared import ensure_checkpoint_dir, table
+from tessera.llm.shared import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.shared import scratch
+    from tessera.llm.token_files import read_index, write_tokens
+
+    path = scratch(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), path)
+    return read_index(spark, path)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.exact_dedup import exact_groups
 
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 ORACLES: dict[str, str] = {
     "op8_exact_dedup": r"""
         with d as (select doc_id, coalesce(text, '') t,
@@ -28,12 +43,12 @@ ORACLES: dict[str, str] = {
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(norm) as text_sha256 from k""",
 }
 
-_QUERIES: list[Query] = [op8_exact_dedup]
+_QUERIES: list[Query] = [op2_token_files, op8_exact_dedup, op9_packing]
 
 
 def _with_checkpoint(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ensure_checkpoint_dir(spark)
+        prepare(spark)
         return fn(spark, sf_dir)
 
     run.__name__, run.__doc__ = fn.__name__, fn.__doc__

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import os
+import sys
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.session import cut_lineage, ensure_checkpoint_dir, table
 
-__all__ = ["cut_lineage", "table", "scratch", "written", "size_bytes", "tasks", "components", "BASE_COLUMNS"]
+__all__ = ["cut_lineage", "table", "scratch", "prepare", "written", "size_bytes", "tasks", "components", "BASE_COLUMNS"]
 
 BASE_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -19,6 +23,31 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_shipped: set[str] = set()
+
+
+def prepare(spark: SparkSession) -> None:
+    """Checkpoint folder, and this package on the Python path of the tasks: where the
+    environment does not name its folder, Spark distributes the package as a zip."""
+    ensure_checkpoint_dir(spark)
+    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    app = spark.sparkContext.applicationId
+    if app in _shipped or top in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    _shipped.add(app)
+    name = os.path.join(tempfile.mkdtemp(prefix="package-"), "package.zip")  # read by the driver only
+    package = os.path.basename(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    with zipfile.ZipFile(name, "w") as z:
+        for folder, _, files in os.walk(os.path.join(top, package)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, top))
+    at = list(sys.path)
+    spark.sparkContext.addPyFile(name)
+    sys.path[:] = at  # the driver keeps importing from its own folder
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it again: cuts the lineage, and the
     planner knows the size of what is read."""

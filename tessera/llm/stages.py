@@ -11,3 +11,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     from tessera.llm.exact_dedup import drop_exact_copies
 
     return drop_exact_copies(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: the place of every piece of every document in training sequences."""
+    from tessera.llm.packing import pack_documents
+
+    return pack_documents(docs)
