@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import stages
-from tessera.llm.shared import ensure_checkpoint_dir, table, written
+from tessera.llm.shared import prepare, table, written
 
 STAGES = [
     ("exact_dedup", stages.exact_dedup),
@@ -19,7 +19,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; returns the last stage's rows."""
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
