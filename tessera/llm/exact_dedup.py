@@ -51,12 +51,11 @@ def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = F.md5) ->
     held = member.join(text, F.col("m_r") == F.col("t_r")).select("h", "m_r", "best", "norm")
     keeper = held.where("m_r = best").groupBy("h").agg(F.min("norm").alias("k_norm"))
     odd = cut_lineage(held.where("m_r <> best").join(keeper, "h").where("norm <> k_norm")
-                      .select("h", F.col("m_r").alias("r"), "norm").distinct())
+                      .select(F.col("h").alias("o_h"), F.col("m_r").alias("o_r"), "norm").distinct())
     if odd.isEmpty():
         variants = rows.withColumn("norm", F.lit(None).cast("string"))
     else:
-        variants = rows.join(odd, (rows.h == odd.h) & (rows.r == odd.r), "left") \
-            .select(rows.doc_id, rows.h, rows.text_sha256, rows.r, odd.norm)
+        variants = rows.join(odd, (F.col("h") == F.col("o_h")) & (F.col("r") == F.col("o_r")), "left").drop("o_h", "o_r")
         groups = variants.groupBy("h", F.col("norm").alias("g_norm")) \
             .agg(F.min("r").alias("best"), F.count(F.lit(1)).alias("n"))
     groups = groups.withColumnRenamed("h", "g_h")

@@ -21,6 +21,12 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_index(spark, path)
 
 
+def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.lsh_forest import near_groups
+
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.exact_dedup import exact_groups
 
@@ -43,7 +49,7 @@ ORACLES: dict[str, str] = {
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(norm) as text_sha256 from k""",
 }
 
-_QUERIES: list[Query] = [op2_token_files, op8_exact_dedup, op9_packing]
+_QUERIES: list[Query] = [op2_token_files, op7_lsh_forest, op8_exact_dedup, op9_packing]
 
 
 def _with_checkpoint(fn: Query) -> Query:
