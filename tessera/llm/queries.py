@@ -21,6 +21,18 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_index(spark, path)
 
 
+def op4_toxic_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.toxic_pu import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.decontam_template import flagged
+
+    return flagged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.lsh_forest import near_groups
 
@@ -39,6 +51,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_lang_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.lang_zstd import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
 ORACLES: dict[str, str] = {
     "op8_exact_dedup": r"""
         with d as (select doc_id, coalesce(text, '') t,
@@ -49,7 +67,7 @@ ORACLES: dict[str, str] = {
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(norm) as text_sha256 from k""",
 }
 
-_QUERIES: list[Query] = [op2_token_files, op7_lsh_forest, op8_exact_dedup, op9_packing]
+_QUERIES: list[Query] = [op2_token_files, op4_toxic_pu, op5_template_decontamination, op7_lsh_forest, op8_exact_dedup, op9_packing, op10_lang_zstd]
 
 
 def _with_checkpoint(fn: Query) -> Query:

@@ -5,6 +5,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm.shared import table
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: documents scored as toxic go."""
+    from tessera.llm.toxic_pu import drop_toxic
+
+    return drop_toxic(docs, table(spark, sf_dir, "labels"))
+
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: of equal texts one document stays."""
@@ -13,6 +22,20 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_exact_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7: of each component of near copies the smallest doc_id stays."""
+    from tessera.llm.lsh_forest import drop_near_copies
+
+    return drop_near_copies(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: documents that hold a benchmark item go."""
+    from tessera.llm.decontam_template import drop_leaks
+
+    return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: the place of every piece of every document in training sequences."""
     from tessera.llm.packing import pack_documents
