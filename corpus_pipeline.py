@@ -9,7 +9,11 @@ from tessera.llm import stages
 from tessera.llm.shared import prepare, table, written
 
 STAGES = [
+    ("toxicity", stages.toxicity),
     ("exact_dedup", stages.exact_dedup),
+    ("near_dedup", stages.near_dedup),
+    ("decontamination", stages.decontamination),
+    ("packing", stages.packing),
 ]
 
 # Trained scores, MinHash and tokenizers have no SQL form: tests/llm checks the stages
