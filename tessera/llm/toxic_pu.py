@@ -9,8 +9,9 @@ toxic share among labelled training rows) the risk of a linear classifier is
 where the second term, the risk on negatives seen through the unlabelled set, is kept
 non-negative: in a step where it falls below zero only it is pushed back up.  ``MODELS``
 classifiers with different seeds are trained in numpy, one Spark task each, on the same
-bounded sample (``POSITIVE`` and ``UNLABELLED`` documents, documented bounds), and their
-margins averaged.
+bounded sample (``POSITIVE`` and ``UNLABELLED`` documents, documented bounds), each
+leaving out a part on which its threshold is set by the prior-corrected 0-1 risk; their
+margins are averaged.
 
 A document's features are the hashed words (runs of ASCII letters and of bytes above
 127, A-Z lower-cased) and their beginnings of four and six bytes, each counted once.
@@ -39,11 +40,12 @@ BITS = 18
 POSITIVE = 3000
 UNLABELLED = 9000
 MODELS = 3
-EPOCHS = 12
+EPOCHS = 40
 BATCH = 400
-RATE = 0.02
-DECAY = 2e-5
-ZMIN = 4.0  # standard errors by which a feature's share in the positives must exceed that in the unlabelled
+RATE = 0.05
+DECAY = 1e-5
+CLEAN = 3.0  # weight of a rejected clean document in choosing the threshold
+ZMIN = 6.0  # standard errors by which a feature's share in the positives must exceed that in the unlabelled
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -119,6 +121,27 @@ def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, seed: int) -
     return out, float(w[-1])
 
 
+def threshold(z_pos: np.ndarray, z_unl: np.ndarray, prior: float) -> float:
+    """The margin that minimises the prior-corrected 0-1 risk on rows held out of the fit;
+    excess in the unlabelled rows (rejected clean ones) counts ``CLEAN`` times."""
+    cuts = np.unique(np.concatenate([z_pos, [0.0]]))
+    miss = np.searchsorted(np.sort(z_pos), cuts) / len(z_pos)
+    share = 1 - np.searchsorted(np.sort(z_unl), cuts) / len(z_unl)
+    risk = prior * miss + CLEAN * np.maximum(0, share - prior * (1 - miss))
+    best = np.flatnonzero(risk == risk.min())
+    return float(cuts[best[len(best) // 2]])
+
+
+def fit_held_out(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, seed: int, of: int) -> tuple[np.ndarray, float]:
+    """Weights from all but one part in ``of``, intercept set on that part so that 0 is its threshold."""
+    part = lambda rows, own: [r for i, r in enumerate(rows) if (i % of == seed % of) == own]
+    if of < 2 or len(pos) < 2 * of or len(unl) < 2 * of:
+        return fit(pos, unl, prior, seed)
+    w, b = fit(part(pos, False), part(unl, False), prior, seed)
+    margin = lambda rows: np.array([w[r].sum(dtype=np.float64) for r in rows]) + b
+    return w, b - threshold(margin(part(pos, True)), margin(part(unl, True)), prior)
+
+
 def train(docs: DataFrame, labels: DataFrame, trained: Column, positive: int = POSITIVE,
           unlabelled: int = UNLABELLED, models: int = MODELS) -> tuple[np.ndarray | None, float]:
     """(weights, intercept); (None, prior) without positives.  ``trained`` is a condition on doc_id."""
@@ -155,7 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, trained: Column, positive: int = P
         unl = [r for r, y in zip(x, group["is_unl"], strict=True) if y] or pos
         if not pos:
             return pd.DataFrame({"w": [b""], "b": [0.0]})
-        w, b = fit(pos, unl, prior, int(group["model"].iloc[0]))
+        w, b = fit_held_out(pos, unl, prior, int(group["model"].iloc[0]), models)
         return pd.DataFrame({"w": [w.astype("<f4").tobytes()], "b": [b]})
 
     fitted = sample.mapInArrow(extract, "doc_id long, is_pos boolean, is_unl boolean, x binary") \
