@@ -12,6 +12,12 @@ from tessera.llm.shared import prepare, table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.shard_kd import kd_shards
+
+    return kd_shards(table(spark, sf_dir, "documents"), shards=8)
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.shared import scratch
     from tessera.llm.token_files import read_index, write_tokens
@@ -67,7 +73,7 @@ ORACLES: dict[str, str] = {
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(norm) as text_sha256 from k""",
 }
 
-_QUERIES: list[Query] = [op2_token_files, op4_toxic_pu, op5_template_decontamination, op7_lsh_forest, op8_exact_dedup, op9_packing, op10_lang_zstd]
+_QUERIES: list[Query] = [op1_kd_shards, op2_token_files, op4_toxic_pu, op5_template_decontamination, op7_lsh_forest, op8_exact_dedup, op9_packing, op10_lang_zstd]
 
 
 def _with_checkpoint(fn: Query) -> Query:
