@@ -27,6 +27,12 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_index(spark, path)
 
 
+def op3_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.pii_boost import find_private
+
+    return find_private(table(spark, sf_dir, "documents"))
+
+
 def op4_toxic_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.toxic_pu import score_documents
 
@@ -73,7 +79,7 @@ ORACLES: dict[str, str] = {
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(norm) as text_sha256 from k""",
 }
 
-_QUERIES: list[Query] = [op1_kd_shards, op2_token_files, op4_toxic_pu, op5_template_decontamination, op7_lsh_forest, op8_exact_dedup, op9_packing, op10_lang_zstd]
+_QUERIES: list[Query] = [op1_kd_shards, op2_token_files, op3_pii_boosting, op4_toxic_pu, op5_template_decontamination, op7_lsh_forest, op8_exact_dedup, op9_packing, op10_lang_zstd]
 
 
 def _with_checkpoint(fn: Query) -> Query:
