@@ -45,6 +45,12 @@ def op5_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.license_lr import licences
+
+    return licences(table(spark, sf_dir, "documents"))
+
+
 def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.lsh_forest import near_groups
 
@@ -79,7 +85,7 @@ ORACLES: dict[str, str] = {
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(norm) as text_sha256 from k""",
 }
 
-_QUERIES: list[Query] = [op1_kd_shards, op2_token_files, op3_pii_boosting, op4_toxic_pu, op5_template_decontamination, op7_lsh_forest, op8_exact_dedup, op9_packing, op10_lang_zstd]
+_QUERIES: list[Query] = [op1_kd_shards, op2_token_files, op3_pii_boosting, op4_toxic_pu, op5_template_decontamination, op6_license_scan, op7_lsh_forest, op8_exact_dedup, op9_packing, op10_lang_zstd]
 
 
 def _with_checkpoint(fn: Query) -> Query:
