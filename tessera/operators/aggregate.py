@@ -75,8 +75,7 @@ def corr(df: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> DataFrame:
 # ----------------------------------------------------------------------------- quantiles
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-                    bins: int = 1024, max_exact: int = 100_000, max_rounds: int = 8,
-                    prefix: str = "q") -> DataFrame:
+                    bins: int = 1024, max_exact: int = 100_000, prefix: str = "q") -> DataFrame:
     """Exact continuous quantiles (linear interpolation between order statistics).
 
     Returns one row per group: ``by`` columns, ``n`` and ``{prefix}{i}`` for each prob.
@@ -112,14 +111,14 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
                             F.lit(0).cast("long").alias("below"), F.col("__n").alias("cnt")))
     # narrow intervals until they are small
     refined = False
-    for _ in range(max_rounds):
+    while True:
         targets = _cut(targets)
         big = targets.where((F.col("cnt") > max_exact) & (F.col("lo") < F.col("hi")))
         if big.isEmpty():
             break
         refined = True
         side = big.select(*by, "t", "lo", "hi", "below", "r")
-        joined = data.join(F.broadcast(side) if small else side, by, "inner")
+        joined = data.join(_small_side(side), by, "inner")
         joined = joined.where((F.col("__v") >= F.col("lo")) & (F.col("__v") <= F.col("hi")))
         width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
         hist = (joined.withColumn("b", F.least(F.lit(bins - 1),
@@ -142,7 +141,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     # finish: single-valued intervals are answered directly, the rest by ranking a few rows
     single = targets.where(F.col("lo") == F.col("hi")).select(*by, "t", F.col("lo").alias("val"))
     multi = targets.where(F.col("lo") < F.col("hi")).select(*by, "t", "lo", "hi", "below", "r")
-    joined = data.join(F.broadcast(multi) if small else multi, by, "inner")
+    joined = data.join(_small_side(_cut(multi)), by, "inner")
     joined = joined.where((F.col("__v") >= F.col("lo")) & (F.col("__v") <= F.col("hi")))
     rn = F.row_number().over(Window.partitionBy(*by, "t").orderBy("__v")) - 1
     ranked = (joined.withColumn("__k", rn + F.col("below"))
@@ -160,6 +159,17 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     return res.select(*user_by, "n", *out_cols)
 
 
+def _small_side(side: DataFrame) -> DataFrame:
+    """Broadcast the wanted ranks where their counted size is below the session's
+    threshold (column names and type codes are); else the join shuffles and AQE splits
+    a hot group."""
+    limit = side.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    scale = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    text = str(limit).lower().removesuffix("b") or "0"
+    limit = int(text[:-1]) * scale[text[-1]] if text[-1] in scale else int(text)
+    return F.broadcast(side) if side.count() * 16 * (len(side.columns) + 2) <= limit else side
+
+
 def _cut(df: DataFrame) -> DataFrame:
     """Targets are tiny (groups x wanted ranks); cut their lineage each round."""
     from tessera.session import cut_lineage
@@ -250,7 +260,8 @@ def gram_stats(df: DataFrame, features: Sequence[str], label: str) -> dict:
     """Every sufficient statistic of a least-squares problem in ONE pass.
 
     Returns m, sums of x, y, y^2, x_i x_j and x_i y as Python numbers (model-sized:
-    O(n_features^2) values regardless of the row count).
+    O(n_features^2) values regardless of the row count).  Rows with a NULL in any
+    feature or in the label take no part in any of the sums.
     """
     xs = [F.col(c).cast("double") for c in features]
     y = F.col(label).cast("double")
@@ -258,5 +269,7 @@ def gram_stats(df: DataFrame, features: Sequence[str], label: str) -> dict:
     aggs += [F.sum(x).alias(f"sx{i}") for i, x in enumerate(xs)]
     aggs += [F.sum(x * y).alias(f"sxy{i}") for i, x in enumerate(xs)]
     aggs += [F.sum(xs[i] * xs[j]).alias(f"sxx{i}_{j}") for i in range(len(xs)) for j in range(i, len(xs))]
-    row = df.where(y.isNotNull()).agg(*aggs).first().asDict()
-    return row
+    full = y.isNotNull()
+    for x in xs:
+        full = full & x.isNotNull()
+    return df.where(full).agg(*aggs).first().asDict()

@@ -32,14 +32,14 @@ def _sym(e: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame, src: str = "src", dst: str = "dst", nodes: DataFrame | None = None,
-               node: str = "node", max_rounds: int = 64) -> DataFrame:
+               node: str = "node") -> DataFrame:
     """G1: (node, component) where component is the smallest node id of its component.
 
     ``nodes`` (optional, column ``node``) adds isolated nodes.
     """
     e = _sym(edges.select(F.col(src).alias("a"), F.col(dst).alias("b")))
     e = cut_lineage(e)
-    for _ in range(max_rounds):
+    while True:  # until a round leaves the edges as they are
         # large star: every neighbour above u points to the smallest of u's neighbourhood
         m = e.groupBy("a").agg(F.min("b").alias("mb")).select("a", F.least("a", "mb").alias("m"))
         large = e.join(m, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -209,7 +209,7 @@ def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_samp
     return out
 
 
-def single_linkage(df: DataFrame, id_col: str, cols: Sequence[str], k: int, max_probes: int = 64) -> DataFrame:
+def single_linkage(df: DataFrame, id_col: str, cols: Sequence[str], k: int) -> DataFrame:
     """Single-linkage clustering cut at ``k`` clusters -> (id, label, height).
 
     Single-linkage clusters at merge height r are the connected components of the
@@ -235,8 +235,10 @@ def single_linkage(df: DataFrame, id_col: str, cols: Sequence[str], k: int, max_
     best, best_n = probe(lo)
     if best_n > k:
         best, best_n, h = None, None, hi
-        for _ in range(max_probes):
+        while True:
             mid = (lo + hi) / 2
+            if not lo < mid < hi:  # neighbouring floats: tied merge heights skip k
+                break
             lab, n = probe(mid)
             if n == k:
                 best, best_n, h = lab, n, mid

@@ -32,13 +32,19 @@ def head(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
 
 
-def random_rows(df: DataFrame, n: int, seed: int = 0, fraction: float | None = None) -> DataFrame:
-    """Sample with replacement (a preview grid), then keep n rows.
+def random_rows(df: DataFrame, n: int, order: Sequence[str], seed: int = 0) -> DataFrame:
+    """Exactly ``n`` rows drawn uniformly with replacement, with their ``draw`` number.
 
-    ``fraction`` defaults to a value that yields about ``n`` rows in expectation
-    (one count is taken to size it).
+    Draw j takes the row at position ``md5(seed:j) mod total`` of the total order
+    ``order``; positions come from the distributed ``ordinal``, so every row of the
+    table is as likely as any other and the draw can be repeated in SQL.  An empty
+    table gives no row.
     """
-    if fraction is None:
-        total = max(df.count(), 1)
-        fraction = min(10.0, 2.0 * n / total)
-    return df.sample(withReplacement=True, fraction=fraction, seed=seed).limit(n)
+    from tessera.operators.windows import ordinal
+
+    numbered = ordinal(df, [], list(order), "__pos")
+    total = df.count()
+    word = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("draw").cast("string")).cast("binary")), 1, 12)
+    draws = df.sparkSession.range(n if total else 0).select(F.col("id").alias("draw")).withColumn(
+        "__pos", F.pmod(F.conv(word, 16, 10).cast("long"), F.lit(max(total, 1))))
+    return numbered.join(draws, "__pos").drop("__pos")

@@ -31,69 +31,41 @@ def _combine(op: str, carry: Column, local: Column) -> Column:
     return F.least(carry, local)
 
 
-def _chunk_expr(df: DataFrame, keys: Sequence[Column], chunks: int, seed: int = 17) -> Column:
-    """Deterministic range-chunk id of each row for the total order ``keys``.
+def chunked(df: DataFrame, part: Sequence[str], order: Sequence, chunks: int | None = None) -> DataFrame:
+    """``df`` range-partitioned by (part, order) with the partition number as ``__chunk``.
 
-    Boundaries are quantiles of a bounded random sample (``20 * chunks`` keys, taken
-    with a top-k on ``rand`` so each task keeps at most that many), fixed once as
-    literals; the id is then a balanced CASE tree (log2(chunks) comparisons, codegen).
-    Equal keys always land in the same chunk, and every plan branch sees the same ids.
+    Spark's range partitioner samples the keys in the tasks; equal keys share a chunk and
+    chunks follow the order of the keys.  The result is written out once (a reliable
+    checkpoint), so every later branch sees the same chunks and the source is read once.
     """
-    names = [f"k{i}" for i in range(len(keys))]
-    key = F.struct(*[k.alias(n) for k, n in zip(keys, names)])
-    sample = (df.select(key.alias("k")).orderBy(F.rand(seed)).limit(20 * chunks)
-                .select("k.*").collect())
-    types = [f.dataType for f in df.select(key.alias("k")).schema["k"].dataType.fields]
-    if not sample or chunks <= 1:
-        return F.lit(0)
-
-    def sort_key(r):
-        return tuple((v is not None, v) for v in r)
-
-    ks = sorted((tuple(r) for r in sample), key=sort_key)
-    bounds = []
-    for i in range(1, chunks):
-        b = ks[(i * len(ks)) // chunks]
-        if not bounds or sort_key(b) > sort_key(bounds[-1]):
-            bounds.append(b)
-    lits = [F.struct(*[F.lit(v).cast(t).alias(n) for v, t, n in zip(b, types, names)]) for b in bounds]
-
-    def tree(lo: int, hi: int) -> Column:  # chunk ids lo..hi; bounds[i] starts chunk i+1
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(key < lits[mid - 1], tree(lo, mid - 1)).otherwise(tree(mid, hi))
-
-    return tree(0, len(bounds))
+    n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(p).asc() for p in part] + [(F.col(c) if isinstance(c, str) else c).asc() for c in order]
+    if not keys or n <= 1:
+        return cut_lineage(df.withColumn("__chunk", F.lit(0)))
+    return cut_lineage(df.repartitionByRange(n, *keys).withColumn("__chunk", F.spark_partition_id()))
 
 
 def prefix_scan(df: DataFrame, part: Sequence[str], order: Sequence, aggs: Mapping[str, tuple[str, Column]],
                 inclusive: bool = True, reverse: bool = False, chunks: int | None = None,
-                materialize: bool = False) -> DataFrame:
+                keep_chunks: bool = False) -> DataFrame:
     """Running aggregates per ``part`` in ``order`` (a total order), added as new columns.
 
     ``aggs`` maps output name -> (op, expression) with op in sum/max/min.
     ``inclusive`` includes the current row; ``reverse`` scans from the end.
     Sums over an empty prefix are 0, max/min are NULL.
 
-    The input is read by two plan branches (rows and chunk summaries).  When it is
-    expensive to recompute (an aggregate, or another scan's output) pass
-    ``materialize=True`` to checkpoint it first, so upstream work runs once.
+    Rows are cut in range chunks by ``chunked`` (already done when ``df`` has a
+    ``__chunk`` column; ``keep_chunks`` leaves it there, so scans over one order share
+    one partitioning).  A chunk is scanned by itself, one summary row a (part, chunk) is
+    scanned again, and the carry is joined back.
     """
     part = list(part)
-    if materialize:
-        from tessera.session import cut_lineage
-
-        df = cut_lineage(df)
-    spark = df.sparkSession
-    # at most 512 chunks: enough to split any hot series, and the boundary CASE tree
-    # (O(chunks) nodes, log2(chunks) deep) stays small enough for whole-stage codegen
-    chunks = chunks or min(int(spark.conf.get("spark.sql.shuffle.partitions")), 512)
+    if "__chunk" not in df.columns:
+        df = chunked(df, part, order, chunks)
     ocols = [F.col(c) if isinstance(c, str) else c for c in order]
     okeys = [c.desc() for c in ocols] if reverse else [c.asc() for c in ocols]
     tmp = {f"__x{i}": expr for i, (_, (_, expr)) in enumerate(aggs.items())}
-    chunk = _chunk_expr(df, [F.col(p) for p in part] + ocols, chunks)
-    base = df.withColumns(tmp).withColumn("__chunk", chunk)
+    base = df.withColumns(tmp)
     frame = (Window.partitionBy(*part, "__chunk").orderBy(*okeys)
                    .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
     local = base.withColumns({f"__l{i}": _OPS[op](F.col(f"__x{i}")).over(frame)
@@ -107,14 +79,18 @@ def prefix_scan(df: DataFrame, part: Sequence[str], order: Sequence, aggs: Mappi
                                for i, (_, (op, _)) in enumerate(aggs.items())])
     # Only the series that runs on from the previous chunk has a carry, so at most
     # (chunks - 1) summary rows are non-empty: a proven bound, broadcast safely.
-    summary = summary.where(F.col("__carry0").isNotNull())
+    # A carry counts if any of the aggregates has one (another may be NULL so far).
+    some = F.lit(False)
+    for i in range(len(aggs)):
+        some = some | F.col(f"__carry{i}").isNotNull()
+    summary = summary.where(some)
     cond = F.col("__chunk") == F.col("__c")
     for p in part:
         cond = cond & F.col(p).eqNullSafe(F.col(f"__p_{p}"))
     joined = local.join(F.broadcast(summary), cond, "left")
     out = joined.withColumns({name: _combine(op, F.col(f"__carry{i}"), F.col(f"__l{i}"))
                               for i, (name, (op, _)) in enumerate(aggs.items())})
-    drop = ["__chunk", "__c", *[f"__p_{p}" for p in part]]
+    drop = [*([] if keep_chunks else ["__chunk"]), "__c", *[f"__p_{p}" for p in part]]
     for i in range(len(aggs)):
         drop += [f"__x{i}", f"__l{i}", f"__carry{i}"]
     return out.drop(*drop)
@@ -141,17 +117,18 @@ def fill_group_median(df: DataFrame, col: str, keys: Sequence[str]) -> DataFrame
 
 
 def running_bank(df: DataFrame, series: Sequence[str], order: Sequence[str], h: str,
-                 reverse: bool = False, chunks: int | None = None) -> DataFrame:
+                 reverse: bool = False, chunks: int | None = None, keep_chunks: bool = False) -> DataFrame:
     """Position, previous running maximum and bank flag of each point.
 
     A point is a bank when it is strictly higher than every earlier point (in scan
-    direction); ``bank`` is the height of the last bank before the point.
+    direction); ``bank`` is the height of the last bank before the point.  A point
+    without a height keeps its position and is never a bank.
     """
     sc = prefix_scan(df, series, order, {"pos": ("sum", F.lit(1).cast("long")), "bank": ("max", F.col(h))},
-                     inclusive=False, reverse=reverse, chunks=chunks)
+                     inclusive=False, reverse=reverse, chunks=chunks, keep_chunks=keep_chunks)
     if reverse:
         sc = sc.drop("pos")
-    return sc.withColumn("is_bank", F.col("bank").isNull() | (F.col(h) > F.col("bank")))
+    return sc.withColumn("is_bank", F.col(h).isNotNull() & (F.col("bank").isNull() | (F.col(h) > F.col("bank"))))
 
 
 def nth_by_order(df: DataFrame, order: str, n: int, desc: bool = True, tiebreak: Sequence[str] = ()) -> DataFrame:
@@ -169,7 +146,7 @@ def nth_by_order(df: DataFrame, order: str, n: int, desc: bool = True, tiebreak:
 
 def deepest_basin(df: DataFrame, series: Sequence[str], order: Sequence[str], h: str,
                   chunks: int | None = None) -> DataFrame:
-    """The deepest basin of each series -> series, left_index, right_index, depth.
+    """The deepest basin of each series -> series, left_index, right_index, depth, lowest.
 
     Rule: scanning left to right the bank is the last point strictly higher than all
     before it; lower points deepen the basin; a strictly higher point closes it; an
@@ -183,24 +160,25 @@ def deepest_basin(df: DataFrame, series: Sequence[str], order: Sequence[str], h:
     """
     series = list(series)
     hc = F.col(h)
-    # each scan's output is checkpointed: the next scan reads it twice (rows, summaries)
-    src = df.select(*series, *order, h)
-    a = running_bank(src, series, order, h, chunks=chunks)                         # pos, bank, is_bank
+    # one range partitioning for all three scans; each scan's output is checkpointed
+    # because the next one reads it twice (rows, summaries)
+    src = chunked(df.select(*series, *order, h), series, order, chunks)
+    a = cut_lineage(running_bank(src, series, order, h, keep_chunks=True))          # pos, bank, is_bank
     b = prefix_scan(a, series, order,
                     {"rbank": ("max", hc),
                      "next_bank": ("min", F.when(F.col("is_bank"), F.col("pos")))},
-                    inclusive=False, reverse=True, chunks=chunks, materialize=True)
-    b = b.withColumn("is_rbank", F.col("rbank").isNull() | (hc > F.col("rbank")))
+                    inclusive=False, reverse=True, keep_chunks=True)
+    b = cut_lineage(b.withColumn("is_rbank", hc.isNotNull() & (F.col("rbank").isNull() | (hc > F.col("rbank")))))
     c = prefix_scan(b, series, order, {"prev_rbank": ("max", F.when(F.col("is_rbank"), F.col("pos")))},
-                    inclusive=False, chunks=chunks, materialize=True)
+                    inclusive=False)
     c = cut_lineage(c)
     fwd = _basins(c, series, h, bank_flag="is_bank", bank_of="bank", other="next_bank", direction=0)
     rev = _basins(c, series, h, bank_flag="is_rbank", bank_of="rbank", other="prev_rbank", direction=1)
     cand = fwd.unionByName(rev).where(F.col("depth") > 0)
     rank = F.struct((-F.col("depth")).alias("d"), F.col("dir"),
                     F.when(F.col("dir") == 0, F.col("right_index")).otherwise(-F.col("left_index")).alias("o"))
-    best = cand.groupBy(*series).agg(F.min_by(F.struct("left_index", "right_index", "depth"), rank).alias("b"))
-    return best.select(*series, "b.left_index", "b.right_index", "b.depth")
+    best = cand.groupBy(*series).agg(F.min_by(F.struct("left_index", "right_index", "depth", "lowest"), rank).alias("b"))
+    return best.select(*series, "b.left_index", "b.right_index", "b.depth", "b.lowest")
 
 
 def _basins(c: DataFrame, series: list[str], h: str, bank_flag: str, bank_of: str, other: str,
@@ -216,7 +194,7 @@ def _basins(c: DataFrame, series: list[str], h: str, bank_flag: str, bank_of: st
     j = banks.join(low, cond)
     left, right = (F.col("pos"), F.col(other)) if direction == 0 else (F.col(other), F.col("pos"))
     return j.select(*series, F.lit(direction).alias("dir"), left.alias("left_index"),
-                    right.alias("right_index"), (F.col(h) - F.col("__low")).alias("depth"))
+                    right.alias("right_index"), (F.col(h) - F.col("__low")).alias("depth"), F.col("__low").alias("lowest"))
 
 
 def assign_folds(df: DataFrame, label: str | None, k: int, order: Sequence[str], name: str = "fold",

@@ -6,7 +6,6 @@ the Spark plans' names; doubles are rounded the same way.
 
 from __future__ import annotations
 
-from tessera.plans.queries import CONTINENT
 
 _CODE = "'N' || translate(CAST({c} AS VARCHAR), '0123456789', 'ABCDEFGHIJ')"
 
@@ -138,13 +137,20 @@ SELECT l_returnflag,
        (round(corr(CASE WHEN l_linenumber = 3 THEN NULL ELSE l_quantity END, l_extendedprice), 6) + 0.0::DOUBLE) AS corr
 FROM lineitem GROUP BY l_returnflag"""
 
+    zones = {f"NATION_{k}": f"zone {k % 5}" for k in range(25) if k % 9}
     q["group_stats"] = f"""
 WITH cn AS (
-  SELECT c.c_acctbal, {_case("n.n_name", CONTINENT, "NULL")} AS continent
+  SELECT c.c_acctbal, {_case("n.n_name", zones, "NULL")} AS zone
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey)
-SELECT continent, count(*) AS size, (round(sum(c_acctbal), 2) + 0.0::DOUBLE) AS sum, (round(avg(c_acctbal), 4) + 0.0::DOUBLE) AS mean,
+SELECT zone, count(*) AS size, (round(sum(c_acctbal), 2) + 0.0::DOUBLE) AS sum, (round(avg(c_acctbal), 4) + 0.0::DOUBLE) AS mean,
        (round(stddev_samp(c_acctbal), 4) + 0.0::DOUBLE) AS std
-FROM cn WHERE continent IS NOT NULL GROUP BY continent"""
+FROM cn WHERE zone IS NOT NULL GROUP BY zone"""
+
+    q["random_rows"] = """
+WITH t AS (SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_custkey) - 1 AS pos FROM customer),
+d AS (SELECT draw, CAST('0x' || substr(md5('3:' || CAST(draw AS VARCHAR)), 1, 12) AS BIGINT) % (SELECT count(*) FROM customer) AS pos
+      FROM (SELECT unnest(range(16)) AS draw))
+SELECT draw, c_custkey, c_name FROM d JOIN t USING (pos)"""
 
     q["describe"] = _describe_sql()
     q["profile"] = _profile_sql()
@@ -198,7 +204,7 @@ SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (
 
     q["eliminate_by_groups"] = """
 WITH src AS (
-  SELECT CAST(l_orderkey % 98 AS INTEGER) + 2 AS x, CAST(l_partkey % 98 AS INTEGER) + 2 AS y FROM lineitem),
+  SELECT CAST(l_orderkey AS BIGINT) AS x, CAST(l_partkey AS BIGINT) AS y FROM lineitem),
 pairs AS (SELECT DISTINCT least(x, y) AS a, greatest(x, y) AS b FROM src),
 p AS (SELECT a, b, a * b AS prod, a + b AS total FROM pairs),
 amb AS (SELECT prod FROM p GROUP BY prod HAVING count(*) > 1),
@@ -227,16 +233,17 @@ WITH {_BASIN_CTE},
   fl AS (SELECT user_id, bank AS b, min(h) AS low FROM g2 WHERE NOT is_bank GROUP BY user_id, bank),
   rl AS (SELECT user_id, rbank AS b, min(h) AS low FROM g2 WHERE NOT is_rbank GROUP BY user_id, rbank),
   cand AS (
-    SELECT g2.user_id, 0 AS dir, g2.pos AS left_index, g2.next_bank AS right_index, g2.h - fl.low AS depth
+    SELECT g2.user_id, 0 AS dir, g2.pos AS left_index, g2.next_bank AS right_index, g2.h - fl.low AS depth, fl.low AS lowest
     FROM g2 JOIN fl ON g2.user_id = fl.user_id AND g2.h = fl.b WHERE g2.is_bank AND g2.next_bank IS NOT NULL
     UNION ALL
-    SELECT g2.user_id, 1, g2.prev_rbank, g2.pos, g2.h - rl.low
+    SELECT g2.user_id, 1, g2.prev_rbank, g2.pos, g2.h - rl.low, rl.low
     FROM g2 JOIN rl ON g2.user_id = rl.user_id AND g2.h = rl.b WHERE g2.is_rbank AND g2.prev_rbank IS NOT NULL),
   ranked AS (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY depth DESC, dir,
                                  CASE WHEN dir = 0 THEN right_index ELSE -left_index END) AS rn
     FROM cand WHERE depth > 0)
-SELECT user_id, left_index, right_index, (round(depth, 4) + 0.0::DOUBLE) AS depth FROM ranked WHERE rn = 1"""
+SELECT user_id, left_index, right_index, (round(depth, 4) + 0.0::DOUBLE) AS depth,
+       (round(lowest, 4) + 0.0::DOUBLE) AS lowest FROM ranked WHERE rn = 1"""
 
     q["running_bank"] = f"""
 WITH {_BASIN_CTE}

@@ -47,7 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        # Only reached in local runs/tests: a cluster names a shared folder.
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -60,18 +61,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, rows_per_partition: int = 20_000) -> DataFrame:
-    """Round-robin repartition of a few-partition input before it is cached for an
-    iterative algorithm (model fits, boosting rounds), so every iteration uses every
-    core.  Inputs that already have the cluster's parallelism are returned untouched
-    without any job; otherwise rows are counted and the target is about
-    ``rows_per_partition`` rows per partition (tiny inputs stay whole: per-task
-    overhead would dominate every iteration)."""
-    cap = df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    if have >= cap:
-        return df
-    want = min(cap, max(1, -(-df.count() // rows_per_partition)))
-    return df.repartition(want) if want > have else df
+    """Round-robin repartition of an input before it is cached for an iterative algorithm
+    (model fits, boosting rounds): about ``rows_per_partition`` rows a partition, so a
+    single-split file is spread over the cores and a tiny input stays whole."""
+    return df.repartition(max(1, -(-df.count() // rows_per_partition)))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,9 +1,9 @@
 """File sources and sinks.
 
 Skipping a preamble or a footer needs each line's position in its file.  Lines
-are read as one text column (the CSV reader with a separator that cannot occur,
-so a charset can be given), ordered inside their file by (split start offset,
-row id within the split), and numbered with the distributed prefix count of
+are read by the text reader (blank lines are lines; LF, CRLF and CR end one) and
+decoded from their bytes, ordered inside their file by (split start offset, row id
+within the split), and numbered with the distributed prefix count of
 ``windows.ordinal`` -- no file is funnelled through one task or the driver.
 """
 
@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 __all__ = ["read_csv", "read_lines", "read_csv_skip", "read_sheet", "load_table", "load_arrays",
@@ -27,13 +28,29 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, header:
     return r.option("inferSchema", True).csv(path)
 
 
+_SPARK_CHARSETS = {"US-ASCII", "ISO-8859-1"}
+
+
+def _decoded(raw: Column, encoding: str) -> Column:
+    """Text of a line's bytes, in any charset whose line ends are single bytes."""
+    name = encoding.upper().replace("_", "-")
+    if name in ("UTF-8", "UTF8"):
+        return raw.cast("string")
+    if name in _SPARK_CHARSETS:
+        return F.decode(raw, name)
+
+    def decode(s: pd.Series) -> pd.Series:
+        return s.map(lambda b: bytes(b).decode(encoding))
+
+    return F.pandas_udf(decode, "string")(raw)
+
+
 def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
     """Every line of the file(s) with its file name and 0-based position (``line_no``) in that file."""
     from tessera.operators.windows import ordinal
 
-    raw = (spark.read.option("sep", "\u0001").option("quote", "\u0000").option("encoding", encoding)
-                .option("header", False).schema("value string").csv(path)
-                .select(F.coalesce(F.col("value"), F.lit("")).alias("value"),
+    raw = (spark.read.text(path)
+                .select(_decoded(F.col("value").cast("binary"), encoding).alias("value"),
                         F.col("_metadata.file_path").alias("file"),
                         F.col("_metadata.file_block_start").alias("block"),
                         F.monotonically_increasing_id().alias("rid")))

@@ -8,6 +8,7 @@ the cluster's ``spark.checkpoint.dir``) so a restarted query resumes exactly.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +35,7 @@ def score_stream(stream: DataFrame, stages: Sequence, out_path: str, checkpoint:
         df = post(df)
     if select:
         df = df.select(*select)
-    ck = checkpoint or f"{ensure_checkpoint_dir(stream.sparkSession).rstrip('/')}/stream-{abs(hash(out_path))}"
+    ck = checkpoint or f"{ensure_checkpoint_dir(stream.sparkSession).rstrip('/')}/stream-{hashlib.sha256(out_path.encode()).hexdigest()[:32]}"
     w = df.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", ck) \
           .outputMode("append")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")

@@ -69,7 +69,7 @@ def test_entry_and_registry(spark):
     import __spark_entry__ as ent
 
     df = ent.entry(spark)
-    assert df.count() > 0 and df.columns == ["continent", "size", "sum", "mean", "std"]
+    assert df.count() > 0 and df.columns == ["zone", "size", "sum", "mean", "std"]
     qs, orc = ent.queries(), ent.oracle_sql()
     assert set(orc) <= set(qs) and len(qs) >= 60
 
