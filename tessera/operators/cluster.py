@@ -255,7 +255,7 @@ def single_linkage(df: DataFrame, id_col: str, cols: Sequence[str], k: int) -> D
     return best.withColumn("height", F.lit(float(h)))
 
 
-def kmeans(df: DataFrame, k: int, featuresCol: str = "features", seed: int = 0, maxIter: int = 20):
+def kmeans(df: DataFrame, k: int, featuresCol: str = "features", seed: int = 0, maxIter: int = 300):
     """K-means|| initialisation; returns the fitted model (``summary.trainingCost`` = inertia)."""
     return KMeans(k=k, featuresCol=featuresCol, seed=seed, maxIter=maxIter, initMode="k-means||").fit(df)
 
@@ -278,7 +278,7 @@ def _dim(df: DataFrame, featuresCol: str) -> int:
 
 
 def elbow(df: DataFrame, ks: Sequence[int], featuresCol: str = "features", seed: int = 0,
-          maxIter: int = 20) -> DataFrame:
+          maxIter: int = 300) -> DataFrame:
     """(k, inertia) for each k on one cached input."""
     spark = df.sparkSession
     data = spread(df.select(featuresCol)).persist()

@@ -21,8 +21,15 @@ __all__ = ["DummyEncoder", "DummyModel", "LabelEncoder", "LabelModel", "one_hot_
            "hash_unit", "hash_split", "stratified_split", "kfold", "pipeline"]
 
 
-def _sorted_distinct(df: DataFrame, col: str) -> list:
-    vals = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect()]
+MAX_CATEGORIES = 10_000
+
+
+def _sorted_distinct(df: DataFrame, col: str, limit: int = MAX_CATEGORIES) -> list:
+    """Distinct values in order; a column with more than ``limit`` is an error, since every
+    value becomes an output column or an entry of a literal map."""
+    vals = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().limit(limit + 1).collect()]
+    if len(vals) > limit:
+        raise ValueError(f"{col} has more than {limit} categories; join a table of codes instead")
     return sorted(vals)
 
 

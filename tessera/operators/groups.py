@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.scalar import col_of
+from tessera.functions.scalar import col_of, pair_product, pair_sum
 
 __all__ = ["keep_ambiguous", "keep_unique", "keep_groups_all", "eliminate_by_groups",
            "capacity_reaches", "min_trials", "capacity_lookup"]
@@ -68,7 +68,7 @@ def eliminate_by_groups(df: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     # set and each step's (shrinking) output are checkpointed: the source table is
     # scanned once instead of once per branch of the chain.
     pairs = df.select(F.col(a).alias("a"), F.col(b).alias("b")).distinct()
-    prod, tot = F.col("a") * F.col("b"), F.col("a") + F.col("b")
+    prod, tot = pair_product("a", "b"), pair_sum("a", "b")
     pairs = cut_lineage(pairs.withColumns({"prod": prod, "total": tot}))
     amb_prods = (pairs.groupBy("prod").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
                       .select("prod", F.lit(True).alias("__amb")))

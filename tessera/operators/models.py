@@ -25,6 +25,7 @@ from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegress
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +36,7 @@ from tessera.operators.aggregate import gram_stats
 
 __all__ = ["LinearRegressionGD", "LinearRegressionGDModel", "ols", "ols_columns", "logistic", "reg_param",
            "RandomFourierFeatures", "CubicFeatures", "svm_rbf", "svm_poly", "PlattScaler", "decision_tree",
-           "random_forest", "gbt_classifier", "gbt_regressor", "mlp", "predict_proba", "grid_search",
+           "random_forest", "gbt_classifier", "gbt_regressor", "mlp", "predict_proba", "grid_search", "best_point",
            "cv_scores", "compare_models", "coefficients", "cost_history"]
 
 
@@ -174,17 +175,20 @@ class RandomFourierFeatures(Transformer):
     The random matrix is a small fixed parameter (D x d) shipped with the UDF.
     """
 
+    gamma = Param(Params._dummy(), "gamma", "kernel width exp(-gamma |x - y|^2)", TypeConverters.toFloat)
+    seed = Param(Params._dummy(), "seed", "seed of the random matrix", TypeConverters.toInt)
+
     def __init__(self, inputCol: str, outputCol: str, dim_in: int, n_features: int = 256,
                  gamma: float = 0.1, seed: int = 0):
         super().__init__()
-        rng = np.random.default_rng(seed)
         self.inputCol, self.outputCol = inputCol, outputCol
-        self.W = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(dim_in, n_features))
-        self.b = rng.uniform(0.0, 2 * math.pi, size=n_features)
-        self.scale = math.sqrt(2.0 / n_features)
+        self.dim_in, self.n_features = dim_in, n_features
+        self._set(gamma=gamma, seed=seed)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        W, b, scale = self.W, self.b, self.scale
+        rng = np.random.default_rng(self.getOrDefault("seed"))
+        W = rng.normal(0.0, math.sqrt(2.0 * self.getOrDefault("gamma")), size=(self.dim_in, self.n_features))
+        b, scale = rng.uniform(0.0, 2 * math.pi, size=self.n_features), math.sqrt(2.0 / self.n_features)
 
         @F.pandas_udf(T.ArrayType(T.DoubleType()))
         def rff(xs: pd.Series) -> pd.Series:
@@ -332,12 +336,13 @@ def predict_proba(model, df: DataFrame, cls: int = 1, out: str = "p") -> DataFra
     return t.withColumn(out, F.get(vector_to_array("probability"), cls))
 
 
-def grid_search(estimator, grid: Mapping, foldCol: str, numFolds: int, labelCol: str = "label",
+def grid_search(estimator, df: DataFrame, grid: Mapping, foldCol: str, numFolds: int, labelCol: str = "label",
                 metric: str = "areaUnderROC", parallelism: int = 8):
     """Exhaustive grid, scored by cross-validated AUC (or any binary metric).
 
-    ``grid`` maps Param objects to value lists.  Returns the fitted CrossValidatorModel
-    (``bestModel``, ``avgMetrics``).
+    ``grid`` maps Param objects to value lists; put scalers into ``estimator`` (a Pipeline)
+    so they are fitted inside each fold.  Returns the fitted CrossValidatorModel
+    (``bestModel`` refitted on all rows, ``avgMetrics``).
     """
     b = ParamGridBuilder()
     for p, vals in grid.items():
@@ -345,7 +350,13 @@ def grid_search(estimator, grid: Mapping, foldCol: str, numFolds: int, labelCol:
     ev = BinaryClassificationEvaluator(labelCol=labelCol, metricName=metric)
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=b.build(), evaluator=ev, foldCol=foldCol,
                         numFolds=numFolds, parallelism=parallelism)
-    return cv
+    return cv.fit(df)
+
+
+def best_point(cvm) -> dict:
+    """Parameters of the best grid point by name."""
+    k = int(np.argmax(cvm.avgMetrics))
+    return {p.name: v for p, v in cvm.getEstimatorParamMaps()[k].items()}
 
 
 def grid_table(cvm, spark: SparkSession) -> DataFrame:

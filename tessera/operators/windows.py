@@ -110,9 +110,10 @@ def fill_group_median(df: DataFrame, col: str, keys: Sequence[str]) -> DataFrame
     a per-group window task.
     """
     from tessera.operators.aggregate import group_median
+    from tessera.operators.joins import attach_group_stat
 
     med = group_median(df, col, keys, alias="__med")
-    return (df.join(med, list(keys), "left")
+    return (attach_group_stat(df, keys, med)
               .withColumn(col, F.coalesce(F.col(col), F.col("__med"))).drop("__med"))
 
 

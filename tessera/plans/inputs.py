@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators.clean import threshold_label
 from tessera.session import table
 
 
@@ -36,4 +37,4 @@ def scored_lines(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem")
     p = F.col("l_discount") * 5 + F.col("l_tax") * 5
     return li.select("l_orderkey", "l_linenumber", (F.col("l_returnflag") == "R").cast("int").alias("y"),
-                     p.alias("p"), (p >= 0.5).cast("int").alias("pred"))
+                     p.alias("p"), threshold_label(p, 0.5).alias("pred"))

@@ -42,16 +42,54 @@ def _docs(spark: SparkSession, d: str) -> DataFrame:
     return cut_lineage(X.stratified_split(feats, "doc_id", "label", 0.25, seed=42))
 
 
-def _doc_matrix(spark: SparkSession, d: str):
+def _doc_table(spark: SparkSession, d: str):
+    """Features with dummy columns, not scaled (pipelines scale inside each fold)."""
     f = _docs(spark, d)
-    train = f.where(~F.col("is_test"))
-    dm = X.DummyEncoder(["lang", "source"]).fit(train)
+    dm = X.DummyEncoder(["lang", "source"]).fit(f.where(~F.col("is_test")))
     cols = DOC_FEATURES + dm.output_columns()
-    sm = X.Standardizer(cols).fit(dm.transform(train))
-    va = VectorAssembler(inputCols=cols, outputCol="features")
-    full = va.transform(sm.transform(dm.transform(f)))
-    full = cut_lineage(spread(full.select("doc_id", "label", "is_test", "features", *cols)))
-    return full, cols
+    return dm.transform(f), cols
+
+
+def _doc_matrix(spark: SparkSession, d: str):
+    f, cols = _doc_table(spark, d)
+    sm = X.Standardizer(cols).fit(f.where(~F.col("is_test")))
+    full = VectorAssembler(inputCols=cols, outputCol="features").transform(sm.transform(f))
+    return cut_lineage(spread(full.select("doc_id", "label", "is_test", "features", *cols))), cols
+
+
+GRID_C = [0.01, 0.1, 1, 10, 100]
+_TUNED: dict[tuple[str, str], dict] = {}
+
+
+def _scaled(cols: list[str], *stages) -> Pipeline:
+    return Pipeline(stages=[X.Standardizer(cols), VectorAssembler(inputCols=cols, outputCol="features"), *stages])
+
+
+def _logistic_search(spark: SparkSession, d: str):
+    """The grid over penalty and C with the scaler inside the folds; (fitted search, rows per fit, table, columns)."""
+    f, cols = _doc_table(spark, d)
+    full = cut_lineage(spread(f.select("doc_id", "label", "is_test", *cols)))
+    train = cut_lineage(X.kfold(full.where(~F.col("is_test")), 5, ["doc_id"], label="label"))
+    n_fit = int(train.count() * 0.8)
+    lr = M.logistic(C=1.0, n=n_fit)
+    found = M.grid_search(_scaled(cols, lr), train, {
+        lr.elasticNetParam: [1.0, 0.0], lr.regParam: [M.reg_param(c, n_fit) for c in GRID_C]}, "fold", 5)
+    _TUNED[spark.sparkContext.applicationId, d] = M.best_point(found)
+    return found, n_fit, full, cols
+
+
+def _tuned_logistic(spark: SparkSession, d: str):
+    """The best model of the grid refitted on the training part; (model, table, columns).  The
+    best parameters are kept per session and folder, so the grid runs once."""
+    key = spark.sparkContext.applicationId, d
+    if key not in _TUNED:
+        found, _, full, cols = _logistic_search(spark, d)
+        return found.bestModel, full, cols
+    f, cols = _doc_table(spark, d)
+    full = cut_lineage(spread(f.select("doc_id", "label", "is_test", *cols)))
+    best = _TUNED[key]
+    lr = M.logistic(C=1.0, n=1).setRegParam(best["regParam"]).setElasticNetParam(best["elasticNetParam"])
+    return _scaled(cols, lr).fit(full.where(~F.col("is_test"))), full, cols
 
 
 def _emb(spark: SparkSession, d: str) -> DataFrame:
@@ -72,29 +110,53 @@ def logistic(spark: SparkSession, d: str) -> DataFrame:
 
 
 def logistic_grid(spark: SparkSession, d: str) -> DataFrame:
-    """L1/L2 x five C values, scored by 5-fold cross-validated AUC (one CrossValidator)."""
-    full, _ = _doc_matrix(spark, d)
-    train = cut_lineage(X.kfold(full.where(~F.col("is_test")), 5, ["doc_id"], label="label"))
-    n_fit = int(train.count() * 0.8)
-    cs = [0.01, 0.1, 1, 10, 100]
-    lr = M.logistic(C=1.0, n=n_fit)
-    cv = M.grid_search(lr, {lr.elasticNetParam: [1.0, 0.0], lr.regParam: [M.reg_param(c, n_fit) for c in cs]},
-                       "fold", 5)
-    cvm = cv.fit(train)
+    """L1/L2 x five C values, scored by 5-fold cross-validated AUC; the scaler is
+    fitted inside the folds, ``is_best`` marks the point whose model the other queries use."""
+    found, n_fit, _, _ = _logistic_search(spark, d)
+    best = M.best_point(found)
     rows = []
-    for pm, score in zip(cvm.getEstimatorParamMaps(), cvm.avgMetrics):
+    for pm, score in zip(found.getEstimatorParamMaps(), found.avgMetrics):
         vals = {p.name: v for p, v in pm.items()}
         c = 1.0 / (vals["regParam"] * n_fit)
-        rows.append(("l1" if vals["elasticNetParam"] == 1.0 else "l2", float(round(c, 6)), float(score)))
-    return spark.createDataFrame(rows, "penalty string, C double, auc double")
+        rows.append(("l1" if vals["elasticNetParam"] == 1.0 else "l2", float(round(c, 6)), float(score), vals == best))
+    return spark.createDataFrame(rows, "penalty string, C double, auc double, is_best boolean")
 
 
 def coefficients(spark: SparkSession, d: str) -> DataFrame:
-    """Top-15 coefficients of the L2 logistic model by magnitude."""
+    """Top-15 coefficients of the tuned logistic model by magnitude."""
+    model, _, cols = _tuned_logistic(spark, d)
+    return M.coefficients(model.stages[-1], cols, spark, top=15)
+
+
+def _svm_search(spark: SparkSession, d: str):
+    """RBF SVM over C x gamma (nine points), three folds."""
     full, cols = _doc_matrix(spark, d)
-    train = full.where(~F.col("is_test"))
-    model = M.logistic(C=1.0, n=train.count()).fit(train)
-    return M.coefficients(model, cols, spark, top=15)
+    train = cut_lineage(X.kfold(full.where(~F.col("is_test")), 3, ["doc_id"], label="label"))
+    n_fit = int(train.count() * 2 / 3)
+    pipe = M.svm_rbf(len(cols), C=1.0, n=n_fit, n_features=128)
+    rff, svc = pipe.getStages()
+    found = M.grid_search(pipe, train, {svc.regParam: [M.reg_param(c, n_fit) for c in (0.1, 1, 10)],
+                                        rff.gamma: [0.1 / len(cols), 1.0 / len(cols), 10.0 / len(cols)]}, "fold", 3)
+    return found, n_fit, full, train, cols
+
+
+def svm_grid(spark: SparkSession, d: str) -> DataFrame:
+    """RBF SVM grid over C and gamma, scored by cross-validated AUC."""
+    found, n_fit, _, _, _ = _svm_search(spark, d)
+    rows = []
+    for pm, score in zip(found.getEstimatorParamMaps(), found.avgMetrics):
+        vals = {p.name: v for p, v in pm.items()}
+        rows.append((float(round(1.0 / (vals["regParam"] * n_fit), 6)), float(vals["gamma"]), float(score)))
+    return spark.createDataFrame(rows, "C double, gamma double, auc double")
+
+
+def svm_sweep(spark: SparkSession, d: str) -> DataFrame:
+    """Threshold sweep over the Platt probabilities of the best RBF SVM of the grid."""
+    found, n_fit, full, train, cols = _svm_search(spark, d)
+    best = M.best_point(found)
+    pipe = M.svm_rbf(len(cols), C=1.0 / (best["regParam"] * n_fit), n=n_fit, gamma=best["gamma"], n_features=128)
+    scored = M.predict_proba(M.PlattScaler(pipe, "fold", k=3).fit(train), full.where(F.col("is_test")))
+    return E.threshold_sweep(scored, "label", "p")
 
 
 def svm_rbf(spark: SparkSession, d: str) -> DataFrame:
@@ -109,7 +171,7 @@ def svm_rbf(spark: SparkSession, d: str) -> DataFrame:
 def svm_poly(spark: SparkSession, d: str) -> DataFrame:
     """M6 M7: cubic-kernel SVM with Platt probabilities on document features."""
     full, cols = _doc_matrix(spark, d)
-    train = X.kfold(full.where(~F.col("is_test")), 3, ["doc_id"], label="label")
+    train = cut_lineage(X.kfold(full.where(~F.col("is_test")), 3, ["doc_id"], label="label"))
     pipe = M.svm_poly(len(cols), C=1.0, n=train.count())
     model = M.PlattScaler(pipe, "fold", k=3).fit(train)
     out = model.transform(full.where(F.col("is_test")))
@@ -178,7 +240,7 @@ def mlp(spark: SparkSession, d: str) -> DataFrame:
 def cv_scores(spark: SparkSession, d: str) -> DataFrame:
     """5-fold accuracy of a 50-tree forest; per-fold rows plus mean and population std."""
     full, _ = _doc_matrix(spark, d)
-    train = X.kfold(full.where(~F.col("is_test")), 5, ["doc_id"], label="label")
+    train = cut_lineage(X.kfold(full.where(~F.col("is_test")), 5, ["doc_id"], label="label"))
     scores = M.cv_scores(M.random_forest(50, 5, "auto"), train, "fold", 5)
     summ = scores.agg(F.lit(-1).alias("fold"), F.avg("score").alias("score"))
     spread = scores.agg(F.lit(-2).alias("fold"), F.stddev_pop("score").alias("score"))
@@ -292,21 +354,19 @@ def model_metrics(spark: SparkSession, d: str) -> DataFrame:
     train = cut_lineage(X.kfold(full.where(~F.col("is_test")), 3, ["doc_id"], label="label"))
     test = full.where(F.col("is_test"))
     n = train.count()
-    lr = M.logistic(C=1.0, n=n).fit(train)
+    tuned, table_, _ = _tuned_logistic(spark, d)
     svm = M.PlattScaler(M.svm_rbf(len(cols), C=1.0, n=n, gamma=1.0 / len(cols), n_features=128), "fold",
                         k=3).fit(train)
     results = {}
-    for name, model in [("logistic", lr), ("svm_rbf", svm)]:
-        scored = M.predict_proba(model, test).select("label", "prediction", "p")
+    for name, model, rows in [("logistic", tuned, table_.where(F.col("is_test"))), ("svm_rbf", svm, test)]:
+        scored = M.predict_proba(model, rows).select("label", "prediction", "p")
         results[name] = E.classification_metrics(scored, "label", "prediction", "p")
     return E.metrics_table(results, wide=True)
 
 
 def model_sweep(spark: SparkSession, d: str) -> DataFrame:
-    """Threshold sweep (0.10 ... 0.90) over the logistic model's test probabilities."""
-    full, _ = _doc_matrix(spark, d)
-    train = full.where(~F.col("is_test"))
-    model = M.logistic(C=1.0, n=train.count()).fit(train)
+    """Threshold sweep (0.10 ... 0.90) over the tuned logistic model's test probabilities."""
+    model, full, _ = _tuned_logistic(spark, d)
     scored = M.predict_proba(model, full.where(F.col("is_test")))
     return E.threshold_sweep(scored, "label", "p")
 
@@ -314,6 +374,7 @@ def model_sweep(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "model_metrics": model_metrics, "model_sweep": model_sweep,
     "logistic": logistic, "logistic_grid": logistic_grid, "coefficients": coefficients, "svm_rbf": svm_rbf,
+    "svm_grid": svm_grid, "svm_sweep": svm_sweep,
     "svm_poly": svm_poly, "tree": tree, "forest": forest, "gbt": gbt, "boost": boost, "boost_reg": boost_reg,
     "mlp": mlp, "cv_scores": cv_scores, "compare_models": compare_models, "ols": ols, "gd_steps": gd_steps,
     "cost_history": cost_history, "kmeans": kmeans, "elbow": elbow, "dbscan": dbscan, "single_link": single_link, "components": components,

@@ -129,7 +129,7 @@ SELECT c_custkey, c_name, c_acctbal, 2 AS position FROM customer
 ORDER BY c_acctbal DESC NULLS LAST, c_custkey LIMIT 1 OFFSET 2"""
 
     q["lookup_cell"] = """
-SELECT c_custkey, c_mktsegment, c_acctbal FROM customer
+SELECT c_custkey, c_mktsegment, c_acctbal, (SELECT n_name FROM nation WHERE n_nationkey = 3) AS nation FROM customer
 WHERE c_custkey = (SELECT c_custkey FROM customer ORDER BY c_acctbal DESC NULLS LAST, c_custkey LIMIT 1 OFFSET 5)"""
 
     q["corr_pair"] = """

@@ -37,7 +37,7 @@ def _r(c, n=4):
 # ----------------------------------------------------------------------------- 2.1-2.4 tables
 
 def clean_join(spark: SparkSession, d: str) -> DataFrame:
-    """Three sources cleaned to one country key and joined."""
+    """Three sources cleaned to one country key and joined."""
     nat = table(spark, d, "nation")
     raw = nat.select(
         F.concat(nation_code(F.col("n_nationkey")), F.lit(" ("), F.col("n_regionkey").cast("string"),
@@ -46,10 +46,11 @@ def clean_join(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("n_nationkey") % 4 == 0, F.lit("...")).otherwise(
             (F.col("n_nationkey") * 10).cast("string")).alias("supply"))
     energy = raw.withColumn("Country", F.trim(S.strip_digits(S.strip_parens("raw", trim=False))))
+    energy = P.rename_all(energy, ["raw", "n_regionkey", "supply", "Country"])
     energy = P.null_if(energy, ["supply"])
     energy = P.add_column(energy, "supply_gj", F.col("supply") * 1000000)
-    energy = P.remap_keep(P.drop_columns(energy, ["raw", "supply"]), "Country", RENAMED)
-    cust = P.where(table(spark, d, "customer"), F.col("c_acctbal") <= 9000)
+    energy = P.remap_keep(P.drop_columns(P.drop_positions(energy, [0]), ["supply"]), "Country", RENAMED)
+    cust = P.cast_col(P.where(table(spark, d, "customer"), F.col("c_acctbal") <= 9000), "c_acctbal", "double")
     gdp = (cust.groupBy("c_nationkey")
                .agg(F.count(F.lit(1)).alias("customers"), F.avg("c_acctbal").alias("avg_acctbal"))
                .withColumn("Country", nation_code(F.col("c_nationkey"))))
@@ -101,10 +102,13 @@ def nth_label(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lookup_cell(spark: SparkSession, d: str) -> DataFrame:
-    """Cells of the sixth customer by balance, looked up by its key."""
+    """Cells of the sixth customer by balance, looked up by its key; ``nation`` is the
+    one cell looked up by label in the nation table."""
     c = table(spark, d, "customer")
     sixth = W.nth_by_order(c, "c_acctbal", 5, desc=True, tiebreak=["c_custkey"]).select("c_custkey")
-    return J.semi_join(c, sixth, "c_custkey").select("c_custkey", "c_mktsegment", "c_acctbal")
+    cell = P.lookup(table(spark, d, "nation"), "n_nationkey", 3, "n_name").withColumnRenamed("n_name", "nation")
+    row = J.semi_join(c, sixth, "c_custkey").select("c_custkey", "c_mktsegment", "c_acctbal", F.lit(1).alias("one"))
+    return J.inner_join(row, cell.withColumn("one", F.lit(1)), "one").drop("one")
 
 
 def corr_pair(spark: SparkSession, d: str) -> DataFrame:
@@ -227,9 +231,7 @@ def range_pairs(spark: SparkSession, d: str) -> DataFrame:
     """All (i, j) with lo <= i <= j <= hi for each supplier's key range."""
     s = table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").alias("lo"),
                                           (F.col("s_nationkey") + 3).alias("hi"))
-    rng = F.sequence(F.col("lo").cast("long"), F.col("hi").cast("long"))
-    first = s.select("s_suppkey", F.col("hi").cast("long").alias("hi"), F.explode(rng).alias("i"))
-    return first.select("s_suppkey", "i", F.explode(F.sequence(F.col("i"), F.col("hi"))).alias("j"))
+    return J.range_pairs(s, "lo", "hi", keep=["s_suppkey"])
 
 
 def deepest_basin(spark: SparkSession, d: str) -> DataFrame:
