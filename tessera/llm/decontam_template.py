@@ -196,6 +196,14 @@ def flagged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .select("doc_id", F.col("f_id").isNotNull().alias("flagged"), "item_ids", "cover")
 
 
+def leaking_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row per document that holds an item: doc_id, items (their ids, comma-joined in
+    order), cover (the largest)."""
+    return leaks(docs, benchmark).groupBy("doc_id").agg(
+        F.concat_ws(",", F.sort_array(F.collect_set("item_id")).cast("array<string>")).alias("items"),
+        F.max("cover").alias("cover"))
+
+
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents no item leaks into, with all their columns."""
     gone = leaks(docs, benchmark).select(F.col("doc_id").alias("gone_id")).distinct()

@@ -40,9 +40,9 @@ def op4_toxic_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tessera.llm.decontam_template import flagged
+    from tessera.llm.decontam_template import leaking_documents
 
-    return flagged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaking_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

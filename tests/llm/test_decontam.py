@@ -73,3 +73,14 @@ def test_planted_passages_equal_brute_force(spark):
 def test_empty_tables(spark):
     assert D.flagged(docs(spark, []), items(spark, [(1, Q)])).collect() == []
     assert [r.flagged for r in D.flagged(docs(spark, [(1, Q)]), items(spark, [])).collect()] == [False]
+
+
+def test_query_returns_the_leaking_documents(spark):
+    from tessera.llm.queries import queries
+
+    folder = "/root/testdata/sf0.001"
+    table = lambda n: [tuple(r) for r in spark.read.parquet(f"{folder}/{n}.parquet").collect()]
+    got = queries()["op5_template_decontamination"](spark, folder).collect()
+    want = brute([(r[0], r[1]) for r in table("documents")], [(r[0], r[1]) for r in table("benchmark")])
+    assert want and {(r.doc_id, int(i)) for r in got for i in r.items.split(",")} == want
+    assert all(r.cover >= D.COVER for r in got)
