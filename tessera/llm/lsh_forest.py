@@ -9,16 +9,16 @@ similarity of at least ``percent`` / 100 are linked; a component's smallest doc_
    the smallest doc_id represents it.  A group of exact copies of any size is one
    aggregated row from here on.
 2. *Forest.*  ``TREES`` trees, each an order of the representatives by their own
-   ``DEPTH`` MinHash values.  Documents that share at least ``LEAST`` leading values in
-   some tree are candidates.  The depth adapts to the region: a region of more than
-   ``REGION`` documents is split at longer and longer prefixes, down to ``DEPTH``, where
-   neighbours are linked without another look.  A pair at the threshold is missed by all
-   trees with a probability of ``(1 - 0.85 ** LEAST) ** TREES`` (about 1e-5 here).
-3. *Loose groups.*  The neighbours in a region (those with the longest common prefix) are
-   looked at by their sketches; where these agree too little to reach the threshold
-   (``SLACK`` below it, several standard errors) they are told apart, the rest is joined
-   to loose groups by at most one edge per document.  Pairs are neither shuffled nor
-   collected.
+   ``LEAST`` leading MinHash values.  Documents that share them in some tree are one
+   region and candidates, whatever the region's size.  A pair at the threshold is missed
+   by all trees with a probability of ``(1 - 0.85 ** LEAST) ** TREES`` (about 1e-5 here).
+3. *Loose groups.*  The documents of a region are looked at by their sketches; where these
+   agree too little to reach the threshold (``SLACK`` below it, several standard errors)
+   they are told apart, the rest is joined to loose groups by at most one edge per
+   document.  Pairs are neither shuffled nor collected.  In a region of more than
+   ``REGION`` documents a typical one takes in what is similar to it first; the documents
+   it leaves out are compared with all of the region, in salted parts: every part of
+   theirs meets every part of the region in a task of its own.
 4. *Confirmation.*  The whole texts of loose groups are read again and all links inside a
    group are decided on full shingle sets: documents are compared with one centre at a
    time, and a document that already is in the largest component need not be a centre.
@@ -49,6 +49,7 @@ TREES = 12
 DEPTH = 8
 LEAST = 3
 REGION = 8192
+PIVOT = 512
 SLACK = 0.17
 BLOCK = 4_000_000
 
@@ -102,28 +103,23 @@ def signatures(docs: DataFrame) -> DataFrame:
         sign, "doc_id long, n_shingles long, set_hash binary, signature binary, sketch binary")
 
 
-def regions(reps: DataFrame, depth: int) -> DataFrame:
-    """(rep, tree, region): documents whose first ``depth`` values in a tree are equal have
-    one region.  ``reps``: rep, signature, and tree where only that tree is asked for."""
-    one = "tree" in reps.columns
+def regions(reps: DataFrame) -> DataFrame:
+    """(rep, tree, region): documents whose first ``LEAST`` values in a tree are equal have
+    one region.  ``reps``: rep, signature."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = len(batch)
             v = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").reshape(n, TREES, DEPTH).astype(np.uint64)
             h = np.zeros((n, TREES), np.uint64) + np.arange(1, TREES + 1, dtype=np.uint64)
-            for d in range(depth):
+            for d in range(LEAST):
                 h = mix((h + v[:, :, d]) * U64(0xD6E8FEB86659FD93) + U64(d + 1))
-            if one:
-                tree = batch.column(2).to_numpy()
-                h, at = h[np.arange(n), tree], np.arange(n)
-            else:
-                tree, at = np.tile(np.arange(TREES, dtype=np.int32), n), np.repeat(np.arange(n), TREES)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(at)), pa.array(tree, pa.int32()), pa.array(h.ravel().view(np.int64))],
+                [batch.column(0).take(pa.array(np.repeat(np.arange(n), TREES))),
+                 pa.array(np.tile(np.arange(TREES, dtype=np.int32), n)), pa.array(h.ravel().view(np.int64))],
                 ["rep", "tree", "region"])
 
-    return reps.select("rep", "signature", *["tree"] * one).mapInArrow(cut, "rep long, tree int, region long")
+    return reps.select("rep", "signature").mapInArrow(cut, "rep long, tree int, region long")
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
@@ -181,16 +177,28 @@ def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(e[:, 0]), pa.array(e[:, 1])], ["a", "b"])
 
 
+def _sketches(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
+def _need() -> float:
+    """Values in which the sketches of two documents of a loose group agree at least."""
+    return (PERCENT / 100 - SLACK) * TREES * DEPTH
+
+
+def _typical_first(rep: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    usual = np.array([np.bincount(col).argmax() for col in sketch.T], np.uint8)
+    return np.lexsort((rep, -(sketch == usual).sum(axis=1)))
+
+
 def _loose_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Joins the documents of a region whose sketches agree enough, by one edge per document at most."""
-    need = (PERCENT / 100 - SLACK) * TREES * DEPTH
+    need = _need()
     edges: list[tuple[int, int]] = []
     for t in _runs(batches, 1):
-        rep = t.column("rep").to_numpy()
-        sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(len(rep), -1)
+        rep, sketch = t.column("rep").to_numpy(), _sketches(t.column("sketch"))
         if len(rep) > 2:  # typical documents first: they are near to most others
-            usual = np.array([np.bincount(col).argmax() for col in sketch.T], np.uint8)
-            order = np.lexsort((rep, -(sketch == usual).sum(axis=1)))
+            order = _typical_first(rep, sketch)
             rep, sketch = rep[order], sketch[order]
         edges += [(int(rep[i]), int(rep[j])) for i, j in _forest(
             len(rep), lambda c, o, s=sketch: o[(s[o] == s[c]).sum(axis=1) >= need])]
@@ -200,26 +208,74 @@ def _loose_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _edge_batch(edges)
 
 
+def _large_edges(large: DataFrame) -> DataFrame:
+    """The loose edges of regions of more than REGION documents.  ``large``: region, rep, sketch, n."""
+    need = _need()
+
+    def pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _runs(batches, 1):
+            rep = t.column("rep").to_numpy()
+            at = _typical_first(rep, _sketches(t.column("sketch")))[0]
+            yield t.slice(int(at), 1).rename_columns(["region", "pivot", "p_sketch"]).combine_chunks().to_batches()[0]
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            inside = np.zeros(len(batch), bool)
+            some = batch.column("p_sketch").is_valid().to_numpy(zero_copy_only=False)
+            if some.any():
+                part = batch.filter(pa.array(some))
+                inside[some] = (_sketches(part.column("sketch")) == _sketches(part.column("p_sketch"))).sum(axis=1) >= need
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in ("region", "rep", "sketch", "n", "pivot")], pa.array(inside)],
+                ["region", "rep", "sketch", "n", "pivot", "inside"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _runs(batches, 3):
+            every, turn = t.column("rep").to_numpy(), t.column("turn").to_numpy(zero_copy_only=False)
+            rep, at = np.unique(every, return_index=True)
+            sketch, inside = _sketches(t.column("sketch"))[at], t.column("inside").to_numpy(zero_copy_only=False)[at]
+            group, edges = np.arange(len(rep)), []
+            group[inside] = len(rep)  # joined by the pivot
+            for c in np.flatnonzero(np.isin(rep, every[turn])):
+                others = np.flatnonzero(group != group[c])
+                found = others[(sketch[others] == sketch[c]).sum(axis=1) >= need]
+                joined, first = np.unique(group[found], return_index=True)
+                edges += [(int(rep[c]), int(rep[found[i]])) for i in first]
+                group[np.isin(group, joined)] = group[c]
+            yield _edge_batch(edges)
+
+    # a sample of about PIVOT documents a region shows which one is typical
+    shown = large.where(F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / PIVOT)) == 0)
+    pivots = shown.select("region", "rep", "sketch").repartition("region").sortWithinPartitions("region") \
+        .mapInArrow(pivot, "region long, pivot long, p_sketch binary")
+    marked = cut_lineage(large.join(pivots, "region", "left").select("region", "rep", "sketch", "n", "pivot", "p_sketch")
+                         .mapInArrow(mark, "region long, rep long, sketch binary, n long, pivot long, inside boolean"))
+    star = marked.where("inside and rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
+    left = marked.where("not inside").groupBy("region").agg(F.count(F.lit(1)).alias("m"))
+    rows = marked.join(left, "region").select(
+        "region", "rep", "sketch", "inside", F.ceil(F.col("n") / REGION).cast("int").alias("parts"),
+        F.ceil(F.col("m") / REGION).cast("int").alias("own"))
+    salt = F.xxhash64("rep", F.lit(7))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    cells = rows.select("region", each("own").alias("i"), F.pmod(salt, F.col("parts")).cast("int").alias("j"),
+                        "rep", "sketch", "inside", F.lit(False).alias("turn")).union(
+        rows.where("not inside").select("region", F.pmod(salt, F.col("own")).cast("int").alias("i"), each("parts").alias("j"),
+                                        "rep", "sketch", "inside", F.lit(True).alias("turn")))
+    return star.union(cells.repartition("region", "i", "j").sortWithinPartitions("region", "i", "j")
+                      .mapInArrow(meet, "a long, b long"))
+
+
 def loose_groups(reps: DataFrame) -> DataFrame:
     """(id, component) of representatives that may be similar.  ``reps``: rep, signature, sketch."""
-    found, level = [], regions(reps, LEAST)
-    for depth in range(LEAST, DEPTH + 1):
-        level = cut_lineage(level)
-        size = level.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("first")).where("n > 1")
-        inside = level.join(size, "region")
-        found.append(inside.where(F.col("n") <= REGION).select("region", "rep").join(reps.select("rep", "sketch"), "rep")
-                     .select("region", "rep", "sketch").repartition("region").sortWithinPartitions("region")
-                     .mapInArrow(_loose_edges, "a long, b long"))
-        large = cut_lineage(inside.where(F.col("n") > REGION).select("rep", "tree", "first"))
-        if large.isEmpty():
-            break
-        if depth == DEPTH:
-            found.append(large.where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")))
-        else:
-            level = regions(large.join(reps, "rep").select("rep", "signature", "tree"), depth + 1)
-    edges = found[0]
-    for more in found[1:]:
-        edges = edges.union(more)
+    level = cut_lineage(regions(reps))
+    size = level.groupBy("region").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    inside, sketch = level.join(size, "region"), reps.select("rep", "sketch")
+    edges = inside.where(F.col("n") <= REGION).select("region", "rep").join(sketch, "rep") \
+        .select("region", "rep", "sketch").repartition("region").sortWithinPartitions("region") \
+        .mapInArrow(_loose_edges, "a long, b long")
+    large = cut_lineage(inside.where(F.col("n") > REGION).select("region", "rep", "n"))
+    if not large.isEmpty():
+        edges = edges.union(_large_edges(large.join(sketch, "rep").select("region", "rep", "sketch", "n")))
     return components(edges)
 
 

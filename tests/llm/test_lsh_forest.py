@@ -75,6 +75,24 @@ def test_adaptive_depth_splits_large_regions(spark, monkeypatch):
     assert result(L.near_groups(frame(spark, pairs))) == brute(pairs)
 
 
+def test_pairs_at_the_threshold_are_found_in_regions_of_any_size(spark, monkeypatch):
+    rng, pairs = random.Random(9), []
+    for k in range(300):  # 200 words, three of them changed far apart: 181 / 211 = 0.858
+        base = [f"w{rng.randrange(10**9)}" for _ in range(200)]
+        copy = [f"z{rng.randrange(10**9)}" if i in (40, 90, 150) else w for i, w in enumerate(base)]
+        pairs += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(copy))]
+    monkeypatch.setattr(L, "REGION", 1)  # every region is a large one
+    assert result(L.near_groups(frame(spark, pairs))) == brute(pairs)
+
+
+@pytest.mark.parametrize("seed", [6, 7])
+def test_large_regions_meet_in_parts(spark, seed, monkeypatch):
+    pairs = corpus(seed, bases=4, copies=60)
+    monkeypatch.setattr(L, "REGION", 3)
+    monkeypatch.setattr(L, "PIVOT", 4)
+    assert result(L.near_groups(frame(spark, pairs))) == brute(pairs)
+
+
 def test_edge_rows(spark):
     assert L.near_groups(frame(spark, [])).collect() == []
     got = L.near_groups(frame(spark, [(None, "a b c"), (1, "a b c"), (1, "a b c"), (2, "long " * 30_000)])).collect()
