@@ -205,6 +205,8 @@ def leaking_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents no item leaks into, with all their columns."""
-    gone = leaks(docs, benchmark).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")
+    """The documents no item leaks into, with all their columns.  Texts are matched by their
+    content (64-bit hash), so null or repeated ids make no difference."""
+    own = F.xxhash64(F.col("text").cast("string"))
+    gone = leaks(docs.select(own.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("gone_text")).distinct()
+    return docs.join(gone, own == F.col("gone_text"), "left_anti")

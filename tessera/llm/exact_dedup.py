@@ -68,16 +68,18 @@ def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = F.md5) ->
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
-    """The rows that stay, with all columns of ``docs``.  Rows repeated with the same
-    doc_id and equal text are one document and come out once."""
+    """The rows that stay, with all columns of ``docs``.  A decision holds for the doc_id with
+    that text, so null or repeated ids take no other text along.  Rows repeated with the
+    same doc_id and equal text are one document and come out once."""
     groups = exact_groups(docs)
-    gone = groups.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id"))
-    left = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("gone_id")), "left_anti")
-    again = cut_lineage(groups.where("kept").groupBy("doc_id").count().where("count > 1")
-                        .select(F.col("doc_id").alias("again_id")))
+    own = F.sha2(normalised(F.col("text")), 256)
+    gone = groups.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_text")).distinct()
+    left = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("gone_id")) & (own == F.col("gone_text")), "left_anti")
+    again = cut_lineage(groups.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1")
+                        .select(F.col("doc_id").alias("again_id"), F.col("text_sha256").alias("again_text")))
     if again.isEmpty():
         return left
-    same = left["doc_id"].eqNullSafe(F.col("again_id"))
+    same = left["doc_id"].eqNullSafe(F.col("again_id")) & (own == F.col("again_text"))
     return left.join(again, same, "left_anti").unionByName(
-        left.join(again, same, "left_semi").withColumn("again_norm", F.md5(normalised(F.col("text"))))
+        left.join(again, same, "left_semi").withColumn("again_norm", own)
         .dropDuplicates(["doc_id", "again_norm"]).drop("again_norm"))

@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.bytesops import U64, flat, mix, shingle_sets
 from tessera.llm.shared import components, cut_lineage
+from tessera.operators.windows import ordinal
 
 K = 5
 PERCENT = 85
@@ -343,6 +344,19 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One document of each component stays, with all columns of ``docs``."""
-    gone = near_groups(docs, percent).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")
+    """One document of each component stays, with all columns of ``docs``.  Texts that share a
+    doc_id are documents of their own here; null ids are never linked and stay."""
+    own = F.xxhash64(F.col("text").cast("string"))
+    many = cut_lineage(docs.where("doc_id is not null").select("doc_id", own.alias("own")).distinct()
+                       .groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    if many.isEmpty():
+        gone = near_groups(docs, percent).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
+        return docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")
+    # numbers in the order of (doc_id, text) stand for the ids
+    number = cut_lineage(ordinal(docs.where("doc_id is not null").select(F.col("doc_id").alias("n_id"), own.alias("n_text")).distinct(),
+                                 [], ["n_id", "n_text"], "number"))
+    as_numbered = docs.join(number, (docs["doc_id"] == F.col("n_id")) & (own == F.col("n_text")), "left") \
+        .select(F.col("number").alias("doc_id"), "text")
+    gone = near_groups(as_numbered, percent).where(~F.col("kept")).select(F.col("doc_id").alias("number")).distinct() \
+        .join(number, "number").select("n_id", "n_text")
+    return docs.join(gone, (docs["doc_id"] == F.col("n_id")) & (own == F.col("n_text")), "left_anti")
