@@ -8,10 +8,10 @@ similarity of at least ``percent`` / 100 are linked; a component's smallest doc_
 1. *Classes.*  Documents with one and the same set (128-bit hash and size) are one class;
    the smallest doc_id represents it.  A group of exact copies of any size is one
    aggregated row from here on.
-2. *Forest.*  ``TREES`` trees, each an order of the representatives by their own
+2. *Forest.*  ``trees(percent)`` trees (12 at 85, 16 at 80), each an order of the representatives by their own
    ``LEAST`` leading MinHash values.  Documents that share them in some tree are one
    region and candidates, whatever the region's size.  A pair at the threshold is missed
-   by all trees with a probability of ``(1 - 0.85 ** LEAST) ** TREES`` (about 1e-5 here).
+   by all trees with a probability of at most ``MISS``, whatever the threshold.
 3. *Loose groups.*  The documents of a region are looked at by their sketches; where these
    agree too little to reach the threshold (``SLACK`` below it, several standard errors)
    they are told apart, the rest is joined to loose groups by at most one edge per
@@ -33,6 +33,7 @@ keeps its own n_shingles); empty table -> empty result; extra columns are ignore
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +47,7 @@ from tessera.operators.windows import ordinal
 
 K = 5
 PERCENT = 85
-TREES = 12
+MISS = 1.1e-5
 DEPTH = 8
 LEAST = 3
 REGION = 8192
@@ -54,18 +55,28 @@ PIVOT = 512
 SLACK = 0.17
 BLOCK = 4_000_000
 
-_rng = np.random.default_rng(85)
-_A = (_rng.integers(0, 2**31, TREES * DEPTH, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
-_B = _rng.integers(0, 2**32, TREES * DEPTH, dtype=np.uint32)[:, None]
 
+def trees(percent: int) -> int:
+    """As many trees as let all of them miss a pair at the threshold with a probability of MISS at most."""
+    one = 1 - (percent / 100) ** LEAST
+    return max(1, math.ceil(math.log(MISS) / math.log(one))) if one > 0 else 1
 
-def minhashes(s: np.ndarray) -> np.ndarray:
-    """TREES * DEPTH MinHash values (uint32) of a non-empty array of 64-bit shingle hashes."""
+
+def _hashes(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Multipliers and offsets of ``count`` MinHash functions."""
+    rng = np.random.default_rng(85)
+    a = rng.integers(0, 2**31, count, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    return a[:, None], rng.integers(0, 2**32, count, dtype=np.uint32)[:, None]
+
+
+def minhashes(s: np.ndarray, hashes: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """MinHash values (uint32) of a non-empty array of 64-bit shingle hashes."""
+    mult, add = hashes
     x = (s >> U64(32)).astype(np.uint32)[None, :]
     out = None
     for a in range(0, x.shape[1], 1024):
-        part = x[:, a:a + 1024] * _A
-        part += _B
+        part = x[:, a:a + 1024] * mult
+        part += add
         part ^= part >> np.uint32(15)
         part *= np.uint32(0x2C1B3C6D)
         low = part.min(axis=1)
@@ -77,9 +88,10 @@ def _id_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, set_hash (16 bytes; null for an empty set), signature (all
     MinHash values), sketch (their lowest bytes)."""
+    hashes = _hashes(trees(percent) * DEPTH)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,7 +101,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 if len(s):
                     twice = mix(s ^ U64(0x5851F42D4C957F2D))
                     digest.append(np.array([s.sum(dtype=np.uint64), twice.sum(dtype=np.uint64)]).tobytes())
-                    values = minhashes(s)
+                    values = minhashes(s, hashes)
                     sig.append(values.astype("<u4").tobytes())
                     sketch.append(values.astype(np.uint8).tobytes())
                 else:
@@ -104,20 +116,20 @@ def signatures(docs: DataFrame) -> DataFrame:
         sign, "doc_id long, n_shingles long, set_hash binary, signature binary, sketch binary")
 
 
-def regions(reps: DataFrame) -> DataFrame:
+def regions(reps: DataFrame, n_trees: int) -> DataFrame:
     """(rep, tree, region): documents whose first ``LEAST`` values in a tree are equal have
     one region.  ``reps``: rep, signature."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = len(batch)
-            v = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").reshape(n, TREES, DEPTH).astype(np.uint64)
-            h = np.zeros((n, TREES), np.uint64) + np.arange(1, TREES + 1, dtype=np.uint64)
+            v = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").reshape(n, n_trees, DEPTH).astype(np.uint64)
+            h = np.zeros((n, n_trees), np.uint64) + np.arange(1, n_trees + 1, dtype=np.uint64)
             for d in range(LEAST):
                 h = mix((h + v[:, :, d]) * U64(0xD6E8FEB86659FD93) + U64(d + 1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(np.repeat(np.arange(n), TREES))),
-                 pa.array(np.tile(np.arange(TREES, dtype=np.int32), n)), pa.array(h.ravel().view(np.int64))],
+                [batch.column(0).take(pa.array(np.repeat(np.arange(n), n_trees))),
+                 pa.array(np.tile(np.arange(n_trees, dtype=np.int32), n)), pa.array(h.ravel().view(np.int64))],
                 ["rep", "tree", "region"])
 
     return reps.select("rep", "signature").mapInArrow(cut, "rep long, tree int, region long")
@@ -182,9 +194,9 @@ def _sketches(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
-def _need() -> float:
+def _need(percent: int) -> float:
     """Values in which the sketches of two documents of a loose group agree at least."""
-    return (PERCENT / 100 - SLACK) * TREES * DEPTH
+    return (percent / 100 - SLACK) * trees(percent) * DEPTH
 
 
 def _typical_first(rep: np.ndarray, sketch: np.ndarray) -> np.ndarray:
@@ -192,26 +204,30 @@ def _typical_first(rep: np.ndarray, sketch: np.ndarray) -> np.ndarray:
     return np.lexsort((rep, -(sketch == usual).sum(axis=1)))
 
 
-def _loose_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _loose_edges(percent: int):
     """Joins the documents of a region whose sketches agree enough, by one edge per document at most."""
-    need = _need()
-    edges: list[tuple[int, int]] = []
-    for t in _runs(batches, 1):
-        rep, sketch = t.column("rep").to_numpy(), _sketches(t.column("sketch"))
-        if len(rep) > 2:  # typical documents first: they are near to most others
-            order = _typical_first(rep, sketch)
-            rep, sketch = rep[order], sketch[order]
-        edges += [(int(rep[i]), int(rep[j])) for i, j in _forest(
-            len(rep), lambda c, o, s=sketch: o[(s[o] == s[c]).sum(axis=1) >= need])]
-        if len(edges) > 10_000:
-            yield _edge_batch(edges)
-            edges = []
-    yield _edge_batch(edges)
+    need = _need(percent)
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges: list[tuple[int, int]] = []
+        for t in _runs(batches, 1):
+            rep, sketch = t.column("rep").to_numpy(), _sketches(t.column("sketch"))
+            if len(rep) > 2:  # typical documents first: they are near to most others
+                order = _typical_first(rep, sketch)
+                rep, sketch = rep[order], sketch[order]
+            edges += [(int(rep[i]), int(rep[j])) for i, j in _forest(
+                len(rep), lambda c, o, s=sketch: o[(s[o] == s[c]).sum(axis=1) >= need])]
+            if len(edges) > 10_000:
+                yield _edge_batch(edges)
+                edges = []
+        yield _edge_batch(edges)
+
+    return join
 
 
-def _large_edges(large: DataFrame) -> DataFrame:
+def _large_edges(large: DataFrame, percent: int) -> DataFrame:
     """The loose edges of regions of more than REGION documents.  ``large``: region, rep, sketch, n."""
-    need = _need()
+    need = _need(percent)
 
     def pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _runs(batches, 1):
@@ -266,17 +282,17 @@ def _large_edges(large: DataFrame) -> DataFrame:
                       .mapInArrow(meet, "a long, b long"))
 
 
-def loose_groups(reps: DataFrame) -> DataFrame:
+def loose_groups(reps: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(id, component) of representatives that may be similar.  ``reps``: rep, signature, sketch."""
-    level = cut_lineage(regions(reps))
+    level = cut_lineage(regions(reps, trees(percent)))
     size = level.groupBy("region").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     inside, sketch = level.join(size, "region"), reps.select("rep", "sketch")
     edges = inside.where(F.col("n") <= REGION).select("region", "rep").join(sketch, "rep") \
         .select("region", "rep", "sketch").repartition("region").sortWithinPartitions("region") \
-        .mapInArrow(_loose_edges, "a long, b long")
+        .mapInArrow(_loose_edges(percent), "a long, b long")
     large = cut_lineage(inside.where(F.col("n") > REGION).select("region", "rep", "n"))
     if not large.isEmpty():
-        edges = edges.union(_large_edges(large.join(sketch, "rep").select("region", "rep", "sketch", "n")))
+        edges = edges.union(_large_edges(large.join(sketch, "rep").select("region", "rep", "sketch", "n"), percent))
     return components(edges)
 
 
@@ -331,10 +347,10 @@ def confirmed(docs: DataFrame, loose: DataFrame, reps: DataFrame, percent: int)
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept, class_id (smallest
     doc_id with the same set)."""
-    rows = cut_lineage(signatures(docs))
+    rows = cut_lineage(signatures(docs, percent))
     classes = cut_lineage(rows.where("set_hash is not null and doc_id is not null").groupBy("set_hash", "n_shingles").agg(
         F.min("doc_id").alias("rep"), F.min("signature").alias("signature"), F.min("sketch").alias("sketch")))
-    links = components(confirmed(docs, loose_groups(classes), classes, percent))
+    links = components(confirmed(docs, loose_groups(classes, percent), classes, percent))
     out = rows.select("doc_id", "set_hash", "n_shingles") \
         .join(classes.select("set_hash", "n_shingles", "rep"), ["set_hash", "n_shingles"], "left") \
         .join(links.select(F.col("id").alias("rep"), "component"), "rep", "left")

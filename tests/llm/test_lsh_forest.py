@@ -105,3 +105,13 @@ def test_drop_keeps_one_of_each_component(spark):
     got = L.drop_near_copies(frame(spark, pairs))
     assert got.columns == SCHEMA.replace(" long", "").replace(" string", "").split(", ")
     assert sorted(r.doc_id for r in got.collect()) == [r[0] for r in brute(pairs) if r[3]]
+
+
+def test_trees_and_sketches_follow_the_threshold(spark):
+    rng, pairs = random.Random(11), []
+    for k in range(150):  # 100 words, two of them changed apart: 86 / 106 = 0.81
+        base = [f"w{rng.randrange(10**9)}" for _ in range(100)]
+        pairs += [(2 * k, " ".join(base)), (2 * k + 1, " ".join("z" if i in (30, 70) else w for i, w in enumerate(base)))]
+    got = sorted(r.doc_id for r in L.drop_near_copies(frame(spark, pairs), percent=80).collect())
+    assert got == [r[0] for r in brute(pairs, 80) if r[3]] == [2 * k for k in range(150)]
+    assert (1 - 0.8 ** L.LEAST) ** L.trees(80) <= L.MISS and L.trees(85) == 12
