@@ -18,9 +18,10 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.windows import ordinal
 from tessera.session import cut_lineage, spread
 
 __all__ = ["components", "dbscan", "single_linkage", "kmeans", "elbow", "kmeans_cost_one"]
@@ -181,9 +182,9 @@ def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_samp
     core_cells = cores.select(cell_a.alias("node")).distinct()
     comp = components(cell_edges, nodes=core_cells)
     core_comp = cores.select("id", cell_a.alias("node")).join(comp, "node")
-    # number clusters by their smallest core id (one row per cluster: a small global rank)
+    # number clusters by their smallest core id (a distributed rank: there may be as many clusters as points)
     first = core_comp.groupBy("component").agg(F.min("id").alias("__first"))
-    ranked = first.withColumn("label", F.dense_rank().over(Window.orderBy("__first")) - 1)
+    ranked = ordinal(first, [], ["__first"], "label").withColumn("label", F.col("label").cast("int"))
     cell_lab = cut_lineage(core_comp.join(ranked, "component").groupBy("node").agg(F.min("label").alias("label")))
     core_lab = cores.select("id", cell_a.alias("node")).join(cell_lab, "node").select("id", "label")
     # ---- border points: lowest label among core neighbours (own cell, whole sub-cells, boundary points)
@@ -210,49 +211,10 @@ def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_samp
 
 
 def single_linkage(df: DataFrame, id_col: str, cols: Sequence[str], k: int) -> DataFrame:
-    """Single-linkage clustering cut at ``k`` clusters -> (id, label, height).
-
-    Single-linkage clusters at merge height r are the connected components of the
-    graph joining points within distance r, which is ``dbscan(eps=r, min_samples=1)``
-    (every point is core; no point pairs are formed inside grid cells or whole
-    sub-cells).  The height is bisected between 0 and the bounding-box diagonal until
-    exactly ``k`` components remain.  Labels are numbered by smallest member id.
-    If tied merge distances make k unreachable, the finest cut with fewer than k
-    clusters is returned.  Suits 2-3 dimensions (grid cells).
-    """
-    cols = list(cols)
-    pts = cut_lineage(spread(df.select(F.col(id_col), *[F.col(c).cast("double").alias(c) for c in cols])))
-    ext = pts.agg(*[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols]).first()
-    diag = math.sqrt(sum((ext[f"hi_{c}"] - ext[f"lo_{c}"]) ** 2 for c in cols)) if ext[f"lo_{cols[0]}"] is not None else 0.0
-
-    def probe(r: float) -> tuple[DataFrame, int]:
-        lab = cut_lineage(dbscan(pts, id_col, cols, r, 1).select(id_col, "label"))
-        return lab, lab.select("label").distinct().count()
-
-    # smallest height probed: far below any distinct distance, but grid indices stay in range
-    lo = max(diag, 1e-9) * 1e-12
-    hi = diag * (1 + 1e-9) + 1e-12
-    best, best_n = probe(lo)
-    if best_n > k:
-        best, best_n, h = None, None, hi
-        while True:
-            mid = (lo + hi) / 2
-            if not lo < mid < hi:  # neighbouring floats: tied merge heights skip k
-                break
-            lab, n = probe(mid)
-            if n == k:
-                best, best_n, h = lab, n, mid
-                break
-            if n > k:
-                lo = mid
-            else:
-                hi, best, best_n, h = mid, lab, n, mid
-        if best is None:
-            best, best_n = probe(hi)
-            h = hi
-    else:
-        h = lo
-    return best.withColumn("height", F.lit(float(h)))
+    """Single-linkage clustering cut at ``k`` clusters -> (id, label, height); see ``linkage.cut_tree``."""
+    from tessera.operators.linkage import cut_tree
+
+    return cut_tree(df, id_col, cols, k)
 
 
 def kmeans(df: DataFrame, k: int, featuresCol: str = "features", seed: int = 0, maxIter: int = 300):

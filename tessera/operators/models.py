@@ -315,14 +315,14 @@ def gbt_classifier(maxIter: int = 100, stepSize: float = 1.0, maxDepth: int = 3,
 
 def gbt_regressor(maxIter: int = 500, stepSize: float = 0.15, maxDepth: int = 5, featuresCol="features",
                   labelCol="label", seed: int = 20) -> GBTRegressor:
-    """M12 (first-order form; the second-order one is ``trees.BoostedTrees``)."""
+    """M12 (first-order form; the second-order one is ``boosting.BoostedTrees``)."""
     return GBTRegressor(featuresCol=featuresCol, labelCol=labelCol, maxIter=maxIter, stepSize=stepSize,
                         maxDepth=maxDepth, seed=seed)
 
 
 def mlp(n_in: int, hidden: Sequence[int] = (100,), n_out: int = 2, maxIter: int = 200, featuresCol="features",
         labelCol="label", seed: int = 0) -> MultilayerPerceptronClassifier:
-    """L-BFGS perceptron network (Spark's hidden units are sigmoid; no weight penalty)."""
+    """Spark's L-BFGS network (sigmoid hidden units, no weight penalty); M13 as the source has it is ``network.PerceptronNetwork``."""
     return MultilayerPerceptronClassifier(featuresCol=featuresCol, labelCol=labelCol,
                                           layers=[n_in, *hidden, n_out], solver="l-bfgs", maxIter=maxIter,
                                           seed=seed)

@@ -1,12 +1,11 @@
 """Histogram tree grower (H1): best-first classification trees with a leaf limit
-(M8) and second-order boosted trees (M11 classifier, M12 regressor).
+(M8).  Second-order boosted trees (M11, M12) are in ``boosting``.
 
 Every feature is cut once into quantile bins (``Bucketizer``, JVM binary search).
 Growing a tree is then a few rounds of
-``groupBy(node, feature, bin).agg(counts | sum g, sum h)`` -- a partial aggregate
+``groupBy(node, feature, bin).agg(counts)`` -- a partial aggregate
 whose result has at most nodes x features x bins rows, whatever the row count --
-and the split choice on those numbers at the driver (PLANET, 2009; the
-second-order gain of the XGBoost paper, 2016).  The current tree is applied as a
+and the split choice on those numbers at the driver (PLANET, 2009).  The current tree is applied as a
 CASE expression on the bins, so rows are never re-shuffled to nodes.
 """
 
@@ -21,6 +20,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.boosting import BoostedTrees
 from tessera.session import cut_lineage, spread
 
 __all__ = ["Binner", "BestFirstTree", "BoostedTrees"]
@@ -191,161 +191,3 @@ class BestFirstTree:
                 out.append(f"node {n.id}: {self.featuresCols[n.feature]} < "
                            f"{self.binner.threshold(n.feature, n.bin):.6g} -> {n.left}, {n.right}")
         return out
-
-
-class BoostedTrees:
-    """Second-order gradient boosting on histogram trees.
-
-    ``objective`` is ``logistic`` (labels 0/1) or ``squared``.  Each round grows a
-    depth-wise tree on gradient/hessian sums with split gain
-    ``G_L^2/(H_L+lambda) + G_R^2/(H_R+lambda) - G^2/(H+lambda)`` and leaf weight
-    ``-G/(H+lambda)`` times the learning rate.  Margins are kept as a column,
-    persisted, and checkpointed every ``checkpointInterval`` rounds (reliable
-    checkpoint, so an executor loss does not replay all rounds).  With
-    ``validationCol`` training stops after ``earlyStop`` rounds without a lower
-    validation loss and keeps the best round.
-    """
-
-    def __init__(self, featuresCols: Sequence[str], labelCol: str, objective: str = "logistic",
-                 numRounds: int = 100, eta: float = 0.3, maxDepth: int = 6, reg_lambda: float = 1.0,
-                 minChildWeight: float = 1.0, maxBins: int = 32, validationCol: str | None = None,
-                 earlyStop: int = 10, checkpointInterval: int = 10):
-        self.featuresCols, self.labelCol, self.objective = list(featuresCols), labelCol, objective
-        self.numRounds, self.eta, self.maxDepth, self.reg_lambda = numRounds, eta, maxDepth, reg_lambda
-        self.minChildWeight, self.maxBins = minChildWeight, maxBins
-        self.validationCol, self.earlyStop, self.checkpointInterval = validationCol, earlyStop, checkpointInterval
-        self.trees: list[dict] = []
-        self.base = 0.0
-        self.binner: Binner | None = None
-        self.history: list[tuple[int, float, float | None]] = []
-
-    # gradient / hessian / loss as column expressions of margin m and label y
-    def _grad(self, m: Column, y: Column) -> tuple[Column, Column, Column]:
-        if self.objective == "logistic":
-            p = 1.0 / (1.0 + F.exp(-m))
-            eps = F.lit(1e-15)
-            loss = -(y * F.log(F.greatest(p, eps)) + (1 - y) * F.log(F.greatest(1 - p, eps)))
-            return p - y, p * (1 - p), loss
-        return m - y, F.lit(1.0), (m - y) * (m - y)
-
-    def _grow(self, data: DataFrame) -> dict:
-        nodes = {0: _Node(0, 0)}
-        frontier = [0]
-        lam, next_id = self.reg_lambda, 1
-        for depth in range(self.maxDepth):
-            if not frontier:
-                break
-            routed = data.withColumn("__node", _route(nodes, F.col("__bins"))).where(F.col("__node").isin(frontier))
-            rows = (routed.select("__node", "__g", "__h", F.posexplode("__bins").alias("f", "b"))
-                          .groupBy("__node", "f", "b").agg(F.sum("__g").alias("g"), F.sum("__h").alias("h"))
-                          .collect())
-            hist: dict = {}
-            for r in rows:
-                arr = hist.setdefault(r["__node"], np.zeros((len(self.featuresCols), self.maxBins + 2, 2)))
-                arr[r["f"], r["b"], 0] += r["g"]
-                arr[r["f"], r["b"], 1] += r["h"]
-            new_frontier = []
-            for nid in frontier:
-                if nid not in hist:
-                    continue
-                hh = hist[nid]
-                G, H = hh[0, :, 0].sum(), hh[0, :, 1].sum()
-                nodes[nid].stats = (G, H)
-                base = G * G / (H + lam)
-                best = (1e-9, None, None, None)
-                for f in range(hh.shape[0]):
-                    cg, ch = np.cumsum(hh[f, :, 0]), np.cumsum(hh[f, :, 1])
-                    for b in range(hh.shape[1] - 1):
-                        gl, hl = cg[b], ch[b]
-                        gr, hr = G - gl, H - hl
-                        if hl < self.minChildWeight or hr < self.minChildWeight:
-                            continue
-                        gain = gl * gl / (hl + lam) + gr * gr / (hr + lam) - base
-                        if gain > best[0]:
-                            best = (gain, f, b, (gl, hl, gr, hr))
-                if best[1] is None:
-                    continue
-                _, f, b, (gl, hl, gr, hr) = best
-                n = nodes[nid]
-                l, r = _Node(next_id, depth + 1), _Node(next_id + 1, depth + 1)
-                next_id += 2
-                l.stats, r.stats = (gl, hl), (gr, hr)
-                n.feature, n.bin, n.left, n.right = f, b, l.id, r.id
-                nodes[l.id], nodes[r.id] = l, r
-                new_frontier += [l.id, r.id]
-            frontier = new_frontier
-        if nodes[0].stats is None:
-            nodes[0].stats = (0.0, 0.0)
-        for n in nodes.values():
-            if n.feature is None:
-                G, H = n.stats
-                n.value = float(-G / (H + lam) * self.eta)
-        return nodes
-
-    def fit(self, df: DataFrame) -> "BoostedTrees":
-        y = F.col(self.labelCol).cast("double")
-        self.binner = Binner(self.featuresCols, self.maxBins).fit(df)
-        cols = [self.labelCol] + ([self.validationCol] if self.validationCol else [])
-        data = self.binner.transform(df.select(*self.featuresCols, *cols)).select("__bins", *cols)
-        train = data.where(~F.col(self.validationCol)) if self.validationCol else data
-        mean_y = train.agg(F.avg(y)).first()[0] or 0.0
-        if self.objective == "logistic":
-            mean_y = min(max(mean_y, 1e-6), 1 - 1e-6)
-            self.base = math.log(mean_y / (1 - mean_y))
-        else:
-            self.base = float(mean_y)
-        cur = cut_lineage(spread(data.withColumn("__m", F.lit(self.base))))
-        best_loss, best_round, since = math.inf, 0, 0
-        for rnd in range(1, self.numRounds + 1):
-            g, h, _ = self._grad(F.col("__m"), y)
-            with_gh = cur.withColumns({"__g": g, "__h": h})
-            fit_rows = with_gh.where(~F.col(self.validationCol)) if self.validationCol else with_gh
-            nodes = self._grow(fit_rows)
-            self.trees.append(nodes)
-            nxt = cur.withColumn("__m", F.col("__m") + _leaf_values(nodes, F.col("__bins")))
-            if rnd % self.checkpointInterval == 0:
-                nxt = cut_lineage(nxt)           # eager, reads the still-cached previous margins
-            else:
-                nxt = nxt.persist()
-            vl = None
-            if self.validationCol:
-                # this job also materialises the cached margins (whole partitions are cached)
-                _, _, loss = self._grad(F.col("__m"), y)
-                vl = nxt.where(F.col(self.validationCol)).agg(F.avg(loss)).first()[0]
-            elif rnd % self.checkpointInterval != 0:
-                nxt.count()                      # materialise before the previous margins are dropped
-            cur.unpersist()
-            cur = nxt
-            if self.validationCol:
-                self.history.append((rnd, None, vl))
-                if vl is not None and vl < best_loss - 1e-12:
-                    best_loss, best_round, since = vl, rnd, 0
-                else:
-                    since += 1
-                    if since >= self.earlyStop:
-                        break
-        if self.validationCol and best_round:
-            self.trees = self.trees[:best_round]
-        cur.unpersist()
-        return self
-
-    def margin(self, bins: Column) -> Column:
-        m = F.lit(self.base)
-        for nodes in self.trees:
-            m = m + _leaf_values(nodes, bins)
-        return m
-
-    def transform(self, df: DataFrame, predictionCol: str = "prediction") -> DataFrame:
-        """Scores in chunks of trees so the expression stays small."""
-        t = self.binner.transform(df).withColumn("__m", F.lit(self.base))
-        for i in range(0, len(self.trees), 25):
-            part = F.lit(0.0)
-            for nodes in self.trees[i:i + 25]:
-                part = part + _leaf_values(nodes, F.col("__bins"))
-            t = t.withColumn("__m", F.col("__m") + part)
-        if self.objective == "logistic":
-            t = t.withColumn("p", 1.0 / (1.0 + F.exp(-F.col("__m"))))
-            t = t.withColumn(predictionCol, (F.col("p") >= 0.5).cast("int"))
-        else:
-            t = t.withColumn(predictionCol, F.col("__m"))
-        return t.drop("__bins", "__m")

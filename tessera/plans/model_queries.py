@@ -16,7 +16,10 @@ from tessera.operators import cluster as C
 from tessera.operators import evaluate as E
 from tessera.operators import features as X
 from tessera.operators import models as M
-from tessera.operators.trees import BestFirstTree, BoostedTrees
+from tessera.operators.linkage import merge_table
+from tessera.operators.boosting import BoostedTrees
+from tessera.operators.network import PerceptronNetwork
+from tessera.operators.trees import BestFirstTree
 from tessera.plans.inputs import passengers
 from tessera.session import cut_lineage, spread, table
 
@@ -210,30 +213,32 @@ def _emb_columns(spark: SparkSession, d: str) -> tuple[DataFrame, list[str]]:
 
 
 def boost(spark: SparkSession, d: str) -> DataFrame:
-    """Second-order boosted classifier, rate 0.1, depth 6, early stopping."""
+    """Second-order boosted classifier, up to 500 rounds at rate 0.1, depth 6, stopped after
+    ten rounds without a lower validation loss."""
     e, cols = _emb_columns(spark, d)
     train = X.hash_split(e.where(~F.col("is_test")), "vec_id", 0.2, seed=5, flag="is_valid")
-    model = BoostedTrees(cols, "binary", "logistic", numRounds=60, eta=0.1, maxDepth=6,
+    model = BoostedTrees(cols, "binary", "logistic", numRounds=500, eta=0.1, maxDepth=6,
                          validationCol="is_valid", earlyStop=10).fit(train)
     return model.transform(e.where(F.col("is_test"))).select("vec_id", "binary", "prediction", "p")
 
 
 def boost_reg(spark: SparkSession, d: str) -> DataFrame:
-    """Second-order boosted regressor (rate 0.15, depth 5) for price on lineitem."""
+    """Second-order boosted regressor (up to 500 rounds at rate 0.15, depth 5, stopped after
+    five rounds without a lower validation loss) for price on lineitem."""
     li = table(spark, d, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
         (F.col("l_extendedprice") / 1000).alias("y"))
     li = X.hash_split(li, "l_orderkey", 0.25, seed=42)
     train = X.hash_split(li.where(~F.col("is_test")), "l_orderkey", 0.2, seed=5, flag="is_valid")
-    model = BoostedTrees(["l_quantity", "l_discount", "l_tax"], "y", "squared", numRounds=40, eta=0.15,
+    model = BoostedTrees(["l_quantity", "l_discount", "l_tax"], "y", "squared", numRounds=500, eta=0.15,
                          maxDepth=5, validationCol="is_valid", earlyStop=5).fit(train)
     return model.transform(li.where(F.col("is_test"))).select("l_orderkey", "l_linenumber", "y", "prediction")
 
 
 def mlp(spark: SparkSession, d: str) -> DataFrame:
-    """Perceptron network, one hidden layer of 100, L-BFGS, ten classes."""
+    """Perceptron network, two hidden layers of 100 rectifier units, weight penalty, L-BFGS, ten classes."""
     e = _emb(spark, d)
-    model = M.mlp(64, (100,), 10, maxIter=100).fit(e.where(~F.col("is_test")))
+    model = PerceptronNetwork((100, 100), max_iter=200).fit(e.where(~F.col("is_test")))
     return model.transform(e.where(F.col("is_test"))).select("vec_id", "label", "prediction")
 
 
@@ -331,11 +336,20 @@ def dbscan(spark: SparkSession, d: str) -> DataFrame:
     return C.dbscan(_points(spark, d), "c_custkey", ["x", "y"], 0.75, 20)
 
 
+def _suppliers(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "supplier").select("s_suppkey", (F.col("s_acctbal") / 1000).alias("x"),
+                                              (F.col("s_nationkey") * 0.4).alias("y"))
+
+
 def single_link(spark: SparkSession, d: str) -> DataFrame:
     """Single-linkage clusters (k = 5) of suppliers on two scaled columns."""
-    s = table(spark, d, "supplier").select("s_suppkey", (F.col("s_acctbal") / 1000).alias("x"),
-                                          (F.col("s_nationkey") * 0.4).alias("y"))
-    return C.single_linkage(s, "s_suppkey", ["x", "y"], 5)
+    return C.single_linkage(_suppliers(spark, d), "s_suppkey", ["x", "y"], 5) \
+        .withColumn("height", F.round("height", 9))
+
+
+def single_link_merges(spark: SparkSession, d: str) -> DataFrame:
+    """The merges (a, b, height) of single linkage over all suppliers."""
+    return merge_table(_suppliers(spark, d), "s_suppkey", ["x", "y"]).select("a", "b", F.round("height", 9).alias("height"))
 
 
 def components(spark: SparkSession, d: str) -> DataFrame:
@@ -377,5 +391,6 @@ QUERIES = {
     "svm_grid": svm_grid, "svm_sweep": svm_sweep,
     "svm_poly": svm_poly, "tree": tree, "forest": forest, "gbt": gbt, "boost": boost, "boost_reg": boost_reg,
     "mlp": mlp, "cv_scores": cv_scores, "compare_models": compare_models, "ols": ols, "gd_steps": gd_steps,
-    "cost_history": cost_history, "kmeans": kmeans, "elbow": elbow, "dbscan": dbscan, "single_link": single_link, "components": components,
+    "cost_history": cost_history, "kmeans": kmeans, "elbow": elbow, "dbscan": dbscan, "single_link": single_link,
+    "single_link_merges": single_link_merges, "components": components,
 }

@@ -421,4 +421,28 @@ WITH RECURSIVE e AS (
 s AS (SELECT src AS a, dst AS b FROM e UNION SELECT dst, src FROM e),
 reach(node, root) AS (SELECT DISTINCT a, a FROM s UNION SELECT s.b, r.root FROM reach r JOIN s ON r.node = s.a)
 SELECT node AS part, min(root) AS component FROM reach GROUP BY node"""
+    # single linkage: the tree grown point by point, the next point by (square, smaller id, larger id)
+    prim = """
+WITH RECURSIVE pt AS (SELECT s_suppkey AS id, s_acctbal / 1000 AS x, s_nationkey * 0.4::DOUBLE AS y FROM supplier),
+first AS (SELECT * FROM pt ORDER BY id LIMIT 1),
+prim AS (
+  SELECT 1 AS step, p.id, p.x, p.y, p.id = f.id AS used,
+         (p.x - f.x) * (p.x - f.x) + (p.y - f.y) * (p.y - f.y) AS d2, least(p.id, f.id) AS a, greatest(p.id, f.id) AS b
+  FROM pt p, first f
+  UNION ALL
+  SELECT step + 1, id, x, y, used OR id = pid, CASE WHEN closer THEN nd ELSE d2 END, CASE WHEN closer THEN least(id, pid) ELSE a END,
+         CASE WHEN closer THEN greatest(id, pid) ELSE b END
+  FROM (SELECT *, NOT used AND id <> pid AND (nd < d2 OR nd = d2 AND (least(id, pid) < a OR least(id, pid) = a AND greatest(id, pid) < b)) AS closer
+        FROM (SELECT *, (x - px) * (x - px) + (y - py) * (y - py) AS nd
+              FROM (SELECT *, first_value(id) OVER w AS pid, first_value(x) OVER w AS px, first_value(y) OVER w AS py
+                    FROM prim WHERE step < (SELECT count(*) FROM pt) WINDOW w AS (ORDER BY used, d2, a, b)))))
+, mst AS (SELECT a, b, d2 FROM prim WHERE step = (SELECT count(*) FROM pt) AND id <> (SELECT id FROM first))"""
+    q["single_link_merges"] = prim + " SELECT a, b, round(sqrt(d2), 9) AS height FROM mst"
+    q["single_link"] = prim + """,
+kept AS (SELECT a, b, d2 FROM mst ORDER BY d2 DESC, a DESC, b DESC OFFSET 4),
+ways AS (SELECT a, b FROM kept UNION ALL SELECT b, a FROM kept),
+reach(id, root) AS (SELECT id, id FROM pt UNION SELECT ways.b, r.root FROM reach r JOIN ways ON r.id = ways.a)
+SELECT id AS s_suppkey, CAST(dense_rank() OVER (ORDER BY root) - 1 AS INTEGER) AS label,
+       (SELECT round(sqrt(max(d2)), 9) FROM kept) AS height
+FROM (SELECT id, min(root) AS root FROM reach GROUP BY id)"""
     return q
