@@ -9,8 +9,8 @@ row that stays.  A row that differs (a hash collision) goes to a group of its ow
 bytes.
 
 Defined cases: empty table -> empty result; null doc_id sorts first, as Spark orders
-nulls, and such a row can stay; repeated rows are members like any other; extra columns
-are ignored by ``exact_groups`` and carried by ``drop_exact_copies``.
+nulls, and such a row can stay; repeated rows and repeated ids are members like any other
+(every row of the id that stays is kept); extra columns are ignored by ``exact_groups`` and carried by ``drop_exact_copies``.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.shared import cut_lineage
 
+PART = 512  # rows of a group whose bytes one task compares
 WHITE = [" ", "\t", "\n", "\x0b", "\x0c", "\r"]
 
 
@@ -38,24 +39,31 @@ def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = F.md5) ->
     ``digest`` is the grouping hash; any function of the text gives the same result
     (a weak one only makes more rows go through the collision path)."""
     norm = normalised(F.col("text"))
+    hashed = F.unhex(digest(norm)) if digest is F.md5 else digest(norm)
     # position of a row inside its group: the longest original first, then the smallest id
     rank = F.struct((-F.length(F.coalesce("text", F.lit("")))).cast("long").alias("c"), F.col("doc_id").alias("i"))
-    rows = cut_lineage(docs.select("doc_id", F.unhex(digest(norm)).alias("h") if digest is F.md5 else digest(norm).alias("h"),
-                                   F.sha2(norm, 256).alias("text_sha256"), rank.alias("r")))
+    # x tells rows of one id, length and hash apart
+    rows = cut_lineage(docs.select("doc_id", hashed.alias("h"), F.sha2(norm, 256).alias("text_sha256"), rank.alias("r"),
+                                   F.xxhash64(norm).alias("x")))
     groups = rows.groupBy("h").agg(F.min("r").alias("best"), F.count(F.lit(1)).alias("n"))
     shared = groups.where("n > 1")
 
-    # bytes of the members of shared groups against the bytes of the row that stays
-    member = rows.join(shared, "h").select("h", F.col("r").alias("m_r"), "best").distinct()
-    text = docs.select(norm.alias("norm"), rank.alias("t_r"))
-    held = member.join(text, F.col("m_r") == F.col("t_r")).select("h", "m_r", "best", "norm")
-    keeper = held.where("m_r = best").groupBy("h").agg(F.min("norm").alias("k_norm"))
-    odd = cut_lineage(held.where("m_r <> best").join(keeper, "h").where("norm <> k_norm")
-                      .select(F.col("h").alias("o_h"), F.col("m_r").alias("o_r"), "norm").distinct())
+    # bytes of the members of shared groups against the bytes of the row that stays; the texts of a
+    # group meet in parts of about PART rows, each with a copy of the text that stays
+    parts = F.ceil(F.col("n") / PART).cast("int")
+    member = rows.join(shared, "h").select(F.col("h").alias("m_h"), F.col("r").alias("m_r"), F.col("x").alias("m_x"), "best", "n").distinct()
+    text = docs.select(norm.alias("norm"), hashed.alias("t_h"), rank.alias("t_r"), F.xxhash64(norm).alias("t_x"))
+    held = member.join(text, (F.col("m_h") == F.col("t_h")) & F.col("m_r").eqNullSafe(F.col("t_r")) & (F.col("m_x") == F.col("t_x"))) \
+        .select(F.col("m_h").alias("h"), "m_r", "m_x", "best", "norm", parts.alias("parts"))
+    keeper = held.where("m_r <=> best").groupBy("h", "parts").agg(F.min("norm").alias("k_norm")) \
+        .select("h", "k_norm", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    odd = cut_lineage(held.withColumn("part", F.pmod(F.xxhash64("m_r"), F.col("parts")).cast("int")).join(keeper, ["h", "part"])
+                      .where("norm <> k_norm").select(F.col("h").alias("o_h"), F.col("m_r").alias("o_r"), F.col("m_x").alias("o_x"), "norm").distinct())
     if odd.isEmpty():
         variants = rows.withColumn("norm", F.lit(None).cast("string"))
     else:
-        variants = rows.join(odd, (F.col("h") == F.col("o_h")) & (F.col("r") == F.col("o_r")), "left").drop("o_h", "o_r")
+        variants = rows.join(odd, (F.col("h") == F.col("o_h")) & F.col("r").eqNullSafe(F.col("o_r")) & (F.col("x") == F.col("o_x")), "left") \
+            .drop("o_h", "o_r", "o_x")
         groups = variants.groupBy("h", F.col("norm").alias("g_norm")) \
             .agg(F.min("r").alias("best"), F.count(F.lit(1)).alias("n"))
     groups = groups.withColumnRenamed("h", "g_h")

@@ -44,3 +44,31 @@ def test_null_id_and_empty_table(spark):
     got = exact_groups(frame(spark, [(None, "x"), (1, "x")])).collect()
     assert {(r.doc_id, r.keep_id, r.kept) for r in got} == {(None, None, True), (1, None, False)}
     assert exact_groups(frame(spark, [])).collect() == []
+
+
+REPEATED = [(1, "abc"), (2, "abc"), (1, "aaa"), (None, "xyz"), (None, "xyy"), (3, "x yz"), (4, "xyz"), (1, "abc"), (5, "a aa"), (None, "xyz")]
+
+
+def test_repeated_and_null_ids_of_equal_length(spark):
+    def order(pair):
+        return -len(pair[1]), pair[0] is not None, pair[0] or 0
+
+    norm = lambda t: t.replace(" ", "")
+    want = []
+    for i, t in REPEATED:
+        group = sorted((p for p in REPEATED if norm(p[1]) == norm(t)), key=order)
+        want.append((i, group[0][0], len(group), i == group[0][0], hashlib.sha256(norm(t).encode()).hexdigest()))
+    for digest in (F.md5, lambda t: F.length(t).cast("string")):
+        got = [tuple(r) for r in exact_groups(frame(spark, REPEATED), digest).collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
+    left = drop_exact_copies(frame(spark, REPEATED)).collect()
+    assert sorted(norm(r.text) for r in left) == ["aaa", "abc", "xyy", "xyz"]
+
+
+def test_a_large_group_is_compared_in_parts(spark, monkeypatch):
+    from tessera.llm import exact_dedup
+
+    monkeypatch.setattr(exact_dedup, "PART", 7)
+    pairs = [(i, "same text" if i % 3 else f"other{i % 2}") for i in range(200)]
+    for digest in (F.md5, lambda t: F.lit("h")):
+        assert {tuple(r) for r in exact_groups(frame(spark, pairs), digest).collect()} == brute(pairs)
