@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.shared import table
 
+NEAR_PERCENT = 80  # the pipeline's bound on word shingles; op7's own query takes 85 by its contract
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: documents scored as toxic go."""
@@ -23,10 +25,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: of each component of near copies the smallest doc_id stays."""
+    """Operator 7: of each component of near copies (similarity of 0.8 or more) the smallest doc_id stays."""
     from tessera.llm.lsh_forest import drop_near_copies
 
-    return drop_near_copies(docs)
+    return drop_near_copies(docs, percent=NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
