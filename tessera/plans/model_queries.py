@@ -19,6 +19,7 @@ from tessera.operators import models as M
 from tessera.operators.linkage import merge_table
 from tessera.operators.boosting import BoostedTrees
 from tessera.operators.network import PerceptronNetwork
+from tessera.operators.paths import linear_cv, logistic_paths
 from tessera.operators.trees import BestFirstTree
 from tessera.plans.inputs import passengers
 from tessera.session import cut_lineage, spread, table
@@ -61,38 +62,15 @@ def _doc_matrix(spark: SparkSession, d: str):
 
 
 GRID_C = [0.01, 0.1, 1, 10, 100]
-_TUNED: dict[tuple[str, str], dict] = {}
-
-
-def _scaled(cols: list[str], *stages) -> Pipeline:
-    return Pipeline(stages=[X.Standardizer(cols), VectorAssembler(inputCols=cols, outputCol="features"), *stages])
+GRID = [(penalty, float(c)) for penalty in ("l1", "l2") for c in GRID_C]
 
 
 def _logistic_search(spark: SparkSession, d: str):
-    """The grid over penalty and C with the scaler inside the folds; (fitted search, rows per fit, table, columns)."""
-    f, cols = _doc_table(spark, d)
-    full = cut_lineage(spread(f.select("doc_id", "label", "is_test", *cols)))
-    train = cut_lineage(X.kfold(full.where(~F.col("is_test")), 5, ["doc_id"], label="label"))
-    n_fit = int(train.count() * 0.8)
-    lr = M.logistic(C=1.0, n=n_fit)
-    found = M.grid_search(_scaled(cols, lr), train, {
-        lr.elasticNetParam: [1.0, 0.0], lr.regParam: [M.reg_param(c, n_fit) for c in GRID_C]}, "fold", 5)
-    _TUNED[spark.sparkContext.applicationId, d] = M.best_point(found)
-    return found, n_fit, full, cols
-
-
-def _tuned_logistic(spark: SparkSession, d: str):
-    """The best model of the grid refitted on the training part; (model, table, columns).  The
-    best parameters are kept per session and folder, so the grid runs once."""
-    key = spark.sparkContext.applicationId, d
-    if key not in _TUNED:
-        found, _, full, cols = _logistic_search(spark, d)
-        return found.bestModel, full, cols
+    """All points of the grid with the scaler inside the folds; (paths, table, columns)."""
     f, cols = _doc_table(spark, d)
     full = cut_lineage(spread(f.select("doc_id", "label", "is_test", *cols)))
-    best = _TUNED[key]
-    lr = M.logistic(C=1.0, n=1).setRegParam(best["regParam"]).setElasticNetParam(best["elasticNetParam"])
-    return _scaled(cols, lr).fit(full.where(~F.col("is_test"))), full, cols
+    train = X.kfold(full.where(~F.col("is_test")), 5, ["doc_id"], label="label")
+    return logistic_paths(train, cols, "label", GRID, "fold", 5), full, cols
 
 
 def _emb(spark: SparkSession, d: str) -> DataFrame:
@@ -113,22 +91,19 @@ def logistic(spark: SparkSession, d: str) -> DataFrame:
 
 
 def logistic_grid(spark: SparkSession, d: str) -> DataFrame:
-    """L1/L2 x five C values, scored by 5-fold cross-validated AUC; the scaler is
-    fitted inside the folds, ``is_best`` marks the point whose model the other queries use."""
-    found, n_fit, _, _ = _logistic_search(spark, d)
-    best = M.best_point(found)
-    rows = []
-    for pm, score in zip(found.getEstimatorParamMaps(), found.avgMetrics):
-        vals = {p.name: v for p, v in pm.items()}
-        c = 1.0 / (vals["regParam"] * n_fit)
-        rows.append(("l1" if vals["elasticNetParam"] == 1.0 else "l2", float(round(c, 6)), float(score), vals == best))
+    """L1/L2 x five C values (intercept penalised), scored by 5-fold cross-validated AUC; the
+    scaler is fitted inside the folds, ``is_best`` marks the point whose model the other queries use."""
+    found, _, _ = _logistic_search(spark, d)
+    scores = found.scores()
+    best = found.points[max(range(len(scores)), key=lambda i: (scores[i] is not None, scores[i] or 0.0, -i))]
+    rows = [(p, c, score, (best.penalty, best.C) == (p, c)) for (p, c), score in zip(GRID, scores)]
     return spark.createDataFrame(rows, "penalty string, C double, auc double, is_best boolean")
 
 
 def coefficients(spark: SparkSession, d: str) -> DataFrame:
     """Top-15 coefficients of the tuned logistic model by magnitude."""
-    model, _, cols = _tuned_logistic(spark, d)
-    return M.coefficients(model.stages[-1], cols, spark, top=15)
+    found, _, cols = _logistic_search(spark, d)
+    return M.coefficients(found.best(), cols, spark, top=15)
 
 
 def _svm_search(spark: SparkSession, d: str):
@@ -368,21 +343,26 @@ def model_metrics(spark: SparkSession, d: str) -> DataFrame:
     train = cut_lineage(X.kfold(full.where(~F.col("is_test")), 3, ["doc_id"], label="label"))
     test = full.where(F.col("is_test"))
     n = train.count()
-    tuned, table_, _ = _tuned_logistic(spark, d)
+    search, table_, _ = _logistic_search(spark, d)
     svm = M.PlattScaler(M.svm_rbf(len(cols), C=1.0, n=n, gamma=1.0 / len(cols), n_features=128), "fold",
                         k=3).fit(train)
     results = {}
-    for name, model, rows in [("logistic", tuned, table_.where(F.col("is_test"))), ("svm_rbf", svm, test)]:
-        scored = M.predict_proba(model, rows).select("label", "prediction", "p")
-        results[name] = E.classification_metrics(scored, "label", "prediction", "p")
+    scored = {"logistic": search.best().transform(table_.where(F.col("is_test"))), "svm_rbf": M.predict_proba(svm, test)}
+    for name, rows in scored.items():
+        results[name] = E.classification_metrics(rows.select("label", "prediction", "p"), "label", "prediction", "p")
     return E.metrics_table(results, wide=True)
 
 
 def model_sweep(spark: SparkSession, d: str) -> DataFrame:
     """Threshold sweep (0.10 ... 0.90) over the tuned logistic model's test probabilities."""
-    model, full, _ = _tuned_logistic(spark, d)
-    scored = M.predict_proba(model, full.where(F.col("is_test")))
-    return E.threshold_sweep(scored, "label", "p")
+    found, full, _ = _logistic_search(spark, d)
+    return E.threshold_sweep(found.best().transform(full.where(F.col("is_test"))), "label", "p")
+
+
+def cv_linear(spark: SparkSession, d: str) -> DataFrame:
+    """Held-out R^2 of price on quantity in five folds by order; one aggregate."""
+    li = table(spark, d, "lineitem").withColumn("fold", F.col("l_orderkey") % 5)
+    return linear_cv(li, ["l_quantity"], "l_extendedprice", "fold").select("fold", "n", F.round("r2", 6).alias("r2"))
 
 
 QUERIES = {
@@ -391,6 +371,6 @@ QUERIES = {
     "svm_grid": svm_grid, "svm_sweep": svm_sweep,
     "svm_poly": svm_poly, "tree": tree, "forest": forest, "gbt": gbt, "boost": boost, "boost_reg": boost_reg,
     "mlp": mlp, "cv_scores": cv_scores, "compare_models": compare_models, "ols": ols, "gd_steps": gd_steps,
-    "cost_history": cost_history, "kmeans": kmeans, "elbow": elbow, "dbscan": dbscan, "single_link": single_link,
+    "cost_history": cost_history, "cv_linear": cv_linear, "kmeans": kmeans, "elbow": elbow, "dbscan": dbscan, "single_link": single_link,
     "single_link_merges": single_link_merges, "components": components,
 }

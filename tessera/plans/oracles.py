@@ -445,4 +445,13 @@ reach(id, root) AS (SELECT id, id FROM pt UNION SELECT ways.b, r.root FROM reach
 SELECT id AS s_suppkey, CAST(dense_rank() OVER (ORDER BY root) - 1 AS INTEGER) AS label,
        (SELECT round(sqrt(max(d2)), 9) FROM kept) AS height
 FROM (SELECT id, min(root) AS root FROM reach GROUP BY id)"""
+    # held-out R^2 per fold: the line of the other folds against the fold's own rows
+    q["cv_linear"] = """
+WITH li AS (SELECT l_orderkey % 5 AS fold, CAST(l_quantity AS DOUBLE) AS x, CAST(l_extendedprice AS DOUBLE) AS y FROM lineitem),
+line AS (SELECT f.fold, regr_slope(li.y, li.x) AS b, regr_intercept(li.y, li.x) AS a
+         FROM (SELECT DISTINCT fold FROM li) f JOIN li ON li.fold <> f.fold GROUP BY f.fold),
+own AS (SELECT fold, avg(y) AS m, count(*) AS n FROM li GROUP BY fold)
+SELECT li.fold, any_value(own.n) AS n,
+       round(1 - sum((y - a - b * x) * (y - a - b * x)) / sum((y - m) * (y - m)), 6) AS r2
+FROM li JOIN line ON li.fold = line.fold JOIN own ON li.fold = own.fold GROUP BY li.fold"""
     return q
