@@ -454,4 +454,14 @@ own AS (SELECT fold, avg(y) AS m, count(*) AS n FROM li GROUP BY fold)
 SELECT li.fold, any_value(own.n) AS n,
        round(1 - sum((y - a - b * x) * (y - a - b * x)) / sum((y - m) * (y - m)), 6) AS r2
 FROM li JOIN line ON li.fold = line.fold JOIN own ON li.fold = own.fold GROUP BY li.fold"""
+    q["theta_sums"] = """
+SELECT c_custkey, count(o_orderkey) AS matches, CAST(coalesce(sum(CAST(round(o_totalprice * 100) AS BIGINT)), 0) AS BIGINT) AS cents
+FROM customer LEFT JOIN orders ON c_acctbal * 20 >= o_totalprice GROUP BY c_custkey"""
+    q["range_matches"] = """
+SELECT l_orderkey, l_linenumber, p_partkey FROM lineitem JOIN part
+ON l_extendedprice BETWEEN p_retailprice * 20 - 2 AND p_retailprice * 20 + 2"""
+    q["least_tier"] = """
+SELECT l_orderkey, l_linenumber, (SELECT min(s_suppkey) FROM supplier
+                                  WHERE s_suppkey % 3 = l_suppkey % 3 AND s_acctbal * 10 >= l_extendedprice) AS least
+FROM lineitem"""
     return q

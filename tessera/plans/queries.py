@@ -234,6 +234,28 @@ def range_pairs(spark: SparkSession, d: str) -> DataFrame:
     return J.range_pairs(s, "lo", "hi", keep=["s_suppkey"])
 
 
+def theta_sums(spark: SparkSession, d: str) -> DataFrame:
+    """For each customer the number and value (in cents) of all orders that cost at most twenty times its balance."""
+    c = table(spark, d, "customer").select("c_custkey", (F.col("c_acctbal") * 20).alias("limit"))
+    o = table(spark, d, "orders").select("o_totalprice", F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+    return J.theta_aggregate(c, o, "limit", "o_totalprice", ">=", {"cents": "cents"}).select("c_custkey", "matches", "cents")
+
+
+def range_matches(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of lines and parts where the line's price lies within two of twenty times the part's."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    p = table(spark, d, "part").select("p_partkey", (F.col("p_retailprice") * 20 - 2).alias("lo"), (F.col("p_retailprice") * 20 + 2).alias("hi"))
+    return J.range_join(li, p, "l_extendedprice", "lo", "hi").select("l_orderkey", "l_linenumber", "p_partkey")
+
+
+def least_tier(spark: SparkSession, d: str) -> DataFrame:
+    """For each line the smallest supplier key of the tier (key modulo 3) whose balance, times ten, covers its price."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_suppkey") % 3).alias("tier"), "l_extendedprice")
+    s = table(spark, d, "supplier").select("s_suppkey", (F.col("s_suppkey") % 3).alias("tier"), (F.col("s_acctbal") * 10).alias("capacity"))
+    return J.least_reaching(li, s, ["tier"], "l_extendedprice", "capacity", "s_suppkey", "least") \
+        .select("l_orderkey", "l_linenumber", "least")
+
+
 def deepest_basin(spark: SparkSession, d: str) -> DataFrame:
     """Deepest basin of every user's value series ordered by (ts, event_id)."""
     ev = table(spark, d, "events")
