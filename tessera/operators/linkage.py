@@ -1,4 +1,7 @@
-"""Single-linkage clustering (C2) from an exact minimum spanning tree.
+"""Single linkage (C2) from an exact minimum spanning tree, and complete linkage (C1) by local merging.
+
+Single linkage
+--------------
 
 The tree is grown by Borůvka rounds: every component takes its shortest edge to a foreign
 component.  Edges are ordered by (squared length, smaller id, larger id), a total order, so
@@ -20,6 +23,20 @@ equal lengths never close a circle and the tree is unique.
 A leaf is one task's work (quadratic in its points, ``leaf_points`` of them as long as the
 table has at most ``MAX_LEAVES * leaf_points`` different points, more beyond); the table of
 leaf boxes has at most ``MAX_LEAVES`` rows and is the only thing that every task sees.
+
+Complete linkage
+----------------
+Two clusters are as far apart as their farthest points.  The method is reducible: pairs that are
+each other's nearest may be merged in any order, with the result of the greedy order (ties go
+by the smaller ids).  A cluster carries a typical point and its extreme points (in one or two
+dimensions the corners of its hull, else all its points), which give the distance to any other cluster.
+
+A stage deals the clusters by their typical points to k-d leaves.  A cluster of another leaf has
+its typical point beyond the border, so it is at least as far as the border from every point: pairs
+that are nearest to each other and nearer than that are merged inside the leaf, again and
+again, on a distance matrix of the leaf's clusters.  The next stage deals what is left by other cuts.
+A stage that merges less than a tenth doubles the leaves' capacity, so the last stage is one leaf;
+it holds the clusters that no cut could separate, few unless all points are equally spaced.
 """
 
 from __future__ import annotations
@@ -35,7 +52,7 @@ from pyspark.sql import functions as F
 from tessera.operators.cluster import components
 from tessera.session import cut_lineage
 
-__all__ = ["spanning_tree", "merge_table", "cut_tree"]
+__all__ = ["spanning_tree", "merge_table", "cut_tree", "complete_merges", "complete_linkage"]
 
 MAX_LEAVES = 8192      # rows of the leaf table, which is broadcast
 SAMPLE = 65_536        # points the k-d cuts are chosen from
@@ -47,7 +64,7 @@ BLOCK = 512
 class KdLeaves:
     """Axis-parallel cuts at sample medians; ``lo``/``hi`` are the regions of the leaves."""
 
-    def __init__(self, sample: np.ndarray, leaves: int, d: int):
+    def __init__(self, sample: np.ndarray, leaves: int, d: int, shift: float = 0.0):
         self.dim, self.cut, self.kids = [], [], []
         lo, hi = [], []
 
@@ -60,7 +77,7 @@ class KdLeaves:
                 hi.append(b)
                 return ~(len(lo) - 1)
             x = points[:, axis]
-            at = float(np.quantile(x, (n // 2) / n, method="lower"))
+            at = float(np.quantile(x, min(max((n // 2) / n + shift, 0.05), 0.95), method="lower"))
             if at <= x.min():
                 at = float(x[x > x.min()].min())
             me = len(self.dim)
@@ -174,11 +191,7 @@ def spanning_tree(df: DataFrame, id_col: str, cols: Sequence[str], leaf_points:
     """
     d, kind = len(cols), df.schema[id_col].dataType.simpleString()
     spark = df.sparkSession
-    at = [F.col(c).cast("double") for c in cols]
-    ok = F.col(id_col).isNotNull()
-    for c in at:
-        ok = ok & c.isNotNull() & ~F.isnan(c)
-    pts = cut_lineage(df.where(ok).select(F.col(id_col).alias("id"), F.array(*at).alias("x")))
+    pts = cut_lineage(_clean(df, id_col, cols))
     nodes = cut_lineage(pts.groupBy("x").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")))
     again = pts.join(nodes.where("n > 1").select("x", F.col("id").alias("a")), "x").where("id <> a") \
         .select("a", F.col("id").alias("b"), F.lit(0.0).alias("d2"))
@@ -302,18 +315,149 @@ def merge_table(df: DataFrame, id_col: str, cols: Sequence[str], leaf_points: in
     return spanning_tree(df, id_col, cols, leaf_points).select("a", "b", F.sqrt("d2").alias("height"))
 
 
-def cut_tree(df: DataFrame, id_col: str, cols: Sequence[str], k: int, leaf_points: int = LEAF_POINTS) -> DataFrame:
-    """(id, label, height): the k clusters left without the k - 1 longest merges (by height, then
-    ids); labels follow the smallest member id; height is that of the last merge kept."""
-    merges = cut_lineage(spanning_tree(df, id_col, cols, leaf_points))
+def _clean(df: DataFrame, id_col: str, cols: Sequence[str]) -> DataFrame:
+    """(id, x) of the rows with an id and all coordinates."""
+    at = [F.col(c).cast("double") for c in cols]
+    ok = F.col(id_col).isNotNull()
+    for c in at:
+        ok = ok & c.isNotNull() & ~F.isnan(c)
+    return df.where(ok).select(F.col(id_col).alias("id"), F.array(*at).alias("x"))
+
+
+def _cut(points: DataFrame, merges: DataFrame, id_col: str, k: int) -> DataFrame:
+    """The k clusters left without the k - 1 highest merges (by height, then ids)."""
     longest = merges.orderBy(F.desc("d2"), F.desc("a"), F.desc("b")).limit(max(int(k), 1) - 1)  # k - 1 rows
     kept = cut_lineage(merges.join(longest.select("a", "b"), ["a", "b"], "left_anti"))
-    ok = F.col(id_col).isNotNull()
-    for c in cols:
-        ok = ok & F.col(c).cast("double").isNotNull() & ~F.isnan(F.col(c).cast("double"))
-    found = components(kept, "a", "b", nodes=df.where(ok).select(F.col(id_col).alias("node")))
+    found = components(kept, "a", "b", nodes=points.select(F.col("id").alias("node")))
     names = sorted(r[0] for r in found.select("component").distinct().collect())  # k of them
     height = kept.agg(F.max("d2")).first()[0]
-    label = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(names)] or [], f"component {found.schema['component'].dataType.simpleString()}, label int")
+    kind = found.schema["component"].dataType.simpleString()
+    label = points.sparkSession.createDataFrame([(c, i) for i, c in enumerate(names)], f"component {kind}, label int")
     return found.join(F.broadcast(label), "component").select(
         F.col("node").alias(id_col), "label", F.lit(math.sqrt(height) if height else 0.0).alias("height"))
+
+
+def cut_tree(df: DataFrame, id_col: str, cols: Sequence[str], k: int, leaf_points: int = LEAF_POINTS) -> DataFrame:
+    """(id, label, height): the k clusters left without the k - 1 longest merges (by height, then
+    ids); labels follow the smallest member id; height is that of the last merge kept."""
+    return _cut(_clean(df, id_col, cols), cut_lineage(spanning_tree(df, id_col, cols, leaf_points)), id_col, k)
+
+
+# ---- complete linkage
+
+LEAF_CLUSTERS = 2048   # clusters of a leaf: its distance matrix takes 32 MB
+
+
+def extremes(x: np.ndarray) -> np.ndarray:
+    """Points that hold the farthest point of a cluster from anywhere: hull corners in one or two
+    dimensions, all points in more."""
+    x = np.unique(x, axis=0)
+    if x.shape[1] == 1:
+        return x[[0, -1]] if len(x) > 1 else x
+    if x.shape[1] > 2 or len(x) < 4:
+        return x
+
+    def half(points: np.ndarray) -> list:
+        out: list = []
+        for p in points:
+            while len(out) > 1 and (out[-1][0] - out[-2][0]) * (p[1] - out[-2][1]) - (out[-1][1] - out[-2][1]) * (p[0] - out[-2][0]) < 0:
+                out.pop()
+            out.append(p)
+        return out
+
+    return np.unique(np.array(half(x) + half(x[::-1])), axis=0)
+
+
+def merge_local(ids: np.ndarray, points: list[np.ndarray], lo: np.ndarray, hi: np.ndarray) -> tuple[list[list[int]], list[tuple[float, int, int]]]:
+    """(members of each cluster left, merges (square, i, j)) of the clusters of a leaf; ids ascend."""
+    n = len(ids)
+    flat = np.concatenate(points)
+    start = np.cumsum([0, *map(len, points[:-1])])
+    far = np.empty((n, n))
+    for i in range(n):
+        s = _square(points[i][:, None, :], flat[None, :, :]).max(axis=0)
+        far[i] = np.maximum.reduceat(s, start)
+    np.fill_diagonal(far, np.inf)
+    border = np.array([np.maximum(np.minimum(p - lo, hi - p).min(axis=1), 0.0).max() for p in points]) ** 2 * (1 - 1e-9)
+    members, alive, merges = [[i] for i in range(n)], np.ones(n, bool), []
+    while alive.sum() > 1:
+        live = np.flatnonzero(alive)
+        sub = far[np.ix_(live, live)]
+        least = sub.min(axis=1)
+        # of equally near ones the smaller pair of ids: for a row that is the first column
+        mate = sub.argmin(axis=1)
+        found = False
+        for p in np.flatnonzero(mate[mate] == np.arange(len(live))):
+            q = mate[p]
+            a, b = int(live[p]), int(live[q])
+            if p < q and least[p] < border[a] and least[p] < border[b]:
+                merges.append((float(least[p]), a, b))
+                far[a] = np.maximum(far[a], far[b])
+                far[:, a] = far[a]
+                far[a, a] = np.inf
+                far[b, :] = far[:, b] = np.inf
+                alive[b] = False
+                border[a] = max(border[a], border[b])
+                members[a] += members[b]
+                found = True
+        if not found:
+            break
+    return [members[i] for i in np.flatnonzero(alive)], merges
+
+
+def complete_merges(df: DataFrame, id_col: str, cols: Sequence[str], leaf_clusters: int = LEAF_CLUSTERS,
+                    max_height: float = math.inf) -> DataFrame:
+    """The merges (a, b, d2) of complete linkage, d2 the squared height; a and b are the smallest ids of
+    the clusters merged.  ``max_height`` leaves out merges above it.
+
+    ``id_col`` must be unique; rows with a null id or a null or NaN coordinate are left out.
+    """
+    d, kind = len(cols), df.schema[id_col].dataType.simpleString()
+    spark = df.sparkSession
+    pts = cut_lineage(_clean(df, id_col, cols))
+    nodes = cut_lineage(pts.groupBy("x").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")))
+    merges = pts.join(nodes.where("n > 1").select("x", F.col("id").alias("a")), "x").where("id <> a") \
+        .select("a", F.col("id").alias("b"), F.lit(0.0).alias("d2"))
+    # a cluster: smallest id, typical point, extreme points one after the other
+    state = nodes.select("id", "x", F.col("x").alias("points"))
+    left, capacity, stage = nodes.count(), leaf_clusters, 0
+    limit = max_height ** 2
+    while left > 1:
+        leaves = min(MAX_LEAVES, math.ceil(left / capacity))
+        bucket = max(1, math.ceil(2 * left / SAMPLE))
+        sample = state.where(F.pmod(F.xxhash64("id"), F.lit(bucket)) == 0).select("x").limit(SAMPLE).toPandas()["x"] if leaves > 1 else []
+        kd = KdLeaves(np.array([list(v) for v in sample], float).reshape(-1, d), leaves, d, (0.0, 0.11, -0.17, 0.23)[stage % 4])
+
+        def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                if len(b):
+                    yield b.assign(leaf=kd.leaf(np.stack(b["x"].to_numpy())).astype(np.int32))
+
+        def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values("id", kind="stable")
+            leaf, ids = int(pdf["leaf"].iloc[0]), pdf["id"].to_numpy()
+            x, points = list(pdf["x"]), [np.asarray(p, float).reshape(-1, d) for p in pdf["points"]]
+            groups, found = merge_local(ids, points, kd.lo[leaf], kd.hi[leaf])
+            rows = [(ids[g[0]], None, None, x[g[0]], points[g[0]].ravel() if len(g) == 1 else extremes(np.concatenate([points[i] for i in g])).ravel())
+                    for g in groups]
+            rows += [(ids[a], ids[b], s, None, None) for s, a, b in found]
+            return pd.DataFrame(rows, columns=["id", "b", "d2", "x", "points"])
+
+        out = cut_lineage(state.mapInPandas(deal, f"id {kind}, x array<double>, points array<double>, leaf int").groupBy("leaf").applyInPandas(
+            merge, f"id {kind}, b {kind}, d2 double, x array<double>, points array<double>"))
+        merges = merges.union(out.where("b is not null").where(F.col("d2") <= limit).select(F.col("id").alias("a"), "b", "d2"))
+        # merges only rise, so clusters made above the limit make no merge below it
+        state = out.where("b is null").select("id", "x", "points")
+        now = state.count()
+        if leaves == 1:
+            break
+        if now > 0.9 * left:
+            capacity *= 2
+        left, stage = now, stage + 1
+    return merges
+
+
+def complete_linkage(df: DataFrame, id_col: str, cols: Sequence[str], k: int, leaf_clusters: int = LEAF_CLUSTERS) -> DataFrame:
+    """(id, label, height): complete linkage cut at ``k`` clusters; labels follow the smallest member id, height is
+    that of the last merge kept."""
+    return _cut(_clean(df, id_col, cols), cut_lineage(complete_merges(df, id_col, cols, leaf_clusters)), id_col, k)

@@ -16,7 +16,7 @@ from tessera.operators import cluster as C
 from tessera.operators import evaluate as E
 from tessera.operators import features as X
 from tessera.operators import models as M
-from tessera.operators.linkage import merge_table
+from tessera.operators.linkage import complete_linkage, merge_table
 from tessera.operators.boosting import BoostedTrees
 from tessera.operators.network import PerceptronNetwork
 from tessera.operators.paths import linear_cv, logistic_paths
@@ -327,6 +327,11 @@ def single_link_merges(spark: SparkSession, d: str) -> DataFrame:
     return merge_table(_suppliers(spark, d), "s_suppkey", ["x", "y"]).select("a", "b", F.round("height", 9).alias("height"))
 
 
+def complete_link(spark: SparkSession, d: str) -> DataFrame:
+    """Complete-linkage clusters (k = 5) of suppliers on two scaled columns."""
+    return complete_linkage(_suppliers(spark, d), "s_suppkey", ["x", "y"], 5).withColumn("height", F.round("height", 9))
+
+
 def components(spark: SparkSession, d: str) -> DataFrame:
     """G1: connected components of parts linked by consecutive lines of an order."""
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
@@ -372,5 +377,5 @@ QUERIES = {
     "svm_poly": svm_poly, "tree": tree, "forest": forest, "gbt": gbt, "boost": boost, "boost_reg": boost_reg,
     "mlp": mlp, "cv_scores": cv_scores, "compare_models": compare_models, "ols": ols, "gd_steps": gd_steps,
     "cost_history": cost_history, "cv_linear": cv_linear, "kmeans": kmeans, "elbow": elbow, "dbscan": dbscan, "single_link": single_link,
-    "single_link_merges": single_link_merges, "components": components,
+    "single_link_merges": single_link_merges, "complete_link": complete_link, "components": components,
 }

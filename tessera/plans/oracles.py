@@ -464,4 +464,21 @@ ON l_extendedprice BETWEEN p_retailprice * 20 - 2 AND p_retailprice * 20 + 2"""
 SELECT l_orderkey, l_linenumber, (SELECT min(s_suppkey) FROM supplier
                                   WHERE s_suppkey % 3 = l_suppkey % 3 AND s_acctbal * 10 >= l_extendedprice) AS least
 FROM lineitem"""
+    # complete linkage, greedily: the closest two clusters merge, distances to others are the larger ones
+    q["complete_link"] = """
+WITH RECURSIVE pt AS (SELECT s_suppkey AS id, s_acctbal / 1000 AS x, s_nationkey * 0.4::DOUBLE AS y FROM supplier),
+m AS (
+  SELECT 1 AS step, p.id AS a, q.id AS b, (p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y) AS d2 FROM pt p JOIN pt q ON p.id < q.id
+  UNION ALL
+  SELECT step + 1, least(na, nb), greatest(na, nb), max(d2)
+  FROM (SELECT step, d2, CASE WHEN a = mb THEN ma ELSE a END AS na, CASE WHEN b = mb THEN ma ELSE b END AS nb
+        FROM (SELECT *, first_value(a) OVER w AS ma, first_value(b) OVER w AS mb FROM m WINDOW w AS (ORDER BY d2, a, b)))
+  WHERE na <> nb GROUP BY step, least(na, nb), greatest(na, nb)),
+merges AS (SELECT a, b, d2 FROM m QUALIFY row_number() OVER (PARTITION BY step ORDER BY d2, a, b) = 1),
+kept AS (SELECT a, b, d2 FROM merges ORDER BY d2 DESC, a DESC, b DESC OFFSET 4),
+ways AS (SELECT a, b FROM kept UNION ALL SELECT b, a FROM kept),
+reach(id, root) AS (SELECT id, id FROM pt UNION SELECT ways.b, r.root FROM reach r JOIN ways ON r.id = ways.a)
+SELECT id AS s_suppkey, CAST(dense_rank() OVER (ORDER BY root) - 1 AS INTEGER) AS label,
+       (SELECT round(sqrt(max(d2)), 9) FROM kept) AS height
+FROM (SELECT id, min(root) AS root FROM reach GROUP BY id)"""
     return q

@@ -102,3 +102,59 @@ def test_small_and_missing(spark):
     assert sorted(tuple(r) for r in L.cut_tree(df, "id", ["x"], 2).collect()) == [(1, 0, 0.0), (2, 0, 0.0), (5, 1, 0.0)]
     words = spark.createDataFrame([("b", 0.0), ("a", 1.0), ("c", 5.0)], "id string, x double")
     assert sorted(tuple(r) for r in L.merge_table(words, "id", ["x"]).collect()) == [("a", "b", 1.0), ("a", "c", 4.0)]
+
+
+def greedy_complete(ids, x):
+    """Heights (squared) and members of all merges by plain greedy merging."""
+    far = {frozenset((i, j)): float(sum((a - b) * (a - b) for a, b in zip(x[i], x[j]))) for i in range(len(ids)) for j in range(i)}
+    groups = {i: {int(ids[i])} for i in range(len(ids))}
+    out = []
+    while len(groups) > 1:
+        d2, a, b = min((far[frozenset((i, j))], i, j) for i in groups for j in groups if i < j)
+        for k in groups:
+            if k not in (a, b):
+                far[frozenset((a, k))] = max(far[frozenset((a, k))], far[frozenset((b, k))])
+        out.append((d2, *sorted((min(groups[a]), min(groups[b])))))
+        groups[a] |= groups.pop(b)
+    return sorted(out)
+
+
+def test_complete_merges_equal_greedy_on_60_sets(spark):
+    """60 random sets of 40 points far from each other in one table, cut in many leaves."""
+    ids, x, want = [], [], []
+    for seed in range(60):
+        part = np.random.default_rng(seed).normal(size=(40, 2)) + np.array([seed % 10, seed // 10]) * 1024.0
+        ids, x = [*ids, *range(len(ids), len(ids) + 40)], [*x, *part]
+    ids, x = np.random.default_rng(1).permutation(2400) * 3, np.array(x)
+    for seed in range(60):
+        want += greedy_complete(ids[40 * seed:40 * seed + 40], x[40 * seed:40 * seed + 40])
+    df, cols = frame(spark, ids, x)
+    got = sorted((r.d2, r.a, r.b) for r in L.complete_merges(df, "id", cols, leaf_clusters=150, max_height=500.0).collect())
+    assert got == sorted(want)
+
+
+@pytest.mark.parametrize("d,leaf", [(1, 12), (2, 12), (3, 25), (2, 2048)])
+def test_complete_linkage_equals_greedy(spark, d, leaf):
+    rng = np.random.default_rng(d + leaf)
+    x, ids = rng.normal(size=(70, d)), rng.permutation(70) + 5
+    df, cols = frame(spark, ids, x)
+    want = greedy_complete(ids, x)
+    assert sorted((r.d2, r.a, r.b) for r in L.complete_merges(df, "id", cols, leaf).collect()) == want
+    if leaf == 2048:
+        up = {int(i): int(i) for i in ids}
+        for _, a, b in want[:-3]:
+            old, new = max(up[a], up[b]), min(up[a], up[b])
+            up = {k: new if v == old else v for k, v in up.items()}
+        names = sorted(set(up.values()))
+        out = L.complete_linkage(df, "id", cols, 4).collect()
+        assert {(r.id, r.label, r.height) for r in out} == {(i, names.index(c), math.sqrt(want[-4][0])) for i, c in up.items()}
+
+
+def test_extremes_hold_the_farthest_point():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 3, 50, 400):
+        x = np.round(rng.normal(size=(n, 2)), 1)
+        hull = L.extremes(x)
+        for p in rng.normal(size=(20, 2)) * 3:
+            assert L._square(hull, p).max() == L._square(x, p).max()
+    assert len(L.extremes(rng.normal(size=(400, 2)))) < 40 and len(L.extremes(rng.normal(size=(9, 1)))) == 2
