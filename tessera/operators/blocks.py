@@ -44,7 +44,7 @@ def pack(df: DataFrame, features: Column, others: Sequence[str], dtype: str = "f
             yield block()
 
     source = spread(df.select(features.alias("__x"), *[F.col(c).cast("double").alias(c) for c in others]))
-    schema = "n int, x binary, " + ", ".join(f"{c} binary" for c in others)
+    schema = ", ".join(["n int", "x binary", *(f"{c} binary" for c in others)])
     return cut_lineage(source.mapInPandas(run, schema))
 
 

@@ -7,8 +7,7 @@
   are always within eps, so they are counted and their cores linked without pairs;
   across cells, whole sub-cells are counted or linked by distance bounds and only
   boundary sub-cell pairs are checked point by point.  Suits 2-3 dimensions.
-* ``kmeans``/``elbow``: MLlib k-means (k-means||), cost from the training summary;
-  k = 1 is the closed form sum |x|^2 - |sum x|^2 / n.
+* ``kmeans``: MLlib k-means (k-means||); ``elbow``: every k in one loop of scans (``lloyd``).
 """
 
 from __future__ import annotations
@@ -17,14 +16,17 @@ import itertools
 import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.blocks import array, pack, reduced
 from tessera.operators.windows import ordinal
 from tessera.session import cut_lineage, spread
 
-__all__ = ["components", "dbscan", "single_linkage", "kmeans", "elbow", "kmeans_cost_one"]
+__all__ = ["components", "dbscan", "single_linkage", "kmeans", "elbow", "lloyd", "seeds", "kmeans_cost_one"]
 
 
 def _sym(e: DataFrame) -> DataFrame:
@@ -224,8 +226,6 @@ def kmeans(df: DataFrame, k: int, featuresCol: str = "features", seed: int = 0,
 
 def kmeans_cost_one(df: DataFrame, featuresCol: str = "features") -> float:
     """Inertia of one cluster: sum |x|^2 - |sum x|^2 / n (one aggregate)."""
-    from pyspark.ml.functions import vector_to_array
-
     arr = vector_to_array(F.col(featuresCol))
     row = df.select(arr.alias("x")).select(
         F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v).alias("sq"), "x").agg(
@@ -239,15 +239,77 @@ def _dim(df: DataFrame, featuresCol: str) -> int:
     return len(df.select(featuresCol).first()[0])
 
 
+def lloyd(df: DataFrame, starts: Sequence[np.ndarray], featuresCol: str = "features", maxIter: int = 300,
+          tol: float = 1e-4) -> list[tuple[np.ndarray, float, int]]:
+    """(centres, inertia, iterations) for every set of starting centres, all sets in one loop: an iteration is
+    one scan that assigns each row in each set that still moves.  A set stops when none of its
+    centres moved by more than ``tol``; a centre without rows stays where it is.  Inertia is that of the centres returned.
+    """
+    arr = F.col(featuresCol) if df.schema[featuresCol].dataType.typeName() == "array" else vector_to_array(F.col(featuresCol))
+    blocks = pack(df, arr.cast("array<double>"), [])
+    centres = [np.asarray(c, float).copy() for c in starts]
+    rounds, inertia = [0] * len(centres), [0.0] * len(centres)
+    moving, settled = set(range(len(centres))), set()
+    while moving or settled:
+        active = sorted(moving | settled)
+
+        def make(r) -> np.ndarray:
+            x = array(r["x"], r["n"]).reshape(r["n"], -1)
+            out = []
+            for i in active:
+                c = centres[i]
+                own = ((c * c).sum(1)[None, :] - 2 * (x @ c.T)).argmin(axis=1)
+                off = x - c[own]
+                sums = np.zeros_like(c)
+                np.add.at(sums, own, x)
+                out += [sums.ravel(), np.bincount(own, minlength=len(c)).astype(float), [(off * off).sum()]]
+            return np.concatenate(out)
+
+        total = reduced(blocks, make)
+        if total is None:
+            return [(c, 0.0, 0) for c in centres]
+        at, new = 0, {}
+        for i in active:
+            k, d = centres[i].shape
+            sums, n = total[at:at + k * d].reshape(k, d), total[at + k * d:at + k * d + k]
+            inertia[i] = float(total[at + k * d + k])
+            at += k * d + k + 1
+            new[i] = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centres[i])
+        settled_now = set()
+        for i in sorted(moving):
+            moved = float(np.sqrt(((new[i] - centres[i]) ** 2).sum(1)).max())
+            centres[i], rounds[i] = new[i], rounds[i] + 1
+            if moved <= tol or rounds[i] >= maxIter:
+                settled_now.add(i)  # one more scan gives the inertia of the final centres
+        moving -= settled_now
+        settled = settled_now
+    return list(zip(centres, inertia, rounds))
+
+
+SEED_ROWS = 10_000  # rows that starting centres are drawn from
+
+
+def seeds(df: DataFrame, ks: Sequence[int], featuresCol: str = "features", seed: int = 0) -> list[np.ndarray]:
+    """Starting centres for every k by k-means++ on a bounded random sample (``SEED_ROWS`` rows); the
+    first k - 1 centres of a larger k are those of the smaller."""
+    arr = F.col(featuresCol) if df.schema[featuresCol].dataType.typeName() == "array" else vector_to_array(F.col(featuresCol))
+    x = np.array([r["x"] for r in df.select(arr.alias("x"), F.xxhash64(arr, F.lit(seed)).alias("h")).orderBy("h").limit(SEED_ROWS).collect()], float)
+    rng, chosen = np.random.default_rng(seed), []
+    if not len(x):
+        return [np.zeros((k, 1)) for k in ks]
+    least = None
+    for _ in range(max(ks)):
+        p = None if least is None or not least.sum() > 0 else least / least.sum()
+        c = x[rng.choice(len(x), p=p)]
+        chosen.append(c)
+        d2 = ((x - c) ** 2).sum(1)
+        least = d2 if least is None else np.minimum(least, d2)
+    return [np.array(chosen[:k]) for k in ks]
+
+
 def elbow(df: DataFrame, ks: Sequence[int], featuresCol: str = "features", seed: int = 0,
           maxIter: int = 300) -> DataFrame:
-    """(k, inertia) for each k on one cached input."""
-    spark = df.sparkSession
-    data = spread(df.select(featuresCol)).persist()
-    rows = []
-    for k in ks:
-        cost = kmeans_cost_one(data, featuresCol) if k == 1 else \
-            kmeans(data, k, featuresCol, seed, maxIter).summary.trainingCost
-        rows.append((int(k), float(cost)))
-    data.unpersist()
-    return spark.createDataFrame(rows, "k int, inertia double")
+    """(k, inertia) for each k; all k share the scans of ``lloyd``."""
+    ks = [int(k) for k in ks]
+    found = lloyd(df, seeds(df, ks, featuresCol, seed), featuresCol, maxIter)
+    return df.sparkSession.createDataFrame([(k, inertia) for k, (_, inertia, _) in zip(ks, found)], "k int, inertia double")

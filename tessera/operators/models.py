@@ -376,7 +376,8 @@ def cv_scores(estimator, df: DataFrame, foldCol: str, k: int, labelCol: str = "l
     rows = []
     for f in range(k):
         m = estimator.fit(df.where(F.col(foldCol) != f))
-        rows.append((f, float(ev.evaluate(m.transform(df.where(F.col(foldCol) == f))))))
+        out = m.transform(df.where(F.col(foldCol) == f)).withColumn("prediction", F.col("prediction").cast("double"))
+        rows.append((f, float(ev.evaluate(out))))
     return spark.createDataFrame(rows, "fold int, score double")
 
 

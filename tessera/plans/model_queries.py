@@ -227,40 +227,76 @@ def cv_scores(spark: SparkSession, d: str) -> DataFrame:
     return scores.unionByName(summ).unionByName(spread)
 
 
-def compare_models(spark: SparkSession, d: str) -> DataFrame:
-    """Impute -> dummies -> scale -> four models -> tagged test predictions."""
-    ev = passengers(spark, d).withColumn("y", (F.col("group_type") == "purchase").cast("double"))
-    ev = ev.withColumns({"hour": F.hour("ts").cast("double"), "dow": F.dayofweek("ts").cast("double")})
-    ev = X.hash_split(ev, "event_id", 0.25, seed=42)
-    train_raw = ev.where(~F.col("is_test"))
-    imp = X.ImputeRules(group_median={"value": ["user_id"]}, median=["k"], mode=[]).fit(train_raw)
+FLOW_COLUMNS = ["value", "k", "hour"]
+
+
+def _flow_table(spark: SparkSession, d: str) -> tuple[DataFrame, list[str]]:
+    """Passenger rows through impute -> dummies -> scale, fitted on the labelled ones: (event_id, label or NULL,
+    raw and scaled features), and the feature columns."""
+    ev = passengers(spark, d).withColumns({
+        "label": (F.col("event_type") == "purchase").cast("double"), "hour": F.hour("ts").cast("double"),
+        "day": F.date_format("ts", "E")})
+    labelled = F.col("label").isNotNull()
+    imp = X.ImputeRules(group_median={"value": ["user_id"]}, median=["k"], mode=[]).fit(ev.where(labelled))
     base = imp.transform(ev).fillna(0.0, ["value", "k"])
-    cols = ["value", "k", "hour", "dow"]
-    sm = X.Standardizer(cols, suffix="_s").fit(base.where(~F.col("is_test")))
-    scaled = sm.transform(base)
+    dm = X.DummyEncoder(["day"]).fit(base.where(labelled))
+    cols = FLOW_COLUMNS + dm.output_columns()
+    full = dm.transform(base).select("event_id", "label", *[F.col(c).cast("double").alias(c) for c in cols])
+    sm = X.Standardizer(cols, suffix="_s").fit(full.where(F.col("label").isNotNull()))
+    return cut_lineage(spread(sm.transform(full))), cols
+
+
+def _flow_models(cols: list[str], n: int) -> dict:
+    """The four models of the flow: the forest and the boosted trees on raw, the others on scaled features."""
     raw_va = VectorAssembler(inputCols=cols, outputCol="features")
     sc_va = VectorAssembler(inputCols=[f"{c}_s" for c in cols], outputCol="features")
-    data = cut_lineage(scaled.select("event_id", "is_test", F.col("y").alias("label"), *cols,
-                                     *[f"{c}_s" for c in cols]))
-    train, test = data.where(~F.col("is_test")), data.where(F.col("is_test"))
-    n = train.count()
-    models = {
+    return {
         "RandomForest": Pipeline(stages=[raw_va, M.random_forest(100, 5, "auto")]),
         "SVC_poly": Pipeline(stages=[sc_va, M.svm_poly(len(cols), C=1.0, n=n)]),
-        "Boosted": _BoostStage(cols),
-        "MLP": Pipeline(stages=[sc_va, M.mlp(len(cols), (100,), 2, maxIter=100)]),
+        "Boosted": _Fitted(lambda df: BoostedTrees(cols, "label", "logistic", numRounds=30, eta=0.3, maxDepth=4).fit(df)),
+        "MLP": _Fitted(lambda df: PerceptronNetwork((100,), max_iter=100).fit(df), sc_va),
     }
-    return M.compare_models(models, train, test, "event_id")
 
 
-class _BoostStage:
-    """Adapter: BoostedTrees with the estimator fit/transform shape."""
+class _Fitted:
+    """An own estimator, behind an optional assembling stage, in the shape of a pipeline."""
+
+    def __init__(self, fit, before=None):
+        self._fit, self._before = fit, before
 
-    def __init__(self, cols):
-        self.cols = cols
+    def fit(self, df: DataFrame) -> "_Fitted":
+        out = _Fitted(self._fit, self._before)
+        out._model = self._fit(self._prepared(df))
+        return out
 
-    def fit(self, df):
-        return BoostedTrees(self.cols, "label", "logistic", numRounds=30, eta=0.3, maxDepth=4).fit(df)
+    def _prepared(self, df: DataFrame) -> DataFrame:
+        return self._before.transform(df) if self._before else df
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self._model.transform(self._prepared(df))
+
+
+def cv_models(spark: SparkSession, d: str) -> DataFrame:
+    """Five-fold accuracy of the four models of the flow on the labelled rows: a row per model and
+    fold, then its mean (fold -1) and population standard deviation (fold -2)."""
+    data, cols = _flow_table(spark, d)
+    train = cut_lineage(X.kfold(data.where(F.col("label").isNotNull()), 5, ["event_id"], label="label"))
+    out = None
+    for name, model in _flow_models(cols, int(train.count() * 0.8)).items():
+        scores = M.cv_scores(model, train, "fold", 5)
+        both = scores.unionByName(scores.agg(F.lit(-1).alias("fold"), F.avg("score").alias("score"))) \
+            .unionByName(scores.agg(F.lit(-2).alias("fold"), F.stddev_pop("score").alias("score")))
+        both = both.select(F.lit(name).alias("model"), "fold", "score")
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
+def compare_models(spark: SparkSession, d: str) -> DataFrame:
+    """Impute -> dummies -> scale -> four models fitted on the labelled rows; the tagged
+    predictions of each for the rows without a label."""
+    data, cols = _flow_table(spark, d)
+    train, unlabelled = data.where(F.col("label").isNotNull()), data.where(F.col("label").isNull())
+    return M.compare_models(_flow_models(cols, train.count()), train, unlabelled, "event_id")
 
 
 def ols(spark: SparkSession, d: str) -> DataFrame:
@@ -375,7 +411,7 @@ QUERIES = {
     "logistic": logistic, "logistic_grid": logistic_grid, "coefficients": coefficients, "svm_rbf": svm_rbf,
     "svm_grid": svm_grid, "svm_sweep": svm_sweep,
     "svm_poly": svm_poly, "tree": tree, "forest": forest, "gbt": gbt, "boost": boost, "boost_reg": boost_reg,
-    "mlp": mlp, "cv_scores": cv_scores, "compare_models": compare_models, "ols": ols, "gd_steps": gd_steps,
+    "mlp": mlp, "cv_scores": cv_scores, "cv_models": cv_models, "compare_models": compare_models, "ols": ols, "gd_steps": gd_steps,
     "cost_history": cost_history, "cv_linear": cv_linear, "kmeans": kmeans, "elbow": elbow, "dbscan": dbscan, "single_link": single_link,
     "single_link_merges": single_link_merges, "complete_link": complete_link, "components": components,
 }
