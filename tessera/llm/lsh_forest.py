@@ -8,17 +8,20 @@ similarity of at least ``percent`` / 100 are linked; a component's smallest doc_
 1. *Classes.*  Documents with one and the same set (128-bit hash and size) are one class;
    the smallest doc_id represents it.  A group of exact copies of any size is one
    aggregated row from here on.
-2. *Forest.*  ``trees(percent)`` trees (12 at 85, 16 at 80), each an order of the representatives by their own
-   ``LEAST`` leading MinHash values.  Documents that share them in some tree are one
-   region and candidates, whatever the region's size.  A pair at the threshold is missed
-   by all trees with a probability of at most ``MISS``, whatever the threshold.
+2. *Forest.*  ``trees(percent)`` trees (12 at 85, 16 at 80), each the sorted order of the representatives by
+   their own ``DEPTH`` MinHash values: one range sort over (tree, values), and the length of the prefix
+   that a row shares with the row before it, across the borders of the partitions too.  A
+   maximal run of neighbours that share ``LEAST`` values or more is a region; all documents of a region are
+   candidates, whatever its size.  A pair at the threshold is missed by all trees with a
+   probability of at most ``MISS``, whatever the threshold.
 3. *Loose groups.*  The documents of a region are looked at by their sketches; where these
    agree too little to reach the threshold (``SLACK`` below it, several standard errors)
    they are told apart, the rest is joined to loose groups by at most one edge per
-   document.  Pairs are neither shuffled nor collected.  In a region of more than
-   ``REGION`` documents a typical one takes in what is similar to it first; the documents
-   it leaves out are compared with all of the region, in salted parts: every part of
-   theirs meets every part of the region in a task of its own.
+   document.  Pairs are neither shuffled nor collected.  Depth adapts where a region holds more than
+   ``REGION`` documents: each of them descends to the least depth at which the run of its prefix is
+   smaller, and those runs are joined first, like small regions; a typical document takes in what is similar to it.
+   Only what neither of them joined to the typical document's group is still open: it is compared with all of the region,
+   in salted parts, every part of it with every part of the region in a task of its own.
 4. *Confirmation.*  The whole texts of loose groups are read again and all links inside a
    group are decided on full shingle sets: documents are compared with one centre at a
    time, and a document that already is in the largest component need not be a centre.
@@ -42,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.bytesops import U64, flat, mix, shingle_sets
-from tessera.llm.shared import components, cut_lineage
+from tessera.llm.shared import components, cut_lineage, written
 from tessera.operators.windows import ordinal
 
 K = 5
@@ -116,23 +119,103 @@ def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         sign, "doc_id long, n_shingles long, set_hash binary, signature binary, sketch binary")
 
 
-def regions(reps: DataFrame, n_trees: int) -> DataFrame:
-    """(rep, tree, region): documents whose first ``LEAST`` values in a tree are equal have
-    one region.  ``reps``: rep, signature."""
+def orders(reps: DataFrame, n_trees: int) -> DataFrame:
+    """The trees' sorted orders: (part, pos, tree, rep, lcp, run, border), one row per representative and tree.
+
+    ``lcp``: leading values shared with the row before in the same tree; 0 for a partition's first
+    row, which ``regions`` completes.  ``run`` numbers the runs of lcp >= LEAST of a partition
+    from 1; ``border`` holds the values of the first and last rows of the batches read."""
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = len(batch)
+            v = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").reshape(n * n_trees, DEPTH).astype(">u4")
+            data = v.tobytes()
+            keys = pa.Array.from_buffers(pa.binary(4 * DEPTH), n * n_trees, [None, pa.py_buffer(data)]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.tile(np.arange(n_trees, dtype=np.int32), n)), keys,
+                 batch.column(0).take(pa.array(np.repeat(np.arange(n), n_trees)))], ["tree", "key", "rep"])
+
+    def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, at, run = None, 0, 0
+        for batch in batches:
+            n = len(batch)
+            if not n:
+                continue
+            tree = batch.column(1).to_numpy()
+            keys = batch.column(2).to_pylist()
+            v = np.column_stack([tree.astype(np.uint32), np.frombuffer(b"".join(keys), ">u4").reshape(n, DEPTH)])
+            last = np.vstack([v[:1] + np.uint32(1) if before is None else before, v[:-1]])
+            same = np.minimum.accumulate(v == last, axis=1)
+            lcp = np.where(same[:, 0], same[:, 1:].sum(axis=1), 0).astype(np.int32)
+            runs = run + np.cumsum(lcp < LEAST)
+            border = [None] * n
+            border[-1] = keys[-1]
+            if before is None:
+                border[0] = keys[0]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(np.arange(at, at + n)), batch.column(1), batch.column(3), pa.array(lcp),
+                 pa.array(runs.astype(np.int64)), pa.array(border, pa.binary())],
+                ["part", "pos", "tree", "rep", "lcp", "run", "border"])
+            before, at, run = v[-1:], at + n, int(runs[-1])
+
+    keys = reps.select("rep", "signature").mapInArrow(spell, "tree int, key binary, rep long")
+    return keys.repartitionByRange("tree", "key", "rep").sortWithinPartitions("tree", "key", "rep") \
+        .select(F.spark_partition_id().alias("part"), "tree", "key", "rep") \
+        .mapInArrow(neighbours, "part int, pos long, tree int, rep long, lcp int, run long, border binary")
+
+
+def _shared(a, b) -> int:
+    """Leading values that two border rows (tree, values) share."""
+    if a["tree"] != b["tree"]:
+        return 0
+    x, y = np.frombuffer(a["border"], ">u4"), np.frombuffer(b["border"], ">u4")
+    return int(np.minimum.accumulate(x == y).sum())
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def regions(reps: DataFrame, n_trees: int) -> DataFrame:
+    """(rep, tree, lcp, region): a region is a maximal run of a tree's order whose neighbours share ``LEAST``
+    leading values or more.  ``reps``: rep, signature."""
+    order = written(orders(reps, n_trees), "forest")
+    # one row a partition: its first and last values and its number of runs
+    ends = order.groupBy("part").agg(
+        F.min_by(F.struct("tree", "border"), "pos").alias("first"), F.max("run").alias("runs"),
+        F.max_by(F.struct("tree", "border"), F.when(F.col("border").isNotNull(), F.col("pos"))).alias("last")).orderBy("part").collect()
+    shift, before, total = [], None, 0
+    for e in ends:
+        lcp = _shared(before, e["first"]) if before else 0
+        start = total - (lcp >= LEAST)  # the first run goes on with the last one of the partition before
+        shift.append((e["part"], lcp, start))
+        before, total = e["last"], start + e["runs"]
+    borders = reps.sparkSession.createDataFrame(shift, "part int, b_lcp int, start long")
+    return order.join(F.broadcast(borders), "part").select(
+        "rep", "tree", F.when(F.col("pos") == 0, F.col("b_lcp")).otherwise(F.col("lcp")).alias("lcp"),
+        (F.col("start") + F.col("run")).alias("region"))
+
+
+def deeper(large: DataFrame, reps: DataFrame, n_trees: int) -> DataFrame:
+    """(rep, region): the documents of regions above REGION by the least depth whose run is smaller; a document
+    whose run is too large, or alone, at every depth has no row.  ``large``: region, tree, rep."""
+
+    def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = DEPTH - LEAST
         for batch in batches:
             n = len(batch)
-            v = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").reshape(n, n_trees, DEPTH).astype(np.uint64)
-            h = np.zeros((n, n_trees), np.uint64) + np.arange(1, n_trees + 1, dtype=np.uint64)
-            for d in range(LEAST):
-                h = mix((h + v[:, :, d]) * U64(0xD6E8FEB86659FD93) + U64(d + 1))
+            tree = batch.column(1).to_numpy()
+            v = np.frombuffer(b"".join(batch.column(3).to_pylist()), "<u4").reshape(n, n_trees, DEPTH)[np.arange(n), tree].astype(np.uint64)
+            h, out = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64).copy(), []
+            for d in range(DEPTH):
+                h = mix((h + v[:, d]) * U64(0xD6E8FEB86659FD93) + U64(d + 1))
+                if d >= LEAST:
+                    out.append(h)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(np.repeat(np.arange(n), n_trees))),
-                 pa.array(np.tile(np.arange(n_trees, dtype=np.int32), n)), pa.array(h.ravel().view(np.int64))],
-                ["rep", "tree", "region"])
+                [batch.column(2).take(pa.array(np.repeat(np.arange(n), levels))), pa.array(np.tile(np.arange(LEAST + 1, DEPTH + 1, dtype=np.int32), n)),
+                 pa.array(np.stack(out, 1).ravel().view(np.int64))], ["rep", "depth", "cell"])
 
-    return reps.select("rep", "signature").mapInArrow(cut, "rep long, tree int, region long")
+    cells = cut_lineage(large.join(reps.select("rep", "signature"), "rep").select("region", "tree", "rep", "signature")
+                        .mapInArrow(descend, "rep long, depth int, cell long"))
+    fit = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("m")).where(F.col("m").between(2, REGION))
+    return cells.join(fit, "cell").groupBy("rep").agg(F.min_by("cell", "depth").alias("region"))
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
@@ -225,8 +308,9 @@ def _loose_edges(percent: int):
     return join
 
 
-def _large_edges(large: DataFrame, percent: int) -> DataFrame:
-    """The loose edges of regions of more than REGION documents.  ``large``: region, rep, sketch, n."""
+def _large_edges(large: DataFrame, near: DataFrame, percent: int) -> DataFrame:
+    """The loose edges of regions of more than REGION documents.  ``large``: region, rep, sketch, n;
+    ``near``: edges (a, b) already found, which spare the documents they join to a typical one."""
     need = _need(percent)
 
     def pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +336,7 @@ def _large_edges(large: DataFrame, percent: int) -> DataFrame:
             rep, at = np.unique(every, return_index=True)
             sketch, inside = _sketches(t.column("sketch"))[at], t.column("inside").to_numpy(zero_copy_only=False)[at]
             group, edges = np.arange(len(rep)), []
-            group[inside] = len(rep)  # joined by the pivot
+            group[inside] = len(rep)  # joined to the pivot
             for c in np.flatnonzero(np.isin(rep, every[turn])):
                 others = np.flatnonzero(group != group[c])
                 found = others[(sketch[others] == sketch[c]).sum(axis=1) >= need]
@@ -268,6 +352,12 @@ def _large_edges(large: DataFrame, percent: int) -> DataFrame:
     marked = cut_lineage(large.join(pivots, "region", "left").select("region", "rep", "sketch", "n", "pivot", "p_sketch")
                          .mapInArrow(mark, "region long, rep long, sketch binary, n long, pivot long, inside boolean"))
     star = marked.where("inside and rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
+    # what hangs together with the pivot by any edge found so far needs no turn
+    known = components(star.union(near))
+    marked = cut_lineage(
+        marked.join(known.select(F.col("id").alias("rep"), F.col("component").alias("own")), "rep", "left")
+        .join(known.select(F.col("id").alias("pivot"), F.col("component").alias("its")), "pivot", "left")
+        .select("region", "rep", "sketch", "n", "pivot", (F.col("inside") | F.coalesce(F.col("own") == F.col("its"), F.lit(False))).alias("inside")))
     left = marked.where("not inside").groupBy("region").agg(F.count(F.lit(1)).alias("m"))
     rows = marked.join(left, "region").select(
         "region", "rep", "sketch", "inside", F.ceil(F.col("n") / REGION).cast("int").alias("parts"),
@@ -284,15 +374,19 @@ def _large_edges(large: DataFrame, percent: int) -> DataFrame:
 
 def loose_groups(reps: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(id, component) of representatives that may be similar.  ``reps``: rep, signature, sketch."""
-    level = cut_lineage(regions(reps, trees(percent)))
+    level = regions(reps, trees(percent))
     size = level.groupBy("region").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     inside, sketch = level.join(size, "region"), reps.select("rep", "sketch")
-    edges = inside.where(F.col("n") <= REGION).select("region", "rep").join(sketch, "rep") \
-        .select("region", "rep", "sketch").repartition("region").sortWithinPartitions("region") \
-        .mapInArrow(_loose_edges(percent), "a long, b long")
-    large = cut_lineage(inside.where(F.col("n") > REGION).select("region", "rep", "n"))
+
+    def near(members: DataFrame) -> DataFrame:
+        return members.join(sketch, "rep").select("region", "rep", "sketch").repartition("region").sortWithinPartitions("region") \
+            .mapInArrow(_loose_edges(percent), "a long, b long")
+
+    edges = near(inside.where(F.col("n") <= REGION).select("region", "rep"))
+    large = cut_lineage(inside.where(F.col("n") > REGION).select("region", "tree", "rep", "n"))
     if not large.isEmpty():
-        edges = edges.union(_large_edges(large.join(sketch, "rep").select("region", "rep", "sketch", "n"), percent))
+        first = cut_lineage(near(deeper(large, reps, trees(percent))))
+        edges = edges.union(first).union(_large_edges(large.join(sketch, "rep").select("region", "rep", "sketch", "n"), first, percent))
     return components(edges)
 
 

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from tessera.llm import lsh_forest as L
@@ -115,3 +116,57 @@ def test_trees_and_sketches_follow_the_threshold(spark):
     got = sorted(r.doc_id for r in L.drop_near_copies(frame(spark, pairs), percent=80).collect())
     assert got == [r[0] for r in brute(pairs, 80) if r[3]] == [2 * k for k in range(150)]
     assert (1 - 0.8 ** L.LEAST) ** L.trees(80) <= L.MISS and L.trees(85) == 12
+
+
+def representatives(spark, values):
+    """reps (rep, signature) of documents x trees x DEPTH values."""
+    rows = [(i, np.array(v, "<u4").tobytes()) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "rep long, signature binary").repartition(5)
+
+
+def test_neighbours_and_regions_equal_sorted_lists(spark):
+    rng = random.Random(3)
+    n, trees = 400, 3
+    values = [[[rng.choice([1, 2, 2**31 + 5]) for _ in range(L.DEPTH)] for _ in range(trees)] for _ in range(n)]
+    got = L.regions(representatives(spark, values), trees)
+    plan = L.orders(representatives(spark, values), trees)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" in plan and "Sort [tree" in plan
+    rows = got.collect()
+    assert len(rows) == n * trees
+    for t in range(trees):
+        order = sorted((values[i][t], i) for i in range(n))
+        shared = [0] + [next((d for d in range(L.DEPTH) if a[d] != b[d]), L.DEPTH) for (a, _), (b, _) in zip(order, order[1:])]
+        mine = {r.rep: r for r in rows if r.tree == t}
+        assert [mine[i].lcp for _, i in order] == shared  # across the partitions' borders too
+        names = [mine[i].region for _, i in order]
+        assert [a == b for a, b in zip(names, names[1:])] == [s >= L.LEAST for s in shared[1:]]
+    assert len({(r.tree, r.region) for r in rows}) == len({r.region for r in rows})  # no region in two trees
+
+
+def test_depth_adapts_to_density(spark, monkeypatch):
+    """A dense region descends only as far as it must; equal values at every depth stay whole."""
+    monkeypatch.setattr(L, "REGION", 10)
+    values = [[[7, 7, 7, i % 2, i % 6, i, 0, 0]] for i in range(36)] + [[[9] * L.DEPTH] for _ in range(20)]
+    reps = representatives(spark, values)
+    large = L.regions(reps, 1)
+    assert sorted(r["count"] for r in large.groupBy("region").count().collect()) == [20, 36]
+    deep = {r.rep: r.region for r in L.deeper(large, reps, 1).collect()}
+    assert set(deep) == set(range(36))  # 18 share four values, 6 share five
+    groups = {}
+    for i, r in deep.items():
+        groups.setdefault(r, set()).add(i % 6)
+    assert len(groups) == 6 and all(len(g) == 1 for g in groups.values())
+
+
+def test_a_real_region_above_the_size(spark):
+    """A star of edits near one base, each linked to the base only: every link counts, in a
+    region larger than REGION, which the deeper runs leave open."""
+    rng, n = random.Random(5), L.REGION + 800
+    base = [f"w{i}" for i in range(60)]
+    pairs = [(0, " ".join(base))]
+    for k in range(1, n):  # one word near an end and one within change: 50 to 54 of 56 shingles are left
+        w = list(base)
+        w[rng.choice([0, 1, 58, 59])] = f"a{k}"
+        pairs.append((k, " ".join(w)))
+    got = L.near_groups(frame(spark, pairs))
+    assert got.where("component_id = 0").count() == n and got.where("kept").count() == 1
