@@ -33,9 +33,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators.aggregate import gram_stats
+from tessera.session import cut_lineage
 
 __all__ = ["LinearRegressionGD", "LinearRegressionGDModel", "ols", "ols_columns", "logistic", "reg_param",
-           "RandomFourierFeatures", "CubicFeatures", "svm_rbf", "svm_poly", "PlattScaler", "decision_tree",
+           "RandomFourierFeatures", "CubicFeatures", "svm_rbf", "svm_poly", "PlattScaler", "fit_sigmoid", "decision_tree",
            "random_forest", "gbt_classifier", "gbt_regressor", "mlp", "predict_proba", "grid_search", "best_point",
            "cv_scores", "compare_models", "coefficients", "cost_history"]
 
@@ -252,6 +253,46 @@ def svm_poly(dim_in: int, C: float = 1.0, n: int = 1, gamma: float | None = None
                                            maxIter=50)])
 
 
+def fit_sigmoid(margins: DataFrame, margin: str, label: str, maxIter: int = 100) -> tuple[float, float]:
+    """M7: (a, b) of p = 1 / (1 + exp(a * margin + b)) by Newton steps on smoothed targets
+    ((N+ + 1) / (N+ + 2) for label 1, 1 / (N- + 2) otherwise); a step is one aggregate of six sums."""
+    m, y = F.col(margin).cast("double"), F.col(label) == 1
+    rows = cut_lineage(margins.where(m.isNotNull() & F.col(label).isNotNull()).groupBy(m.alias("m"), y.alias("y")).agg(F.count(F.lit(1)).alias("n")))
+    counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.sum("n").alias("n")).collect()}
+    pos, neg = counts.get(True, 0), counts.get(False, 0)
+    t = F.when(F.col("y"), (pos + 1.0) / (pos + 2.0)).otherwise(1.0 / (neg + 2.0))
+
+    def sums(a: float, b: float):
+        z, n, x = F.lit(a) * F.col("m") + F.lit(b), F.col("n"), F.col("m")
+        p = 1.0 / (1.0 + F.exp(z))
+        # -t log p - (1 - t) log(1 - p), without overflow
+        loss = F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z))) - (1 - t) * z
+        w = p * (1 - p) * n
+        return rows.agg(F.sum(n * loss), F.sum(n * (t - p) * x), F.sum(n * (t - p)), F.sum(w * x * x), F.sum(w * x), F.sum(w)).first()
+
+    a, b = 0.0, math.log((neg + 1.0) / (pos + 1.0))
+    if not pos + neg:
+        return a, b
+    now = sums(a, b)
+    for _ in range(maxIter):
+        f, ga, gb, haa, hab, hbb = (float(v) for v in now)
+        if max(abs(ga), abs(gb)) < 1e-9 * (pos + neg):
+            break
+        haa, hbb = haa + 1e-12, hbb + 1e-12
+        det = haa * hbb - hab * hab
+        da, db = -(hbb * ga - hab * gb) / det, -(haa * gb - hab * ga) / det
+        slope, step = ga * da + gb * db, 1.0
+        while step > 1e-10:
+            new = sums(a + step * da, b + step * db)
+            if float(new[0]) <= f + 1e-4 * step * slope:
+                a, b, now = a + step * da, b + step * db, new
+                break
+            step /= 2
+        else:
+            break
+    return a, b
+
+
 class PlattScaler(Estimator):
     """M7: probability from an SVM margin; the sigmoid is fitted on out-of-fold margins."""
 
@@ -268,22 +309,18 @@ class PlattScaler(Estimator):
         oof = parts[0]
         for p in parts[1:]:
             oof = oof.unionByName(p)
-        oof = VectorAssembler(inputCols=["__margin"], outputCol="__mv").transform(oof)
-        sig = LogisticRegression(featuresCol="__mv", labelCol=self.labelCol, regParam=0.0).fit(oof)
-        return PlattModel(self.base.fit(df), sig)
+        return PlattModel(self.base.fit(df), *fit_sigmoid(oof, "__margin", self.labelCol))
 
 
 class PlattModel(Model):
-    def __init__(self, base_model, sigmoid):
+    def __init__(self, base_model, a: float, b: float):
         super().__init__()
-        self.base_model, self.sigmoid = base_model, sigmoid
+        self.base_model, self.a, self.b = base_model, a, b
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        out = self.base_model.transform(df).withColumn("__margin", F.get(vector_to_array("rawPrediction"), 1))
-        out = VectorAssembler(inputCols=["__margin"], outputCol="__mv").transform(out.drop("probability"))
-        out = self.sigmoid.setFeaturesCol("__mv").setPredictionCol("__pp").setRawPredictionCol("__raw") \
-                          .setProbabilityCol("probability").transform(out)
-        return out.drop("__mv", "__pp", "__raw", "__margin")
+        out = self.base_model.transform(df)
+        p = 1.0 / (1.0 + F.exp(F.lit(self.a) * F.get(vector_to_array("rawPrediction"), 1) + F.lit(self.b)))
+        return out.withColumn("__p", p).withColumn("probability", array_to_vector(F.array(1.0 - F.col("__p"), F.col("__p")))).drop("__p")
 
 
 # ----------------------------------------------------------------------------- M8-M13
