@@ -481,4 +481,17 @@ reach(id, root) AS (SELECT id, id FROM pt UNION SELECT ways.b, r.root FROM reach
 SELECT id AS s_suppkey, CAST(dense_rank() OVER (ORDER BY root) - 1 AS INTEGER) AS label,
        (SELECT round(sqrt(max(d2)), 9) FROM kept) AS height
 FROM (SELECT id, min(root) AS root FROM reach GROUP BY id)"""
+    q["metric_row"] = f"""
+SELECT m.accuracy AS cut_accuracy, m.precision AS cut_precision, m.recall AS cut_recall, m.f1 AS cut_f1, a.auc AS rank_auc
+FROM ({q["metrics"]}) m, (SELECT auc FROM ({q["auc"]}) WHERE l_linenumber = 0) a"""
+    q["user_function"] = """
+SELECT l_orderkey, l_linenumber,
+       CAST(round(l_extendedprice * 100) AS BIGINT) * (100 - CAST(round(l_discount * 100) AS BIGINT)) // 100 AS cents FROM lineitem"""
+    q["group_members"] = """
+SELECT l_orderkey, string_agg(l_linenumber || ':' || l_partkey, ',' ORDER BY l_linenumber, l_partkey) AS members
+FROM lineitem GROUP BY l_orderkey"""
+    q["array_load"] = """
+SELECT vec_id, label, round(list_sum(list_transform(embedding, lambda v: CAST(v AS DOUBLE) / 255)), 9) AS total FROM embeddings"""
+    q["feature_vector"] = """
+SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DOUBLE) AS target, CAST(3 AS INTEGER) AS width, CAST(l_tax AS DOUBLE) AS last FROM lineitem"""
     return q

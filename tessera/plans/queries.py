@@ -403,6 +403,50 @@ def metrics(spark: SparkSession, d: str) -> DataFrame:
     return E.prf(s, "y", "pred")
 
 
+def metric_row(spark: SparkSession, d: str) -> DataFrame:
+    """User metrics side by side: the four ratios and the AUC of the fixed score."""
+    from tessera.functions.udf import metric_row as side_by_side
+
+    return side_by_side(scored_lines(spark, d), {
+        "cut": lambda df: E.prf(df, "y", "pred"), "rank": lambda df: E.roc_auc(df, "y", "p").select(_r(F.col("auc"), 6).alias("auc"))})
+
+
+def user_function(spark: SparkSession, d: str) -> DataFrame:
+    """A user function over two columns, Arrow-batched: each line's price after discount, in whole cents."""
+    from tessera.functions.udf import vectorized
+
+    net = vectorized(lambda price, off: (price * 100).round().astype("int64") * (100 - (off * 100).round().astype("int64")) // 100, "long")
+    li = table(spark, d, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", net(F.col("l_extendedprice").cast("double"), F.col("l_discount").cast("double")).alias("cents"))
+
+
+def group_members(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of every order as one sorted list (number:part)."""
+    li = table(spark, d, "lineitem")
+    got = A.group_members(li, "l_orderkey", ["l_linenumber", "l_partkey"])
+    return got.select("l_orderkey", F.array_join(F.transform("members", lambda m: F.concat_ws(":", m["l_linenumber"], m["l_partkey"])), ",")
+                      .alias("members"))
+
+
+def array_load(spark: SparkSession, d: str) -> DataFrame:
+    """Array features loaded, flattened and scaled by 1/255, with their labels; the sum of each vector."""
+    from tessera.sources.files import load_arrays
+
+    x, _ = load_arrays(spark, f"{d.rstrip('/')}/embeddings.parquet", "embedding", "label", 255.0, id_col="vec_id")
+    return x.select("vec_id", "label", F.round(F.aggregate("x", F.lit(0.0), lambda a, v: a + v), 9).alias("total"))
+
+
+def feature_vector(spark: SparkSession, d: str) -> DataFrame:
+    """The features of a line as one vector next to its target; the vector's length and last entry."""
+    from pyspark.ml.functions import vector_to_array
+
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *[F.col(c).cast("double").alias(c) for c in (
+        "l_quantity", "l_discount", "l_tax")], F.col("l_extendedprice").cast("double").alias("target"))
+    got = P.split_features_target(li, "target", ["l_quantity", "l_discount", "l_tax"])
+    v = vector_to_array("features")
+    return got.select("l_orderkey", "l_linenumber", "target", F.size(v).alias("width"), F.element_at(v, -1).alias("last"))
+
+
 def auc(spark: SparkSession, d: str) -> DataFrame:
     """Exact ROC-AUC of the fixed score, per line number and overall."""
     s = scored_lines(spark, d)

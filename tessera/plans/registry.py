@@ -13,7 +13,8 @@ _TABLE_QUERIES = [
     "clean_join", "row_mean_rank", "ratio_argmax", "nth_label", "lookup_cell", "corr_pair", "group_stats",
     "describe", "profile", "group_median_fill", "median_fill", "mode_fill", "impute_rules", "class_counts",
     "distinct_values", "pop_mean_std", "extremes", "ambiguous_keys", "unique_keys", "groups_all",
-    "eliminate_by_groups", "range_pairs", "theta_sums", "range_matches", "least_tier", "deepest_basin", "running_bank", "first_reaching",
+    "eliminate_by_groups", "range_pairs", "theta_sums", "range_matches", "least_tier",
+    "metric_row", "user_function", "group_members", "array_load", "feature_vector", "deepest_basin", "running_bank", "first_reaching",
     "capacity_lookup", "top_abs", "sorted_nulls_last", "random_rows", "array_scale", "dot", "text_clean",
     "dummies", "label_codes", "one_hot", "standardize", "hash_split", "stratified_split", "folds",
     "metrics", "auc", "r2", "half_mse", "threshold_sweep", "confusion", "scores_by_split", "metrics_table",
