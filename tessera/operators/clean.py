@@ -88,7 +88,8 @@ def remap_keep(df: DataFrame, col: str, mapping, key: str = "key", value: str =
     if isinstance(mapping, Mapping):
         m = literal_map(mapping)
         return df.withColumn(col, F.coalesce(F.element_at(m, F.col(col)), F.col(col)))
-    m = mapping.select(F.col(key).alias("__k"), F.col(value).alias("__v")).dropDuplicates(["__k"])
+    m = mapping.select(F.col(key).alias("__k"), F.col(value).alias("__v")) \
+        .groupBy("__k").agg(F.min("__v").alias("__v"))  # a repeated key gives its smallest value
     return (df.join(m, F.col(col) == F.col("__k"), "left")
               .withColumn(col, F.coalesce(F.col("__v"), F.col(col)))
               .drop("__k", "__v"))
@@ -100,7 +101,8 @@ def remap_null(df: DataFrame, col: str, mapping, out: str | None = None,
     out = out or col
     if isinstance(mapping, Mapping):
         return df.withColumn(out, F.element_at(literal_map(mapping), F.col(col)))
-    m = mapping.select(F.col(key).alias("__k"), F.col(value).alias("__v")).dropDuplicates(["__k"])
+    m = mapping.select(F.col(key).alias("__k"), F.col(value).alias("__v")) \
+        .groupBy("__k").agg(F.min("__v").alias("__v"))  # a repeated key gives its smallest value
     return (df.join(m, F.col(col) == F.col("__k"), "left")
               .withColumn(out, F.col("__v")).drop("__k", "__v"))
 

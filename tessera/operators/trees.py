@@ -26,6 +26,9 @@ from tessera.session import cut_lineage, spread
 __all__ = ["Binner", "BestFirstTree", "BoostedTrees"]
 
 
+MAX_CLASSES = 1000
+
+
 class Binner:
     """Quantile bin edges per feature (approximate quantiles, fitted once)."""
 
@@ -139,7 +142,9 @@ class BestFirstTree:
 
     def fit(self, df: DataFrame) -> "BestFirstTree":
         self.binner = Binner(self.featuresCols, self.maxBins).fit(df)
-        self.classes = sorted(r[0] for r in df.select(self.labelCol).distinct().collect())
+        self.classes = sorted(r[0] for r in df.select(self.labelCol).distinct().limit(MAX_CLASSES + 1).collect())
+        if len(self.classes) > MAX_CLASSES:
+            raise ValueError(f"a classification tree takes at most {MAX_CLASSES} classes")
         data = cut_lineage(spread(self.binner.transform(df.select(*self.featuresCols, self.labelCol))
                                   .select("__bins", self.labelCol)))
         root = _Node(0, 0)

@@ -96,3 +96,14 @@ def test_limits_are_errors(spark):
         X._sorted_distinct(df, "c", limit=5)
     with pytest.raises(ValueError, match="more than one row"):
         metric_row(df, {"bad": lambda d: d})
+
+
+def test_repeated_lookup_keys_give_the_smallest_row(spark):
+    from tessera.operators import clean, joins
+
+    mapping = spark.createDataFrame([(k, v, w) for k, v, w in [("a", 3, "x"), ("a", 2, "z"), ("a", 2, "y"), ("b", 9, "q")] * 40],
+                                    "key string, value int, w string").repartition(9)
+    df = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "k string")
+    got = {r.k: (r.value, r.w) for r in joins.lookup_join(df, mapping, "k", "key").collect()}
+    assert got == {"a": (2, "y"), "b": (9, "q"), "c": (None, None), None: (None, None)}
+    assert {r.k: r.o for r in clean.remap_null(df, "k", mapping, out="o").collect()} == {"a": 2, "b": 9, "c": None, None: None}
