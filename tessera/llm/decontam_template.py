@@ -15,14 +15,15 @@ hits of the bitmap end there.
 
 Slot consistency: windows of a document and an item with the same distance between their
 positions form one alignment.  In it every slot value of the item must stand for one
-value of the document ("Ann" always becomes "Bob"); an alignment that breaks this is not
-used.  An item leaks into a document when the matched windows cover at least ``COVER`` of
-the item's words.
+value of the document ("Ann" always becomes "Bob"); the template windows of an alignment that breaks
+this are not used, its plain windows are.  An item leaks into a document when the matched windows
+cover at least ``COVER`` of the item's words, or when ``RUN`` of its words in a row stand in
+the document as they are (part of a long item).
 
 Defined cases: an item with fewer than five words or null text has no window and never
-matches; null or empty document -> not flagged; repeated items or documents are matched
-one by one (results are per doc_id); empty tables -> nothing is flagged; extra columns
-are ignored by ``leaks`` and carried by ``drop_leaks``.
+matches; null or empty document -> not flagged; texts are matched one by one also where ids are null
+or repeated (``leaks`` and ``flagged`` give one result per doc_id, null included; ``drop_leaks`` decides by
+text); empty tables -> nothing is flagged; extra columns are ignored by ``leaks`` and carried by ``drop_leaks``.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ from tessera.llm.shared import cut_lineage
 K = 5
 LITERALS = 3
 COVER = 0.8
+RUN = 13  # words in a row
 BITMAP = 1 << 24
 
 UNITS = {
@@ -122,18 +124,18 @@ def cut_windows(buf: np.ndarray, off: np.ndarray):
             h, slot, first)
 
 
-_WINDOWS = "id long, pos int, h long, words int, slots array<long>"
+_WINDOWS = "id long, own long, pos int, h long, words int, slots array<long>"
 
 
-def _table(ids: pa.Array, doc, pos, win, h, slot, first) -> pa.RecordBatch:
+def _table(ids: pa.Array, own: pa.Array, doc, pos, win, h, slot, first) -> pa.RecordBatch:
     """One row per window; slots holds the word hashes at slot positions of a template window, else 0."""
     at = pos[:, None] + np.arange(K)
     values = np.where((slot[at] > 0) & ((win & U64(1)) > 0)[:, None], h[at], U64(0)).view(np.int64)
     slots = pa.ListArray.from_arrays(pa.array(np.arange(0, len(pos) * K + 1, K), pa.int32()), pa.array(values.ravel()))
     count = (first[1:] - first[:-1])[doc]
     return pa.RecordBatch.from_arrays(
-        [ids.take(pa.array(doc)), pa.array((pos - first[doc]).astype(np.int32)), pa.array(win.view(np.int64)),
-         pa.array(count.astype(np.int32)), slots], ["id", "pos", "h", "words", "slots"])
+        [ids.take(pa.array(doc)), own.take(pa.array(doc)), pa.array((pos - first[doc]).astype(np.int32)), pa.array(win.view(np.int64)),
+         pa.array(count.astype(np.int32)), slots], ["id", "own", "pos", "h", "words", "slots"])
 
 
 def _bit(h: np.ndarray) -> np.ndarray:
@@ -141,7 +143,8 @@ def _bit(h: np.ndarray) -> np.ndarray:
 
 
 def window_table(rows: DataFrame, id_col: str, bitmap: bytes | None = None) -> DataFrame:
-    """Windows of ``text``; with a bitmap only those whose bit is set."""
+    """Windows of ``text``; with a bitmap only those whose bit is set.  ``own`` (a hash of the text) tells
+    texts apart that share an id or have none."""
     shared = rows.sparkSession.sparkContext.broadcast(bitmap) if bitmap is not None else None  # BITMAP bits
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,10 +157,10 @@ def window_table(rows: DataFrame, id_col: str, bitmap: bytes | None = None) -> D
                     keep = np.flatnonzero(bits[_bit(win)])
                     doc, pos, win = doc[keep], pos[keep], win[keep]
                 if len(doc):
-                    yield _table(batch.column(0).slice(i, j - i), doc, pos, win, h, slot, first)
+                    yield _table(batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), doc, pos, win, h, slot, first)
 
-    return rows.where(F.col(id_col).isNotNull()) \
-        .select(F.col(id_col).cast("long").alias("id"), F.col("text").cast("string").alias("text")) \
+    text = F.col("text").cast("string")
+    return rows.where(text.isNotNull()).select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("own")) \
         .mapInArrow(cut, _WINDOWS)
 
 
@@ -172,36 +175,48 @@ def _bitmap(items: DataFrame) -> bytes:
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, cover of every item that leaks into a document."""
-    items = cut_lineage(window_table(benchmark, "item_id"))
+    """doc_id, item_id, cover (share of the item's words), run (most of its words in a row, as they are)
+    of every item that leaks into a text."""
+    items = cut_lineage(window_table(benchmark.where(F.col("item_id").isNotNull()), "item_id"))
     hits = window_table(docs, "doc_id", _bitmap(items)).select(
-        F.col("id").alias("doc_id"), F.col("pos").alias("d_pos"), "h", F.col("slots").alias("d_slots"))
-    pair = hits.join(items.withColumnRenamed("id", "item_id"), "h")
+        F.col("id").alias("doc_id"), "own", F.col("pos").alias("d_pos"), "h", F.col("slots").alias("d_slots"))
+    pair = hits.join(items.select(F.col("id").alias("item_id"), F.col("own").alias("i_own"), "pos", "h", "words", "slots"), "h")
     match = F.transform("slots", lambda v, k: F.struct(v.alias("item"), F.get("d_slots", k).alias("doc")))
-    lines = pair.withColumn("line", F.col("d_pos") - F.col("pos")).groupBy("doc_id", "item_id", "line").agg(
-        F.collect_set("pos").alias("at"), F.max("words").alias("words"),
+    plain = F.col("h").bitwiseAND(F.lit(1)) == 0
+    text = ["doc_id", "own", "item_id", "i_own"]
+    lines = pair.withColumn("line", F.col("d_pos") - F.col("pos")).groupBy(*text, "line").agg(
+        F.array_sort(F.collect_set(F.when(plain, F.col("pos")))).alias("as_is"), F.collect_set(F.when(~plain, F.col("pos"))).alias("typed"),
+        F.max("words").alias("words"),
         F.array_distinct(F.flatten(F.collect_set(F.filter(match, lambda m: m["item"] != 0)))).alias("slots"))
     same = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda m: m["item"])))
-    covered = F.flatten(F.transform("at", lambda p: F.sequence(p, p + K - 1)))
-    return lines.where(same).groupBy("doc_id", "item_id").agg(
-        F.max("words").alias("words"), F.size(F.array_distinct(F.flatten(F.collect_list(covered)))).alias("n")) \
-        .select("doc_id", "item_id", (F.col("n") / F.col("words")).alias("cover")).where(F.col("cover") >= COVER)
+    covered = F.flatten(F.transform(F.when(same, F.concat("as_is", "typed")).otherwise(F.col("as_is")), lambda p: F.sequence(p, p + K - 1)))
+    zero = F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit(0).alias("best"))
+
+    def longer(a, p):
+        start = F.when(p <= a["end"], a["start"]).otherwise(p)
+        return F.struct(start.alias("start"), (p + K).alias("end"), F.greatest(a["best"], p + K - start).alias("best"))
+
+    return lines.groupBy(*text).agg(
+        F.max("words").alias("words"), F.size(F.array_distinct(F.flatten(F.collect_list(covered)))).alias("n"),
+        F.max(F.aggregate("as_is", zero, longer)["best"]).alias("run")) \
+        .where((F.col("n") >= COVER * F.col("words")) | (F.col("run") >= RUN)) \
+        .groupBy("doc_id", "item_id").agg(F.max(F.col("n") / F.col("words")).alias("cover"), F.max("run").alias("run"))
 
 
 def flagged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document: doc_id, flagged, item_ids (sorted), cover (the largest)."""
     found = leaks(docs, benchmark).groupBy(F.col("doc_id").alias("f_id")).agg(
         F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.max("cover").alias("cover"))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(found, F.col("doc_id") == F.col("f_id"), "left") \
-        .select("doc_id", F.col("f_id").isNotNull().alias("flagged"), "item_ids", "cover")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(found, F.col("doc_id").eqNullSafe(F.col("f_id")), "left") \
+        .select("doc_id", F.col("item_ids").isNotNull().alias("flagged"), "item_ids", "cover")
 
 
 def leaking_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document that holds an item: doc_id, items (their ids, comma-joined in
-    order), cover (the largest)."""
+    order), cover and run (the largest)."""
     return leaks(docs, benchmark).groupBy("doc_id").agg(
         F.concat_ws(",", F.sort_array(F.collect_set("item_id")).cast("array<string>")).alias("items"),
-        F.max("cover").alias("cover"))
+        F.max("cover").alias("cover"), F.max("run").alias("run"))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

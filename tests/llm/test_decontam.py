@@ -84,3 +84,53 @@ def test_query_returns_the_leaking_documents(spark):
     want = brute([(r[0], r[1]) for r in table("documents")], [(r[0], r[1]) for r in table("benchmark")])
     assert want and {(r.doc_id, int(i)) for r in got for i in r.items.split(",")} == want
     assert all(r.cover >= D.COVER for r in got)
+
+
+LONG = " ".join(f"word{i % 7}{chr(97 + i % 26)}{i}" for i in range(500))
+SUMS = "If a tank holds 5 buckets and each of the 5 buckets weighs 9 pounds then how many pounds do the buckets weigh together"
+
+
+def test_plain_windows_count_where_a_slot_is_inconsistent(spark):
+    edited = SUMS.replace("holds 5", "holds 6")  # one of two equal numbers
+    rows = [(1, edited), (2, SUMS.replace("5", "6")), (3, SUMS.replace("5", "6", 1).replace("weighs 9", "weighs 4").replace("tank", "vat"))]
+    got = {r.doc_id: (r.cover, r.run) for r in D.leaks(docs(spark, rows), items(spark, [(70, SUMS)])).collect()}
+    assert {1, 2} <= set(got) and got[1][1] >= 13
+
+
+def test_a_part_of_a_long_item_is_found(spark):
+    words = LONG.split()
+    rows = [(1, "x " * 30 + " ".join(words[100:400]) + " y"), (2, " ".join(words[50:63])), (3, " ".join(words[50:62])),
+            (4, " ".join(w for i, w in enumerate(words) if i % 16 < 8))]
+    got = {r.doc_id: r.run for r in D.leaks(docs(spark, rows), items(spark, [(70, LONG)])).collect()}
+    assert got == {1: 300, 2: 13}
+
+
+def test_null_and_repeated_ids(spark):
+    rows = [(None, Q), (None, "clean text without any of it"), (5, Q[:60]), (5, Q[60:]), (6, Q), (6, Q)]
+    got = D.leaking_documents(docs(spark, rows), items(spark, [(70, Q), (None, Q)])).collect()
+    assert {(r.doc_id, r["items"]) for r in got} == {(None, "70"), (6, "70")}  # the halves of doc 5 are texts of their own
+    flags = {(r.doc_id, r.flagged) for r in D.flagged(docs(spark, rows), items(spark, [(70, Q)])).collect()}
+    assert flags == {(None, True), (5, False), (6, True)}
+
+
+def plain_leaks(text, item):
+    """Longest run of words that stands in both, by plain search."""
+    words = lambda t: "".join(c.lower() if c.isalnum() else " " for c in t).split()
+    a, b = words(text), words(item)
+    best, row = 0, [0] * (len(b) + 1)
+    for x in a:
+        row = [0] + [row[j] + 1 if x == y else 0 for j, y in enumerate(b)]
+        best = max(best, *row)
+    return best
+
+
+def test_runs_equal_plain_search(spark):
+    rng = random.Random(8)
+    item = " ".join(rng.choice(["red", "blue", "green", "stone", "river"]) + str(rng.randint(0, 9)) for _ in range(60))
+    w, rows = item.split(), []
+    for i in range(60):
+        a = rng.randint(0, 40)
+        rows.append((i, " ".join(["pre"] * rng.randint(0, 4) + w[a:a + rng.randint(8, 20)] + ["mid"] + w[:rng.randint(0, 14)])))
+    want = {i: plain_leaks(t, item) for i, t in rows}
+    got = {r.doc_id: r.run for r in D.leaks(docs(spark, rows), items(spark, [(1, item)])).collect()}
+    assert got == {i: n for i, n in want.items() if n >= D.RUN}
