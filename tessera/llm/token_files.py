@@ -157,7 +157,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end_i
             yield full()
 
     (docs.mapInArrow(compress, "bucket int, doc_id long, n_tokens long, frame binary")
-     .repartitionById(n, F.col("bucket")).sortWithinPartitions("bucket", "doc_id")
+     .repartitionById(n, F.col("bucket")).sortWithinPartitions("bucket", "doc_id", "frame")  # rows of one id follow their bytes
      .mapInArrow(blocks, _BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks"))
 
 
@@ -167,8 +167,10 @@ def _meta(spark: SparkSession, path: str):
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """Decode all files: doc_id, start (ids of all documents before it), n_tokens,
-    ids_crc32 (of the ids as little-endian unsigned 32-bit integers)."""
+    ids_crc32 (of the ids as little-endian unsigned 32-bit integers).  Raises if a block was written
+    with another dictionary or a document does not have as many ids as the index says."""
     meta = _meta(spark, path)
+    sha = hashlib.sha256(bytes(meta.dictionary)).hexdigest()
     shared, width = spark.sparkContext.broadcast(bytes(meta.dictionary)), meta.width
     blocks = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks")
     total = blocks.select("bucket", F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, x: a + x).alias("n")) \
@@ -181,18 +183,23 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
         unzip = _decompressor(shared.value)
         for batch in batches:
             for row in batch.to_pylist():
-                counts = np.array(row["n_tokens"], np.int64)
-                crc = []
+                if row["dict_sha256"] != sha:
+                    raise ValueError("the block was written with another dictionary")
+                crc, found = [], []
                 for a, b in zip(row["offsets"], row["offsets"][1:], strict=False):
                     ids = np.frombuffer(unzip.decompress(row["payload"][a:b]), f"<u{width}")
+                    found.append(len(ids))
                     crc.append(zlib.crc32(ids.astype("<u4").tobytes()))
+                if found != row["n_tokens"]:
+                    raise ValueError("the index does not fit the documents")
+                counts = np.array(found, np.int64)
                 n = len(counts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["bucket"]] * n, pa.int32()), pa.array(row["doc_ids"], pa.int64()),
                      pa.array(row["start"] + np.cumsum(counts) - counts, pa.int64()), pa.array(counts, pa.int64()),
                      pa.array(crc, pa.int64())], ["bucket", "doc_id", "inner", "n_tokens", "ids_crc32"])
 
-    rows = blocks.select("bucket", "start", "doc_ids", "n_tokens", "offsets", "payload") \
+    rows = blocks.select("bucket", "start", "doc_ids", "n_tokens", "offsets", "payload", "dict_sha256") \
         .mapInArrow(decode, "bucket int, doc_id long, inner long, n_tokens long, ids_crc32 long")
     return rows.join(F.broadcast(before), "bucket").select(  # as many rows as buckets
         "doc_id", (F.col("inner") + F.col("before")).cast("long").alias("start"), "n_tokens", "ids_crc32")

@@ -114,3 +114,32 @@ def test_features_are_the_distinct_words_and_beginnings():
     buf, off = flat(pa.array(["Idiot idiot, x", None, "idiots"]))
     a, b, c = list(T.features(buf, off))
     assert len(b) == 0 and 3 <= len(a) <= 4 and len(set(a) & set(c)) >= 1
+
+
+def test_language_by_plain_zstandard(spark):
+    """Predictions against one plain encoder a language, and texts without a letter."""
+    import zstandard
+
+    from tessera.llm import lang_zstd as Z
+
+    words = {"xx": "lorem ipsum dolor sit amet consectetur".split(), "yy": "river stone green walk under bridge".split()}
+    rows = [(i, " ".join(words[k][(i * 7 + j * j) % 6] for j in range(30)), k) for i, k in enumerate(["xx", "yy"] * 40)]
+    odd = [(100, "² ½ 12 ?", None), (101, None, "xx"), (102, "", "yy"), (103, "lorem ² dolor", None), (104, "123", "xx")]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string").repartition(3)
+    model = Z.train(docs, Z.fold(docs.doc_id, 3) != 1)
+    names = sorted(model, key=lambda k: (-model[k][0], k))
+
+    def plain(text):
+        if not text or not any(c.isalpha() for c in text):
+            return "und"
+        data = Z._payload(list(dict.fromkeys(Z._WORD.findall(text.lower()))))
+        size = []
+        for k in names:
+            d = zstandard.ZstdCompressionDict(model[k][1], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            c = zstandard.ZstdCompressor(level=Z.LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+            size.append(len(c.compress(data)))
+        return names[size.index(min(size))]
+
+    got = {r.doc_id: r.lang_pred for r in Z.identify(docs).collect()}
+    assert got == {i: plain(t) for i, t, _ in rows + odd}
+    assert [got[i] for i in (100, 101, 102, 103, 104)] == ["und", "und", "und", "xx", "und"]

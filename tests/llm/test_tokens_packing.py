@@ -148,3 +148,24 @@ def test_queries_on_the_smallest_table(spark, name):
                 for d in docs for p in range(-(-(len(by_library(d.text)) + 1) // 2048))}
         assert {(r.doc_id, r.piece): r.ids_crc32 for r in got} == want
         check_bins([(r.sequence_id, r.offset, r.length) for r in got], 2048)
+
+
+def test_files_of_another_dictionary_and_repeated_ids(spark):
+    import uuid
+
+    from tessera.llm.shared import scratch
+    from tessera.llm.token_files import read_index, write_tokens
+
+    rows = [(i % 40, f"some text number {i} with words " * (1 + i % 5)) for i in range(120)]
+    one, two = (scratch(spark, f"tokens-{uuid.uuid4().hex}") for _ in range(2))
+    write_tokens(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), one)
+    write_tokens(spark.createDataFrame(rows[::-1], "doc_id long, text string").repartition(5), two)
+    a, b = ([tuple(r) for r in read_index(spark, p).orderBy("start").collect()] for p in (one, two))
+    assert [r[1] for r in a] == [sum(x[2] for x in a[:i]) for i in range(len(a))] and [r[0] for r in a] == sorted(r[0] for r in a)
+    assert a == b or spark.read.parquet(one + "/dictionary").first().dict_sha256 != spark.read.parquet(two + "/dictionary").first().dict_sha256
+    other = spark.read.parquet(one + "/dictionary").selectExpr("dict_sha256", "cast(concat(dictionary, X'00') as binary) as dictionary",
+                                                               "width", "vocabulary", "end_id").collect()
+    spark.createDataFrame(other, "dict_sha256 string, dictionary binary, width int, vocabulary string, end_id int") \
+        .write.mode("overwrite").parquet(two + "/dictionary")
+    with pytest.raises(Exception, match="another dictionary"):
+        read_index(spark, two).collect()
