@@ -16,6 +16,7 @@ from tessera.operators import cluster as C
 from tessera.operators import evaluate as E
 from tessera.operators import features as X
 from tessera.operators import models as M
+from tessera.operators.density import dbscan_nd
 from tessera.operators.linkage import complete_linkage, merge_table
 from tessera.operators.boosting import BoostedTrees
 from tessera.operators.network import PerceptronNetwork
@@ -347,6 +348,11 @@ def dbscan(spark: SparkSession, d: str) -> DataFrame:
     return C.dbscan(_points(spark, d), "c_custkey", ["x", "y"], 0.75, 20)
 
 
+def dbscan_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """Density clusters (eps 1.15, 3 samples) of the 64-dimensional embeddings."""
+    return dbscan_nd(table(spark, d, "embeddings"), "vec_id", F.col("embedding"), 1.15, 3)
+
+
 def _suppliers(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "supplier").select("s_suppkey", (F.col("s_acctbal") / 1000).alias("x"),
                                               (F.col("s_nationkey") * 0.4).alias("y"))
@@ -412,6 +418,6 @@ QUERIES = {
     "svm_grid": svm_grid, "svm_sweep": svm_sweep,
     "svm_poly": svm_poly, "tree": tree, "forest": forest, "gbt": gbt, "boost": boost, "boost_reg": boost_reg,
     "mlp": mlp, "cv_scores": cv_scores, "cv_models": cv_models, "compare_models": compare_models, "ols": ols, "gd_steps": gd_steps,
-    "cost_history": cost_history, "cv_linear": cv_linear, "kmeans": kmeans, "elbow": elbow, "dbscan": dbscan, "single_link": single_link,
+    "cost_history": cost_history, "cv_linear": cv_linear, "kmeans": kmeans, "elbow": elbow, "dbscan": dbscan, "dbscan_vectors": dbscan_vectors, "single_link": single_link,
     "single_link_merges": single_link_merges, "complete_link": complete_link, "components": components,
 }

@@ -494,4 +494,17 @@ FROM lineitem GROUP BY l_orderkey"""
 SELECT vec_id, label, round(list_sum(list_transform(embedding, lambda v: CAST(v AS DOUBLE) / 255)), 9) AS total FROM embeddings"""
     q["feature_vector"] = """
 SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DOUBLE) AS target, CAST(3 AS INTEGER) AS width, CAST(l_tax AS DOUBLE) AS last FROM lineitem"""
+    q["dbscan_vectors"] = """
+WITH RECURSIVE p AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+nb AS (SELECT a.id, b.id AS id2 FROM p a JOIN p b ON list_distance(a.v, b.v) <= 1.15),
+core AS (SELECT id FROM nb GROUP BY id HAVING count(*) >= 3),
+ce AS (SELECT nb.id, nb.id2 FROM nb JOIN core c1 ON nb.id = c1.id JOIN core c2 ON nb.id2 = c2.id),
+reach(id, root) AS (SELECT id, id FROM core UNION SELECT ce.id2, r.root FROM reach r JOIN ce ON r.id = ce.id),
+comp AS (SELECT id, min(root) AS root FROM reach GROUP BY id),
+lab AS (SELECT root, dense_rank() OVER (ORDER BY root) - 1 AS label FROM (SELECT DISTINCT root FROM comp)),
+core_lab AS (SELECT comp.id, lab.label FROM comp JOIN lab ON comp.root = lab.root),
+border AS (SELECT nb.id, min(cl.label) AS label FROM nb JOIN core_lab cl ON nb.id2 = cl.id
+           WHERE nb.id NOT IN (SELECT id FROM core) GROUP BY nb.id)
+SELECT p.id AS vec_id, CAST(coalesce(cl.label, b.label, -1) AS INTEGER) AS label, p.id IN (SELECT id FROM core) AS is_core
+FROM p LEFT JOIN core_lab cl ON p.id = cl.id LEFT JOIN border b ON p.id = b.id"""
     return q
