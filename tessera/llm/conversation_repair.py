@@ -15,7 +15,7 @@ Spark deals rows by conversation twice.  First without texts (turn, role initial
 faults): a task streams sorted rows and keeps a byte and a digest a row of one conversation.
 Then audit and texts meet: a task walks through the rows and feeds a running SHA-256.  A
 conversation is one audit string and one running hash, hence one task's work; the integer
-grows with its rows, so its time is quadratic in them (0.2 s for 4,000 rows).
+grows with its rows, so its time is quadratic in them (half a second for 4,000 rows, 5 s for 16,000).
 
 Edits: Keep 0, Rerole to user or assistant 1, Delete 2 (required for blank and duplicate rows),
 Insert an empty user or assistant row 5; a truncated row that is not deleted adds 5.
