@@ -10,11 +10,12 @@ of the id's hash, so ties in a coordinate (a source with a third of all rows) ar
 cut anywhere, and equal texts lie side by side.  The weighted median of all regions of a
 level is found at once by histograms: each round sums bytes in ``BINS`` bins a region and
 keeps the bin the median lies in, until that bin holds less than ``TOLERANCE`` of a leaf.
-Rows are never sorted or gathered; the driver sees one row a region and round.
+Rows that share a key (repeated rows) and outweigh that are cut by the hash of a row number,
+fixed once by a checkpoint, in the same rounds.  Rows are never sorted or gathered; the driver sees one row a region and round.
 
 Law: ``bytes`` (sizes near equal).  Defined cases: null text counts one byte and has the
-CRC of the empty text; null metadata is coordinate 0; repeated rows share a key and stay
-together; an empty table gives an empty result; extra columns are ignored.
+CRC of the empty text; null metadata is coordinate 0; repeated rows are spread over shards
+where their bytes ask for it; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -54,37 +55,58 @@ def _key(dims: int) -> Column:
     return F.shiftleft(c, _TIE).bitwiseOR(F.col("tie"))
 
 
-def _cuts(rows: DataFrame, dims: int, state: dict[int, dict], leaf_bytes: float) -> dict[int, int]:
-    """region -> smallest key of its right part.  ``state`` has dim and target of each region."""
+def _narrow(rows: DataFrame, key: Column, state: dict[int, dict], leaf_bytes: float) -> tuple[dict[int, int], dict[int, int]]:
+    """(region -> smallest key of its right part, region -> the key that alone outweighs the
+    tolerance, where the cut falls inside it).  ``state`` has dim, target and base (bytes
+    left of the rows given) of each region; base is kept up to date."""
     spark = rows.sparkSession
     small = F.broadcast(spark.createDataFrame([(n, s["dim"]) for n, s in state.items()], "node long, dim int"))
-    ends = rows.join(small, "node").groupBy("node").agg(F.min(_key(dims)).alias("lo"), F.max(_key(dims)).alias("hi"))
+    ends = rows.join(small, "node").groupBy("node").agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
     for r in ends.collect():
-        state[r.node] |= {"lo": r.lo, "hi": r.hi, "base": 0}
+        state[r.node] |= {"lo": r.lo, "hi": r.hi}
     cuts: dict[int, int] = {}
-    while open_ := {n: s for n, s in state.items() if n not in cuts}:
+    heavy: dict[int, int] = {}
+    while open_ := {n: s for n, s in state.items() if n not in cuts and n not in heavy}:
         for s in open_.values():
             s["shift"] = max(0, (s["hi"] - s["lo"]).bit_length() - BINS.bit_length() + 1)
         ask = F.broadcast(spark.createDataFrame(  # one row a region: bounded by the number of leaves
             [(n, s["dim"], s["lo"], s["hi"], s["shift"], float(s["target"] - s["base"])) for n, s in open_.items()],
             "node long, dim int, lo long, hi long, shift int, want double"))
-        key = _key(dims)
         bins = rows.join(ask, "node").where((key >= F.col("lo")) & (key <= F.col("hi"))) \
             .withColumn("bin", F.call_function("shiftright", key - F.col("lo"), F.col("shift"))) \
-            .groupBy("node", "bin", "want").agg(F.sum("size").alias("w"))
+            .groupBy("node", "bin", "want").agg(F.sum("size").alias("w"), F.count(F.lit(1)).alias("n"))
         upto = F.sum("w").over(Window.partitionBy("node").orderBy("bin"))  # BINS rows a region
         hit = bins.withColumn("upto", upto).where("upto >= want").groupBy("node") \
-            .agg(F.min(F.struct("bin", "upto", "w")).alias("h"))
+            .agg(F.min(F.struct("bin", "upto", "w", "n")).alias("h"))
         for r in hit.collect():
             s, low = state[r.node], state[r.node]["lo"] + (r.h.bin << state[r.node]["shift"])
             high = low + (1 << s["shift"]) - 1
             before = s["base"] + r.h.upto - r.h.w
-            if s["shift"] == 0 or r.h.w <= TOLERANCE * leaf_bytes:
+            if r.h.w <= TOLERANCE * leaf_bytes or (s["shift"] == 0 and r.h.n == 1):
                 nearer_end = abs(before + r.h.w - s["target"]) < abs(before - s["target"])
                 cuts[r.node] = high + 1 if nearer_end else low
+            elif s["shift"] == 0:
+                s["base"] = before
+                heavy[r.node] = low
             else:
                 s |= {"lo": max(s["lo"], low), "hi": min(s["hi"], high), "base": before}
-    return cuts
+    return cuts, heavy
+
+
+def _cuts(rows: DataFrame, dims: int, state: dict[int, dict], leaf_bytes: float) -> dict[int, tuple[int, int]]:
+    """region -> (key, row number): its right part begins there.  Rows of one key that
+    outweighs the tolerance are cut by their row numbers, in the same way."""
+    for s in state.values():
+        s["base"] = 0
+    cuts, heavy = _narrow(rows, _key(dims), state, leaf_bytes)
+    out = {n: (c, 0) for n, c in cuts.items()}
+    if heavy:
+        only = F.broadcast(rows.sparkSession.createDataFrame(
+            [(n, state[n]["dim"], k) for n, k in heavy.items()], "node long, dim int, only long"))
+        equal = rows.join(only, "node").where(_key(dims) == F.col("only")).drop("dim", "only")
+        inner, left = _narrow(equal, F.col("row"), {n: state[n] for n in heavy}, leaf_bytes)
+        out |= {n: (heavy[n], c) for n, c in (inner | left).items()}
+    return out
 
 
 def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None) -> DataFrame:
@@ -98,6 +120,7 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
     rows = cut_lineage(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), (size_bytes(F.col("text").cast("string")) + 1).alias("size"),
         crc.cast("long").alias("text_crc32"), tie.cast("long").alias("tie"),
+        F.shiftrightunsigned(F.xxhash64(F.monotonically_increasing_id()), 1).alias("row"),  # fixed by the checkpoint
         *[c.alias(f"c{d}") for d, c in enumerate(coord)], F.lit(1).cast("long").alias("node")))
     spread = [F.max(f"c{d}") - F.min(f"c{d}") for d in range(dims)]
     whole = rows.agg(F.sum("size"), *spread).first()
@@ -113,10 +136,11 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
                 state[r.node] = {"dim": share.index(max(share)), "target": r.w * ((k + 1) // 2) / k}
         cuts = _cuts(rows, dims, state, total / shards)
         plan = F.broadcast(rows.sparkSession.createDataFrame(
-            [(n, state[n]["dim"], c) for n, c in cuts.items()], "node long, dim int, cut long"))
+            [(n, state[n]["dim"], *c) for n, c in cuts.items()], "node long, dim int, cut long, first long"))
         rows = rows.join(plan, "node", "left").withColumn("node", F.when(
-            F.col("cut").isNull(), F.col("node")).otherwise(2 * F.col("node") + (_key(dims) >= F.col("cut")).cast("long"))) \
-            .drop("dim", "cut")
+            F.col("cut").isNull(), F.col("node")).otherwise(2 * F.col("node") + (
+                (_key(dims) > F.col("cut")) | ((_key(dims) == F.col("cut")) & (F.col("row") >= F.col("first")))).cast("long"))) \
+            .drop("dim", "cut", "first")
         rows = cut_lineage(rows)
         nxt = {}
         for n, k in leaves.items():

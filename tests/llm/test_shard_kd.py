@@ -54,3 +54,12 @@ def test_edge_rows(spark):
     laws(kd_shards(frame(spark, rows), shards=8).collect(), rows, 8)
     again = [(7, "a b", "en", "s", 3)] * 5 + [(None, "c", "en", "s", 1)]
     laws(kd_shards(frame(spark, again), shards=2).collect(), again, 2)
+
+
+def test_repeated_rows_are_cut_too(spark):
+    rows = [(7, "one text of a repeated row", "en", "s", 26)] * 400 + [(1000 + i, f"another text, number {1000 + i}", "de", "t", 25) for i in range(400)]
+    total = laws(kd_shards(frame(spark, rows), shards=8).collect(), rows, 8)
+    assert len(total) == 8 and max(total.values()) - min(total.values()) <= 3 * 27
+    same = [(None, "x" * 99, None, None, None)] * 333
+    total = laws(kd_shards(frame(spark, same), shards=7).collect(), same, 7)
+    assert len(total) == 7 and max(total.values()) - min(total.values()) <= 300
