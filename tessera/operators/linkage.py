@@ -62,7 +62,7 @@ BLOCK = 512
 
 
 class KdLeaves:
-    """Axis-parallel cuts at sample medians; ``lo``/``hi`` are the regions of the leaves."""
+    """Axis-parallel cuts beside sample medians, halfway to the next smaller value; ``lo``/``hi`` are the regions of the leaves."""
 
     def __init__(self, sample: np.ndarray, leaves: int, d: int, shift: float = 0.0):
         self.dim, self.cut, self.kids = [], [], []
@@ -80,6 +80,10 @@ class KdLeaves:
             at = float(np.quantile(x, min(max((n // 2) / n + shift, 0.05), 0.95), method="lower"))
             if at <= x.min():
                 at = float(x[x > x.min()].min())
+            # between two values, not on one: a value that many points share would lie on the border
+            below = float(x[x < at].max())
+            middle = below + (at - below) / 2
+            at = middle if middle > below else at
             me = len(self.dim)
             self.dim.append(axis)
             self.cut.append(at)

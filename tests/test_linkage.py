@@ -158,3 +158,12 @@ def test_extremes_hold_the_farthest_point():
         for p in rng.normal(size=(20, 2)) * 3:
             assert L._square(hull, p).max() == L._square(x, p).max()
     assert len(L.extremes(rng.normal(size=(400, 2)))) < 40 and len(L.extremes(rng.normal(size=(9, 1)))) == 2
+
+
+def test_cuts_lie_between_values():
+    """Points that share a coordinate do not lie on the border of their leaf (their edges would all stay open)."""
+    x = np.array([[i * 0.01, j * 0.4] for j in range(25) for i in range(10)])
+    kd = L.KdLeaves(x, 8, 2)
+    leaf = kd.leaf(x)
+    border = np.minimum(x - kd.lo[leaf], kd.hi[leaf] - x).min(axis=1)
+    assert len(kd.lo) == 8 and (border > 0).all()
