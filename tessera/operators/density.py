@@ -76,6 +76,20 @@ def _points(df: DataFrame, id_col: str, features: Column) -> DataFrame:
     return cut_lineage(df.select(F.col(id_col).alias("id"), features.cast("array<double>").alias("x")).where(ok))
 
 
+def _within(x: np.ndarray, y: np.ndarray, limit: float) -> np.ndarray:
+    """``_square(x, y) <= limit`` for all pairs: one matrix product decides all but the pairs too close to
+    the limit for its rounding, which are looked at one by one."""
+    size = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :]
+    slack = (4 * x.shape[1] + 32) * 2.3e-16 * size
+    gap = size - 2.0 * (x @ y.T) - limit
+    near = gap < -slack
+    i, j = np.nonzero(np.abs(gap) <= slack)
+    for at in range(0, len(i), 1 << 16):
+        p, q = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
+        near[p, q] = _square(x[p], y[q]) <= limit
+    return near
+
+
 def replication(df: DataFrame, id_col: str, features: Column, eps: float, leaf_points: int = LEAF_POINTS) -> float:
     """Copies of a point that ``dbscan_nd`` would make, on average."""
     pts = _points(df, id_col, features)
@@ -97,7 +111,7 @@ def dbscan_nd(df: DataFrame, id_col: str, features: Column, eps: float, min_samp
         x, own = np.stack(pdf["x"].to_numpy()), np.flatnonzero(pdf["own"].to_numpy())
         n = np.zeros(len(own), int)
         for i in range(0, len(own), BLOCK):
-            n[i:i + BLOCK] = (_square(x[own[i:i + BLOCK], None, :], x[None, :, :]) <= limit).sum(axis=1)
+            n[i:i + BLOCK] = _within(x[own[i:i + BLOCK]], x, limit).sum(axis=1)
         return pd.DataFrame({"id": pdf["id"].to_numpy()[own], "is_core": n >= min_samples})
 
     core = cut_lineage(dealt.groupBy("leaf").applyInPandas(count, f"id {kind}, is_core boolean"))
@@ -112,20 +126,23 @@ def dbscan_nd(df: DataFrame, id_col: str, features: Column, eps: float, min_samp
         for first in np.flatnonzero(open_):
             if not open_[first]:
                 continue
-            open_[first], queue = False, [first]
-            while queue:  # own cores spread; halo cores are only named, their own leaves spread them
-                c = queue.pop()
-                root[c] = first
-                near = cores[_square(x[cores], x[c]) <= limit]
-                out += [(True, ids[h], ids[first]) for h in near[~own[near]]]
+            halo: set = set()
+            open_[first], edge = False, np.array([first])
+            while len(edge):  # own cores spread; halo cores are only named, their own leaves spread them
+                now, edge = edge[:BLOCK], edge[BLOCK:]
+                root[now] = first
+                near = cores[_within(x[now], x[cores], limit).any(axis=0)]
+                halo.update(near[~own[near]].tolist())
                 new = near[open_[near]]
                 open_[new] = False
-                queue.extend(new.tolist())
+                edge = np.concatenate([edge, new])
+            out += [(True, ids[h], ids[first]) for h in halo]
             # every own core of the group with its name
         out += [(True, ids[i], ids[root[i]]) for i in np.flatnonzero(root >= 0)]
-        for i in np.flatnonzero(own & ~is_core):
-            near = cores[_square(x[cores], x[i]) <= limit]
-            out += [(False, ids[i], c) for c in set(ids[near].tolist())]
+        rim = np.flatnonzero(own & ~is_core)
+        for at in range(0, len(rim), BLOCK):
+            i, j = np.nonzero(_within(x[rim[at:at + BLOCK]], x[cores], limit))
+            out += [(False, ids[p], ids[c]) for p, c in zip(rim[at + i], cores[j])]
         return pd.DataFrame(out, columns=["is_core", "id", "core"])
 
     named = cut_lineage(dealt.join(core, "id").groupBy("leaf").applyInPandas(group, f"is_core boolean, id {kind}, core {kind}").distinct())

@@ -47,3 +47,11 @@ def test_edge_rows(spark):
                                "id long, v array<double>")
     assert {tuple(r) for r in D.dbscan_nd(df, "id", F.col("v"), 0.5, 2).collect()} == {(1, 0, True), (2, 0, True), (6, -1, False)}
     assert D.dbscan_nd(df.where("id > 100"), "id", F.col("v"), 0.5, 2).collect() == []
+
+
+def test_matrix_product_decides_as_the_plain_sum_does(spark):
+    """No cube of differences: pairs are decided by one product, those at the limit by the plain sum."""
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 3, (300, 64)).astype(float) / 10 + 1000.0
+    for limit in (0.0, D._square(x[0], x[1]), 1.15):
+        assert (D._within(x[:100], x, limit) == (D._square(x[:100, None, :], x[None, :, :]) <= limit)).all()
