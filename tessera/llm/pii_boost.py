@@ -8,7 +8,7 @@ touch a base span are put aside; boosted trees score the others by their format
 kinds of signs, digit groups, octets, Luhn digits) and context (neighbouring signs, key
 words before it).
 
-Labels come by weak supervision from a bounded hash sample of documents (``SAMPLE``).
+Labels come by weak supervision from all documents.
 Each base span is written anew, in its own context, in shapes that the base patterns miss
 (``(at)`` and ``(dot)``, colon groups, dotted cards, phones without a plus): positives.  It
 is also written as look-alikes (no top level, octets above 255, clock times, wrong check
@@ -42,7 +42,6 @@ from pyspark.sql import functions as F
 from tessera.llm.shared import cut_lineage
 
 KINDS = ["email", "ip", "card", "phone"]
-SAMPLE = 20_000
 PRECISION = 0.95
 TREES = 20
 DEPTH = 4
@@ -326,16 +325,14 @@ def _tree(node):
     return split.featureIndex(), split.threshold(), _tree(node.leftChild()), _tree(node.rightChild())
 
 
-def train(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> Model | None:
-    """Trees and thresholds from a hash sample of documents; None if a label is too rare."""
-    total = docs.count()
-    rows = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / max(total, 1))))
+def train(docs: DataFrame, precision: float = PRECISION) -> Model | None:
+    """Trees and thresholds from all documents; None if a label is too rare."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     t, d = F.col("t"), F.col("d")
     base = F.concat(*[base_matches(t, d, k) for k in KINDS])
     fit = (F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(10)) < 7).alias("fit")
     free = untouched(F.col("found"), F.col("b")).alias("free")
-    shown = cut_lineage(rows.select(text.alias("t"), has_digit(text).alias("d"), fit)
+    shown = cut_lineage(docs.select(text.alias("t"), has_digit(text).alias("d"), fit)
                         .select("fit", base.alias("m"), proposals(t, d).alias("found"))
                         .select("fit", "m", "found", _spans(F.col("m")).alias("b")).select("fit", "m", free))
     natural = shown.select("fit", F.explode("free").alias("s")).where(~_seen_shape(F.col("s"))).select("fit", F.lit(0.0).alias("label"), "s")
