@@ -3,9 +3,9 @@
 Paragraphs are the lines of a text that hold a letter.  A sparse logistic regression over
 hashed word uni-, bi- and trigrams gives each paragraph a licence family or ``unknown``.  It is trained
 here: examples of the families are variants of their short templates (whole, and each
-run of the template's words that is long enough) and the paragraphs of a bounded hash
-sample of the corpus (``SAMPLE`` documents) that hold no template; these are ``unknown``.
-The unknown class is calibrated on held-out sample paragraphs: a family needs a
+run of the template's words that is long enough) and the paragraphs of the whole corpus
+that hold no template; these are ``unknown``, those of three documents in ten held out.
+The unknown class is calibrated on the held-out paragraphs: a family needs a
 probability that at most ``FALSE`` of them reach.
 
 A prediction stands when the template confirms it: at least ``CONFIRM`` of the template's
@@ -15,7 +15,7 @@ grouped by document after they have become few.  Texts without any word that eve
 confirmation implies are told by a substring search and not scored.
 
 Defined cases: null or empty text -> no finding; a paragraph of any length is scored
-whole; repeated rows give repeated findings per doc_id; too few sample paragraphs for a
+whole; repeated rows give repeated findings per doc_id; no held-out paragraphs for a
 calibration -> the threshold is 0.5; empty table -> empty result; extra columns are ignored.
 """
 
@@ -32,7 +32,6 @@ from tessera.llm.shared import cut_lineage
 UNKNOWN = "unknown"
 DIMS = 1 << 13
 ITERATIONS = 30
-SAMPLE = 2000
 FALSE = 1e-3
 CONFIRM = 0.8
 SHORTEST = 4  # words of a template run used as a training example
@@ -117,16 +116,14 @@ def cover(pairs: Column) -> dict[str, Column]:
     return out
 
 
-def train(docs: DataFrame, sample: int = SAMPLE):
-    """(logistic regression model, probability a family needs)."""
+def train(docs: DataFrame):
+    """(logistic regression model, probability a family needs), from the paragraphs of all documents."""
     spark = docs.sparkSession
-    total = docs.count()
-    picked = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / max(total, 1))))
-    shown = paragraphs(picked).withColumn("words", tokens(F.col("paragraph")))
+    shown = paragraphs(docs).withColumn("words", tokens(F.col("paragraph")))
     best = F.greatest(*cover(F.col("grams")).values())
-    plain = cut_lineage(shown.withColumn("grams", grams(F.col("words"))).where(best < 0.5)
-                        .select("grams", F.lit(0.0).alias("label"),
-                                (F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(10)) < 7).alias("fit")))
+    # not checkpointed: the grams are several times the text; the fit keeps its own packed rows
+    plain = shown.withColumn("grams", grams(F.col("words"))).where(best < 0.5) \
+        .select("grams", F.lit(0.0).alias("label"), (F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(10)) < 7).alias("fit"))
     known = []
     for k, name in enumerate(FAMILIES[1:], 1):
         for t in TEMPLATES[name]:
@@ -142,8 +139,7 @@ def train(docs: DataFrame, sample: int = SAMPLE):
         .union(own.select("grams", "label", F.lit(weight).alias("weight")))
     tf = _hashing()
     lr = LogisticRegression(family="multinomial", weightCol="weight", regParam=1e-4, maxIter=ITERATIONS)
-    ready = tf.transform(data).select("features", "label", "weight").coalesce(4)  # SAMPLE documents at most
-    model = lr.fit(cut_lineage(ready))
+    model = lr.fit(tf.transform(data).select("features", "label", "weight"))
     held = model.transform(tf.transform(plain.where("not fit"))).select(
         (1 - vector_to_array("probability")[0]).alias("p"))
     n, at = held.agg(F.count(F.lit(1)), F.percentile_approx("p", 1 - FALSE, 10_000)).first()

@@ -178,3 +178,15 @@ def test_every_confirmed_paragraph_holds_a_needed_word():
             for gone in combinations(pairs, spare):
                 held = {w for p in pairs if p not in gone for w in p.split()}
                 assert held & need, (t, gone)
+
+
+def test_models_learn_from_every_document(spark, monkeypatch):
+    """Neither training reads a sample: both see the rows of every document."""
+    seen = []
+    monkeypatch.setattr(P, "cut_lineage", lambda df: (seen.append(df.count()), df)[1])
+    docs = spark.range(21_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    assert P.train(docs) is None and seen[0] == 21_000
+    seen.clear()
+    monkeypatch.setattr(LIC, "paragraphs", lambda df, real=LIC.paragraphs: (seen.append(df.count()), real(df))[1])
+    LIC.train(spark.range(2500).select(F.col("id").alias("doc_id"), F.lit("plain words of no licence").alias("text")))
+    assert seen[0] == 2500
