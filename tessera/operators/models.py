@@ -14,7 +14,7 @@ Rules kept from the survey:
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -170,6 +170,16 @@ def _vec_in(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn("__arr", vector_to_array(F.col(col)))
 
 
+MAP_VALUES = 1 << 20  # values of a feature map held at once (8 MB), whatever the size of an Arrow batch
+
+
+def _parts(xs: pd.Series, width: int) -> Iterator[pd.Series]:
+    """Pieces of a batch whose mapped rows (``width`` values each) stay within ``MAP_VALUES``."""
+    rows = max(1, MAP_VALUES // max(width, 1))
+    for i in range(0, len(xs), rows):
+        yield xs.iloc[i:i + rows]
+
+
 class RandomFourierFeatures(Transformer):
     """M5: z(x) = sqrt(2/D) cos(W x + b), W ~ N(0, 2*gamma), b ~ U(0, 2*pi) (Rahimi & Recht 2007).
 
@@ -192,10 +202,10 @@ class RandomFourierFeatures(Transformer):
         b, scale = rng.uniform(0.0, 2 * math.pi, size=self.n_features), math.sqrt(2.0 / self.n_features)
 
         @F.pandas_udf(T.ArrayType(T.DoubleType()))
-        def rff(xs: pd.Series) -> pd.Series:
-            X = np.stack(xs.to_numpy()) if len(xs) else np.zeros((0, W.shape[0]))
-            Z = scale * np.cos(X @ W + b)
-            return pd.Series(list(Z))
+        def rff(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for xs in batches:
+                for part in _parts(xs, W.shape[1]):
+                    yield pd.Series(list(scale * np.cos(np.stack(part.to_numpy()) @ W + b)))
 
         return _vec_in(df, self.inputCol).withColumn(self.outputCol, array_to_vector(rff("__arr"))).drop("__arr")
 
@@ -226,10 +236,11 @@ class CubicFeatures(Transformer):
         idx, wts = self.idx, self.wts
 
         @F.pandas_udf(T.ArrayType(T.DoubleType()))
-        def cubic(xs: pd.Series) -> pd.Series:
-            X = np.stack(xs.to_numpy()) if len(xs) else np.zeros((0, 1))
-            Z = X[:, idx[:, 0]] * X[:, idx[:, 1]] * X[:, idx[:, 2]] * wts
-            return pd.Series(list(Z))
+        def cubic(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for xs in batches:
+                for part in _parts(xs, len(idx)):
+                    X = np.stack(part.to_numpy())
+                    yield pd.Series(list(X[:, idx[:, 0]] * X[:, idx[:, 1]] * X[:, idx[:, 2]] * wts))
 
         return _vec_in(df, self.inputCol).withColumn(self.outputCol, array_to_vector(cubic("__arr"))).drop("__arr")
 

@@ -205,3 +205,18 @@ def test_single_linkage_matches_kruskal(spark):
         pairs_exp = {(i, j) for i in range(len(P)) for j in range(i + 1, len(P)) if exp[i] == exp[j]}
         pairs_got = {(i, j) for i in range(len(P)) for j in range(i + 1, len(P)) if got[i] == got[j]}
         assert pairs_exp == pairs_got
+
+
+def test_feature_maps_hold_few_rows_at_once(spark, monkeypatch):
+    """A batch is mapped in pieces of bounded size, with the same values."""
+    import pandas as pd
+
+    xs = pd.Series([np.array([float(i), 1.0]) for i in range(1000)])
+    sizes = [len(p) for p in M._parts(xs, M.MAP_VALUES // 100)]
+    assert max(sizes) == 100 and sum(sizes) == 1000
+    df = spark.createDataFrame([(i, [float(i), 2.0]) for i in range(50)], "id int, features array<double>").coalesce(1)
+    plain = {r.id: r.z.toArray() for r in M.CubicFeatures("features", "z", 2).transform(df).collect()}
+    monkeypatch.setattr(M, "MAP_VALUES", 8)
+    small = {r.id: r.z.toArray() for r in M.CubicFeatures("features", "z", 2).transform(df).collect()}
+    assert len(small) == 50 and all((plain[i] == small[i]).all() for i in plain)
+    assert np.allclose(small[3], [27, 3 ** 0.5 * 18, 3 ** 0.5 * 12, 8])
