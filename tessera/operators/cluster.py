@@ -259,10 +259,16 @@ def lloyd(df: DataFrame, starts: Sequence[np.ndarray], featuresCol: str = "featu
             for i in active:
                 c = centres[i]
                 own = ((c * c).sum(1)[None, :] - 2 * (x @ c.T)).argmin(axis=1)
-                off = x - c[own]
-                sums = np.zeros_like(c)
-                np.add.at(sums, own, x)
-                out += [sums.ravel(), np.bincount(own, minlength=len(c)).astype(float), [(off * off).sum()]]
+                n = np.bincount(own, minlength=len(c))
+                sums, square = np.zeros_like(c), 0.0
+                if i in moving:  # rows side by side by centre: each centre's sum is one reduction
+                    has = np.flatnonzero(n)
+                    first = (np.cumsum(n) - n)[has]
+                    sums[has] = np.add.reduceat(x[np.argsort(own, kind="stable")], first, axis=0)
+                else:  # its last scan: the inertia alone
+                    off = x - c[own]
+                    square = (off * off).sum()
+                out += [sums.ravel(), n.astype(float), [square]]
             return np.concatenate(out)
 
         total = reduced(blocks, make)

@@ -42,3 +42,14 @@ def test_limits(spark):
     far = C.lloyd(df, [np.array([[0.0, 0.0], [1e6, 1e6]])])[0][0]
     assert list(far[1]) == [1e6, 1e6]  # without rows it stays
     assert [r.inertia for r in C.elbow(df.where("id < 0"), [1, 2]).collect()] == [0.0, 0.0]
+
+
+def test_a_scan_adds_up_only_what_it_needs(spark, monkeypatch):
+    """Rows are not added one by one to their centres (``np.add.at``)."""
+    df = frame(spark)
+    starts = C.seeds(df, [3], seed=2)
+    x = np.array([r[0].toArray() for r in df.select("features").collect()])
+    want = plain(x, starts[0], 50)
+    (centres, inertia, rounds), = C.lloyd(df, starts, maxIter=50)
+    assert np.allclose(centres, want[0]) and np.isclose(inertia, want[1]) and rounds == want[2]
+    assert "add.at" not in __import__("inspect").getsource(C.lloyd)
