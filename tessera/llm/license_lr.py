@@ -21,8 +21,10 @@ calibration -> the threshold is 0.5; empty table -> empty result; extra columns
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import HashingTF, NGram
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,12 +65,22 @@ def tokens(paragraph: Column) -> Column:
     return F.filter(F.split(F.lower(paragraph), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def grams(words: Column) -> Column:
-    """Words, pairs and triples of neighbours."""
-    pair = F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.concat_ws(" ", a, b))
-    pairs = F.slice(pair, 1, F.greatest(F.size(words) - 1, F.lit(0)))
-    triple = F.zip_with(pair, F.slice(words, 3, F.size(words)), lambda a, b: F.concat_ws(" ", a, b))
-    return F.concat(words, pairs, F.slice(triple, 1, F.greatest(F.size(words) - 2, F.lit(0))))
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value worked out once a row, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def grams(rows: DataFrame) -> DataFrame:
+    """``grams``: words, pairs and triples of neighbours of column ``words``, which it takes the place of."""
+    out = rows
+    for n in (2, 3):
+        out = NGram(n=n, inputCol="words", outputCol=f"grams{n}").transform(out)
+    return out.withColumn("grams", F.concat("words", "grams2", "grams3")).drop("words", "grams2", "grams3")
+
+
+def _neighbours(words: Column) -> Column:
+    """Each word with the one after it; the last word alone."""
+    return F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.concat_ws(" ", a, b))
 
 
 def _pairs(words: list[str]) -> list[str]:
@@ -83,15 +95,15 @@ def paragraphs(docs: DataFrame) -> DataFrame:
         .where(F.col("paragraph").rlike(r"\p{L}"))
 
 
-def needed_words() -> list[str]:
-    """A confirmed paragraph holds at least one of these words: it may lack a share of
-    1 - CONFIRM of a template's pairs, so of one pair more than that it has at least one,
-    and with it that pair's longest word."""
+def needed_words(share: float = CONFIRM) -> list[str]:
+    """A paragraph that covers ``share`` of a template holds at least one of these words: it may
+    lack a share of 1 - ``share`` of the template's pairs, so of one pair more than that it has
+    at least one, and with it that pair's longest word."""
     out = set()
     for texts in TEMPLATES.values():
         for t in texts:
             pairs = sorted(_pairs(t.split()), key=lambda p: (-max(map(len, p.split())), p))
-            spare = int((1 - CONFIRM) * len(pairs) + 1e-9)
+            spare = int((1 - share) * len(pairs) + 1e-9)
             out |= {max(p.split(), key=len) for p in pairs[:spare + 1]}
     return sorted(out)
 
@@ -119,11 +131,14 @@ def cover(pairs: Column) -> dict[str, Column]:
 def train(docs: DataFrame):
     """(logistic regression model, probability a family needs), from the paragraphs of all documents."""
     spark = docs.sparkSession
-    shown = paragraphs(docs).withColumn("words", tokens(F.col("paragraph")))
-    best = F.greatest(*cover(F.col("grams")).values())
+    need = F.array(*[F.lit(w) for w in needed_words(0.5)])
+    # half of a template is covered only where one of a few words is found: other paragraphs are not compared
+    best = _once(tokens(F.col("paragraph")), lambda w: F.when(
+        F.arrays_overlap(w, need), _once(_neighbours(w), lambda p: F.greatest(*cover(p).values()))).otherwise(0.0))
     # not checkpointed: the grams are several times the text; the fit keeps its own packed rows
-    plain = shown.withColumn("grams", grams(F.col("words"))).where(best < 0.5) \
-        .select("grams", F.lit(0.0).alias("label"), (F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(10)) < 7).alias("fit"))
+    plain = grams(paragraphs(docs).where(best < 0.5).select(
+        tokens(F.col("paragraph")).alias("words"), F.lit(0.0).alias("label"),
+        (F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(10)) < 7).alias("fit")))
     known = []
     for k, name in enumerate(FAMILIES[1:], 1):
         for t in TEMPLATES[name]:
@@ -131,8 +146,7 @@ def train(docs: DataFrame):
             for n in range(SHORTEST, len(w) + 1):
                 runs = {tuple(w[a:a + n]) for a in range(len(w) - n + 1)}
                 known += [(list(r), float(k)) for r in sorted(runs) if 2 * len(r) > len(w)]
-    own = spark.createDataFrame(known, "words array<string>, label double").select(
-        grams(F.col("words")).alias("grams"), "label")
+    own = grams(spark.createDataFrame(known, "words array<string>, label double"))
     n_plain = plain.where("fit").count()
     weight = max(1.0, n_plain / max(len(known), 1))
     data = plain.where("fit").select("grams", "label", F.lit(1.0).alias("weight")) \
@@ -154,7 +168,8 @@ def scan(docs: DataFrame) -> DataFrame:
     """doc_id, line, family, probability, cover of every confirmed licence paragraph."""
     model, need = train(docs)
     # the template's confirmation is part of the result, so this filter changes none
-    rows = paragraphs(docs.where(may_confirm(F.col("text").cast("string")))).where(may_confirm(F.col("paragraph"))).select("doc_id", "line", grams(tokens(F.col("paragraph"))).alias("grams"))
+    rows = grams(paragraphs(docs.where(may_confirm(F.col("text").cast("string")))).where(may_confirm(F.col("paragraph")))
+                 .select("doc_id", "line", tokens(F.col("paragraph")).alias("words")))
     scored = model.transform(_hashing().transform(rows)).select(
         "doc_id", "line", "grams", F.col("prediction").cast("int").alias("k"),
         vector_to_array("probability").alias("p"))

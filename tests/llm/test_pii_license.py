@@ -190,3 +190,19 @@ def test_models_learn_from_every_document(spark, monkeypatch):
     monkeypatch.setattr(LIC, "paragraphs", lambda df, real=LIC.paragraphs: (seen.append(df.count()), real(df))[1])
     LIC.train(spark.range(2500).select(F.col("id").alias("doc_id"), F.lit("plain words of no licence").alias("text")))
     assert seen[0] == 2500
+
+
+def test_paragraphs_not_compared_cover_less_than_half():
+    """The training compares with the templates only paragraphs holding a word that half a cover implies."""
+    need = set(LIC.needed_words(0.5))
+    assert set(LIC.needed_words()) <= need
+    for texts in LIC.TEMPLATES.values():
+        for t in texts:
+            pairs = LIC._pairs(t.split())
+            bare = [p for p in pairs if not set(p.split()) & need]
+            assert len(bare) < 0.5 * len(pairs), t
+
+
+def test_grams_are_words_pairs_and_triples(spark):
+    rows = spark.createDataFrame([(["a", "b", "c"],), (["a", "b"],), (["a"],), ([],)], "words array<string>")
+    assert [r.grams for r in LIC.grams(rows).collect()] == [["a", "b", "c", "a b", "b c", "a b c"], ["a", "b", "a b"], ["a"], []]
