@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,28 +25,36 @@ BLOCK_ROWS = 8192
 
 def pack(df: DataFrame, features: Column, others: Sequence[str], dtype: str = "f8", rows: int = BLOCK_ROWS) -> DataFrame:
     """(n, x, other...): blocks of up to ``rows`` rows; x and the others (doubles) are the bytes of numpy arrays."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = ", ".join(["n int", "x binary", *(f"{c} binary" for c in others)])
+
+    def matrix(b: pa.RecordBatch) -> np.ndarray:
+        """The features of a batch; the values of its lists lie in one buffer, so no row becomes an object."""
+        x = b.column("__x")
+        length = x.value_lengths().to_numpy(zero_copy_only=False)
+        if x.null_count or (length != length[0]).any():
+            raise ValueError("rows differ in their number of features")
+        return x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1).astype(dtype)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
 
-        def block() -> pd.DataFrame:
-            b = pd.concat(held)
-            x = np.stack(b["__x"].to_numpy()).astype(dtype)
-            return pd.DataFrame([(len(b), x.tobytes(), *(b[c].to_numpy("f8").tobytes() for c in others))], columns=["n", "x", *others])
+        def block() -> pa.RecordBatch:
+            cells = [np.concatenate(c).tobytes() for c in zip(*held)]
+            return pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), *(pa.array([c], pa.binary()) for c in cells)], ["n", "x", *others])
 
         for b in batches:
-            for i in range(0, len(b), rows):
-                part = b.iloc[i:i + rows]
-                if n and n + len(part) > rows:
+            for i in range(0, b.num_rows, rows):
+                part = b.slice(i, rows)
+                if n and n + part.num_rows > rows:
                     yield block()
                     held, n = [], 0
-                held.append(part)
-                n += len(part)
+                held.append((matrix(part), *(part.column(c).to_numpy(zero_copy_only=False).astype("f8") for c in others)))
+                n += part.num_rows
         if n:
             yield block()
 
     source = spread(df.select(features.alias("__x"), *[F.col(c).cast("double").alias(c) for c in others]))
-    schema = ", ".join(["n int", "x binary", *(f"{c} binary" for c in others)])
-    return cut_lineage(source.mapInPandas(run, schema))
+    return cut_lineage(source.mapInArrow(run, schema))
 
 
 def array(cell: bytes, n: int, dtype: str = "f8") -> np.ndarray:

@@ -7,6 +7,10 @@
   tree is one pass that sums gradient, hessian and count per (node, feature, bin) in numpy, one
   array a partition.  Of two siblings only the one with fewer rows is summed, the other is
   the parent's histogram less it.
+* **Equal rows.**  Rows in the same bins (and, for labels, of the same label) have the same margin
+  in every round.  With few features there are at most bins ** features such cells, whatever the
+  number of rows; where the cells are few, a row of the blocks is a cell with its weight, weighted
+  mean label and the squares left over, and a pass costs what the cells cost.
 * **Missing values** (NULL, NaN) have a bin of their own; a split tries them on both sides and
   keeps the better side, so the direction is learned per node.
 * **Margins** are not rewritten every round: a pass adds the trees grown since the last reliable
@@ -24,12 +28,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.blocks import array, pack, reduced
+from tessera.operators.blocks import BLOCK_ROWS, array, pack, reduced
 from tessera.session import cut_lineage
 
 __all__ = ["BoostedTrees", "Tree", "best_split", "weighted_sketch", "merge_sketches", "cuts_of"]
 
 SKETCH = 1024
+BLOCK = "n int, x binary, y binary, w binary, valid binary, margin binary, rows binary, rest binary"
+CELLS = 1 << 20  # rows in equal bins are merged when the bins allow at most this many combinations (three features of 64 bins do)
 
 
 def weighted_sketch(values: np.ndarray, weights: np.ndarray, size: int = SKETCH) -> np.ndarray:
@@ -123,6 +129,16 @@ class _Rows:
     def __init__(self, objective: str, missing: int):
         self.objective, self.missing = objective, missing
 
+    def merged(self, x: np.ndarray, y: np.ndarray, w: np.ndarray, valid: np.ndarray, n: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The same columns with one row for all rows in equal bins (``x``), on one side of ``valid`` and,
+        unless ``squared``, of equal label: sums of weight, count and squares left over, mean label."""
+        key = np.column_stack([x, valid > 0, np.zeros((len(x), 0)) if self.objective == "squared" else y]).astype("f8")
+        at = np.ascontiguousarray(key).view(np.dtype((np.void, key.shape[1] * 8))).ravel()
+        _, first, at = np.unique(at, return_index=True, return_inverse=True)
+        ws, k = np.bincount(at, w), len(first)
+        mean = np.divide(np.bincount(at, w * y), ws, out=y[first].copy(), where=ws != 0) if self.objective == "squared" else y[first]
+        return x[first], mean, ws, valid[first], np.bincount(at, n, k), np.bincount(at, rest + w * (y - mean[at]) ** 2, k)
+
     def grad(self, m: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Gradient, hessian and loss of each row."""
         if self.objective == "logistic":
@@ -131,16 +147,17 @@ class _Rows:
         return w * (m - y), w, w * (m - y) ** 2
 
     def open(self, r, pending: Sequence[Tree]) -> tuple[np.ndarray, ...]:
-        """(bins, margin, y, w, valid) of a block, with the trees ``pending`` added to the margin."""
+        """(bins, margin, y, w, valid, rows, rest) of a block, with the trees ``pending`` added to the margin."""
         bins = array(r["x"], r["n"], "u2").reshape(r["n"], -1)
         margin = array(r["margin"], r["n"])
         for t in pending:
             margin = t.add(margin, bins, self.missing)
-        return bins, margin, array(r["y"], r["n"]), array(r["w"], r["n"]), array(r["valid"], r["n"]) > 0
+        rows, rest = (array(r[c], r["n"]) if len(r[c]) else np.full(r["n"], v) for c, v in (("rows", 1.0), ("rest", 0.0)))
+        return bins, margin, array(r["y"], r["n"]), array(r["w"], r["n"]), array(r["valid"], r["n"]) > 0, rows, rest
 
-    def losses(self, m: np.ndarray, y: np.ndarray, w: np.ndarray, valid: np.ndarray) -> np.ndarray:
+    def losses(self, m: np.ndarray, y: np.ndarray, w: np.ndarray, valid: np.ndarray, rows: np.ndarray, rest: np.ndarray) -> np.ndarray:
         """Summed loss and weight of the training rows, then of the validation rows."""
-        loss = self.grad(m, y, w)[2]
+        loss = self.grad(m, y, w)[2] + rest
         return np.array([loss[~valid].sum(), w[~valid].sum(), loss[valid].sum(), w[valid].sum()])
 
 
@@ -176,7 +193,8 @@ class BoostedTrees:
         return F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in self.featuresCols])
 
     def _prepare(self, df: DataFrame) -> DataFrame:
-        """Blocks (n, x: bin numbers, y, w, valid, margin)."""
+        """Blocks (n, x: bin numbers, y, w, valid, margin, rows, rest); a row of a block is a row, or with few
+        cells all ``rows`` of a cell with the summed weight, the mean label and the squares left over (``rest``)."""
         rows = df.where(F.col(self.labelCol).isNotNull()).withColumns({
             "__y": F.col(self.labelCol).cast("double"), "__w": F.col(self.weightCol).cast("double") if self.weightCol else F.lit(1.0),
             "__valid": F.coalesce(F.col(self.validationCol).cast("double"), F.lit(0.0)) if self.validationCol else F.lit(0.0)})
@@ -184,7 +202,7 @@ class BoostedTrees:
 
         def means(r) -> np.ndarray:
             y, w, v = (array(r[c], r["n"]) for c in ("__y", "__w", "__valid"))
-            return np.array([(w * y)[v == 0].sum(), w[v == 0].sum()])
+            return np.array([(w * y)[v == 0].sum(), w[v == 0].sum(), len(y)])
 
         sums = reduced(raw, means)
         mean = sums[0] / sums[1] if sums is not None and sums[1] > 0 else 0.0
@@ -204,22 +222,69 @@ class BoostedTrees:
         found = reduced(raw, sketch, merge_sketches)
         self.cuts = [cuts_of(s, self.maxBins) for s in found.reshape(k, 2, SKETCH)] if found is not None else [np.zeros(0)] * k
         cuts, missing = self.cuts, self.maxBins
+        cells = 2 * math.prod(len(c) + 2 for c in cuts)
+        if sums is not None and cells <= CELLS and sums[2] > 4 * cells:
+            return self._merge(raw, cells)
 
         def to_bins(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
                 out = b.rename(columns={"__y": "y", "__w": "w", "__valid": "valid"})
                 out["x"] = [_binned(array(x, n).reshape(-1, k), cuts, missing).tobytes() for x, n in zip(b["x"], b["n"])]
                 out["margin"] = [np.full(n, base).tobytes() for n in b["n"]]
-                yield out
-
-        return cut_lineage(raw.mapInPandas(to_bins, "n int, x binary, y binary, w binary, valid binary, margin binary"))
+                yield out.assign(rows=b"", rest=b"")
+
+        return cut_lineage(raw.mapInPandas(to_bins, BLOCK))
+
+    def _merge(self, raw: DataFrame, cells: int) -> DataFrame:
+        """``_prepare``'s blocks of merged rows: merged within each partition, then across them by bins."""
+        k, cuts, missing, base, rows_ = len(self.featuresCols), self.cuts, self.maxBins, self.base, self._rows
+        names = ["x", "y", "w", "valid", "rows", "rest"]
+
+        def merged(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[list[np.ndarray]]:
+            """All parts as one, in pieces of at most ``BLOCK_ROWS`` rows."""
+            held, n = [], 0
+            for part in parts:
+                held.append(part)
+                n += len(part[0])
+                if n > 4 * cells:  # merged rows are at most ``cells`` for two labels
+                    held = [rows_.merged(*map(np.concatenate, zip(*held)))]
+                    n = len(held[0][0])
+            if held:
+                out = rows_.merged(*map(np.concatenate, zip(*held)))
+                for i in range(0, len(out[0]), BLOCK_ROWS):
+                    yield [c[i:i + BLOCK_ROWS] for c in out]
+
+        def within(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            def parts():
+                for b in batches:
+                    for r in (b.iloc[i] for i in range(len(b))):
+                        n = r["n"]
+                        y, w, v = (array(r[c], n) for c in ("__y", "__w", "__valid"))
+                        yield _binned(array(r["x"], n).reshape(-1, k), cuts, missing), y, w, v, np.ones(n), np.zeros(n)
+
+            for x, *others in merged(parts()):
+                yield pd.DataFrame({"x": [r.tobytes() for r in x], **dict(zip(names[1:], others))})
+
+        def across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            parts = ((np.frombuffer(b"".join(b["x"]), np.uint16).reshape(-1, k), *(b[c].to_numpy("f8") for c in names[1:]))
+                     for b in batches if len(b))
+            for out in merged(parts):
+                n = len(out[0])
+                yield pd.DataFrame([(n, *(np.ascontiguousarray(c).tobytes() for c in out[:4]), np.full(n, base).tobytes(),
+                                     *(c.tobytes() for c in out[4:]))], columns=["n", *names[:4], "margin", *names[4:]])
+
+        # partitions large enough that merging within them leaves few rows to move
+        parts, cores = raw.rdd.getNumPartitions(), raw.sparkSession.sparkContext.defaultParallelism
+        near = raw.coalesce(max(cores, parts * BLOCK_ROWS // (8 * cells)))
+        few = near.mapInPandas(within, "x binary, y double, w double, valid double, rows double, rest double")
+        return cut_lineage(few.repartition("x").mapInPandas(across, BLOCK))
 
     def _pass(self, blocks: DataFrame, pending: Sequence[Tree], tree: Tree, nodes: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
         """(losses of the margins, histograms (node, feature, bin, [g, h, rows]) of ``nodes``) in one job."""
         k, width, rows = len(self.featuresCols), self.maxBins + 1, self._rows
 
         def make(r) -> np.ndarray:
-            bins, m, y, w, valid = rows.open(r, pending)
+            bins, m, y, w, valid, count, rest = rows.open(r, pending)
             place = np.full(len(tree.feature), -1)
             place[list(nodes)] = np.arange(len(nodes))
             at = place[tree.leaves(bins, rows.missing)]
@@ -228,9 +293,9 @@ class BoostedTrees:
             out = np.zeros((len(nodes) * width, k, 3))
             for f in range(k):
                 cell = at[use] * width + bins[use, f]
-                for c, v in enumerate((g[use], h[use], None)):
+                for c, v in enumerate((g[use], h[use], count[use])):
                     out[:, f, c] = np.bincount(cell, v, len(out))
-            return np.concatenate([rows.losses(m, y, w, valid), out.ravel()])
+            return np.concatenate([rows.losses(m, y, w, valid, count, rest), out.ravel()])
 
         total = reduced(blocks, make)
         return total[:4], total[4:].reshape(len(nodes), width, k, 3).transpose(0, 2, 1, 3)

@@ -108,3 +108,25 @@ def test_empty_and_null_labels(spark):
     assert {r.prediction for r in null.transform(df).collect()} == {1.0}
     with pytest.raises(ValueError):
         B.BoostedTrees(names, "y", "hinge")
+
+
+@pytest.mark.parametrize("objective", ["squared", "logistic"])
+def test_rows_in_equal_bins_are_one_row_of_the_blocks(spark, objective, monkeypatch):
+    rng = np.random.default_rng(7)
+    x = rng.integers(0, 4, (6000, 3)).astype(float)
+    x[rng.random(x.shape) < 0.05] = np.nan
+    y = np.nan_to_num(x[:, 0]) * np.nan_to_num(x[:, 1]) + rng.normal(size=6000)
+    if objective == "logistic":
+        y = (y > 2).astype(float)
+    df, names = frame(spark, x, y, [bool(i % 5 == 0) for i in range(6000)], [1.0 + i % 3 for i in range(6000)])
+    args = dict(numRounds=25, eta=0.3, maxDepth=3, validationCol="m0", earlyStop=3, weightCol="m1", checkpointInterval=4)
+    a, b = B.BoostedTrees(names, "y", objective, **args), B.BoostedTrees(names, "y", objective, **args)
+    held = a._prepare(df).agg(F.sum("n")).first()[0]
+    assert held <= 5 ** 3 * 2 * (2 if objective == "logistic" else 1)  # before: a row for each of the 6,000
+    a.fit(df)
+    monkeypatch.setattr(B, "CELLS", 0)
+    assert b._prepare(df).agg(F.sum("n")).first()[0] == 6000
+    b.fit(df)
+    assert [(t.feature, t.bin, t.missing_left) for t in a.trees] == [(t.feature, t.bin, t.missing_left) for t in b.trees]
+    assert np.allclose([v for t in a.trees for v in t.value], [v for t in b.trees for v in t.value], rtol=1e-9, atol=1e-12)
+    assert np.allclose([h[1:] for h in a.history], [h[1:] for h in b.history], rtol=1e-9)
