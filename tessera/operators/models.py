@@ -6,8 +6,8 @@ Rules kept from the survey:
   and the data is read once however many steps are taken.
 * Regularisation strength C of the reference maps to ``regParam = 1 / (C * n)``.
 * Kernel SVMs become explicit feature maps (random Fourier features for RBF,
-  homogeneous cubic monomials for the polynomial kernel) + ``LinearSVC``; the
-  maps are Arrow-batched pandas UDFs (one numpy matmul per batch).
+  homogeneous cubic monomials for the polynomial kernel) + a linear SVM: two classes by
+  ``hinge.MappedSVM``, which maps inside the scans, more by ``LinearSVC`` on Arrow-batched pandas UDFs.
 * Margins become probabilities with Platt scaling fitted on out-of-fold margins.
 """
 
@@ -15,9 +15,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier,
@@ -33,10 +35,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators.aggregate import gram_stats
+from tessera.operators.hinge import HingeFits, HingeModel, HingePoint, MappedSVM, _array, hinge_fits
 from tessera.session import cut_lineage
 
 __all__ = ["LinearRegressionGD", "LinearRegressionGDModel", "ols", "ols_columns", "logistic", "reg_param",
-           "RandomFourierFeatures", "CubicFeatures", "svm_rbf", "svm_poly", "PlattScaler", "fit_sigmoid", "decision_tree",
+           "RandomFourierFeatures", "CubicFeatures", "FourierMap", "CubicMap", "svm_rbf", "svm_poly", "svm_search", "PlattScaler", "fit_sigmoid", "decision_tree",
            "random_forest", "gbt_classifier", "gbt_regressor", "mlp", "predict_proba", "grid_search", "best_point",
            "cv_scores", "compare_models", "coefficients", "cost_history"]
 
@@ -180,6 +183,40 @@ def _parts(xs: pd.Series, width: int) -> Iterator[pd.Series]:
         yield xs.iloc[i:i + rows]
 
 
+class FourierMap:
+    """z(x) = sqrt(2/D) cos(W x + b), W ~ N(0, 2*gamma), b ~ U(0, 2*pi), of a matrix of rows."""
+
+    def __init__(self, dim_in: int, n_features: int, gamma: float, seed: int = 0):
+        rng = np.random.default_rng(seed)
+        self.W = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(dim_in, n_features))
+        self.b, self.scale, self.width = rng.uniform(0.0, 2 * math.pi, size=n_features), math.sqrt(2.0 / n_features), n_features
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        return self.scale * np.cos(x @ self.W + self.b)
+
+
+class CubicMap:
+    """Every monomial x_i x_j x_k (i <= j <= k), weighted by sqrt(multinomial) * gamma^(3/2), of a matrix of rows."""
+
+    def __init__(self, dim_in: int, gamma: float = 1.0):
+        idx, wts = [], []
+        for i in range(dim_in):
+            for j in range(i, dim_in):
+                for k in range(j, dim_in):
+                    idx.append((i, j, k))
+                    wts.append(math.sqrt((1, 3, 6)[len({i, j, k}) - 1]) * gamma ** 1.5)
+        self.idx, self.wts, self.width, self.dim_in = np.array(idx), np.array(wts), len(idx), dim_in
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        out, cols, at = np.empty((self.width, len(x))), np.ascontiguousarray(x.T), 0
+        for i in range(self.dim_in):
+            for j in range(i, self.dim_in):
+                np.multiply(cols[j:], cols[i] * cols[j], out=out[at:at + self.dim_in - j])
+                at += self.dim_in - j
+        out *= self.wts[:, None]
+        return out.T
+
+
 class RandomFourierFeatures(Transformer):
     """M5: z(x) = sqrt(2/D) cos(W x + b), W ~ N(0, 2*gamma), b ~ U(0, 2*pi) (Rahimi & Recht 2007).
 
@@ -197,15 +234,13 @@ class RandomFourierFeatures(Transformer):
         self._set(gamma=gamma, seed=seed)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        rng = np.random.default_rng(self.getOrDefault("seed"))
-        W = rng.normal(0.0, math.sqrt(2.0 * self.getOrDefault("gamma")), size=(self.dim_in, self.n_features))
-        b, scale = rng.uniform(0.0, 2 * math.pi, size=self.n_features), math.sqrt(2.0 / self.n_features)
+        mapped = FourierMap(self.dim_in, self.n_features, self.getOrDefault("gamma"), self.getOrDefault("seed"))
 
         @F.pandas_udf(T.ArrayType(T.DoubleType()))
         def rff(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for xs in batches:
-                for part in _parts(xs, W.shape[1]):
-                    yield pd.Series(list(scale * np.cos(np.stack(part.to_numpy()) @ W + b)))
+                for part in _parts(xs, mapped.width):
+                    yield pd.Series(list(mapped(np.stack(part.to_numpy()))))
 
         return _vec_in(df, self.inputCol).withColumn(self.outputCol, array_to_vector(rff("__arr"))).drop("__arr")
 
@@ -217,51 +252,69 @@ class CubicFeatures(Transformer):
     def __init__(self, inputCol: str, outputCol: str, dim_in: int, gamma: float = 1.0):
         super().__init__()
         self.inputCol, self.outputCol = inputCol, outputCol
-        idx, wts = [], []
-        for i in range(dim_in):
-            for j in range(i, dim_in):
-                for k in range(j, dim_in):
-                    counts = {}
-                    for t in (i, j, k):
-                        counts[t] = counts.get(t, 0) + 1
-                    mult = math.factorial(3)
-                    for c in counts.values():
-                        mult //= math.factorial(c)
-                    idx.append((i, j, k))
-                    wts.append(math.sqrt(mult) * gamma ** 1.5)
-        self.idx = np.array(idx)
-        self.wts = np.array(wts)
+        self.mapped = CubicMap(dim_in, gamma)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        idx, wts = self.idx, self.wts
+        mapped = self.mapped
 
         @F.pandas_udf(T.ArrayType(T.DoubleType()))
         def cubic(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for xs in batches:
-                for part in _parts(xs, len(idx)):
-                    X = np.stack(part.to_numpy())
-                    yield pd.Series(list(X[:, idx[:, 0]] * X[:, idx[:, 1]] * X[:, idx[:, 2]] * wts))
+                for part in _parts(xs, mapped.width):
+                    yield pd.Series(list(np.ascontiguousarray(mapped(np.stack(part.to_numpy())))))
 
         return _vec_in(df, self.inputCol).withColumn(self.outputCol, array_to_vector(cubic("__arr"))).drop("__arr")
 
 
 def svm_rbf(dim_in: int, C: float = 1.0, n: int = 1, gamma: float = 0.1, n_features: int = 256,
             featuresCol: str = "features", labelCol: str = "label", multiclass: bool = False,
-            seed: int = 0) -> Pipeline:
-    """M5: RBF-kernel SVM approximated by random Fourier features + LinearSVC."""
+            seed: int = 0) -> Estimator:
+    """M5: RBF-kernel SVM approximated by random Fourier features + a linear SVM."""
+    if not multiclass:
+        return MappedSVM(FourierMap(dim_in, n_features, gamma, seed), reg_param(C, n), featuresCol, labelCol)
     rff = RandomFourierFeatures(featuresCol, "__rff", dim_in, n_features, gamma, seed)
     svc = LinearSVC(featuresCol="__rff", labelCol=labelCol, regParam=reg_param(C, n), maxIter=50, tol=1e-4)
-    clf = OneVsRest(classifier=svc, featuresCol="__rff", labelCol=labelCol, parallelism=4) if multiclass else svc
-    return Pipeline(stages=[rff, clf])
+    return Pipeline(stages=[rff, OneVsRest(classifier=svc, featuresCol="__rff", labelCol=labelCol, parallelism=4)])
 
 
 def svm_poly(dim_in: int, C: float = 1.0, n: int = 1, gamma: float | None = None,
-             featuresCol: str = "features", labelCol: str = "label") -> Pipeline:
-    """M6: cubic-kernel SVM (coef0 = 0) as explicit monomials + LinearSVC."""
+             featuresCol: str = "features", labelCol: str = "label") -> MappedSVM:
+    """M6: cubic-kernel SVM (coef0 = 0) as explicit monomials + a linear SVM."""
     g = gamma if gamma is not None else 1.0 / max(dim_in, 1)
-    cub = CubicFeatures(featuresCol, "__cubic", dim_in, g)
-    return Pipeline(stages=[cub, LinearSVC(featuresCol="__cubic", labelCol=labelCol, regParam=reg_param(C, n), tol=1e-4,
-                                           maxIter=50)])
+    return MappedSVM(CubicMap(dim_in, g), reg_param(C, n), featuresCol, labelCol)
+
+
+class SVMSearch:
+    """M15 for RBF SVMs: every (regParam, gamma) point, scored by its mean held-out AUC over the folds;
+    ``best`` is the number of the best point."""
+
+    def __init__(self, points: list[tuple[float, float]], found: HingeFits, k: int):
+        self.points, self.found, self.k = points, found, k
+        self.held = cut_lineage(found.held_out())  # fold, label, a margin a point
+        ev = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="margin", metricName="areaUnderROC")
+
+        def score(at: tuple[int, int]) -> float:
+            return ev.evaluate(self.held.where(F.col("fold") == at[1]).select("label", F.get("margins", at[0]).alias("margin")))
+
+        with ThreadPool(8) as pool:
+            each = pool.map(inheritable_thread_target(self.held.sparkSession)(score), [(p, f) for p in range(len(points)) for f in range(k)])
+        self.avgMetrics = [float(np.mean(each[p * k:(p + 1) * k])) for p in range(len(points))]
+        self.best = int(np.argmax(self.avgMetrics))
+
+    def platt(self, featuresCol: str = "features") -> "PlattModel":
+        """The best point on all rows, its sigmoid from the held-out margins of the search."""
+        margins = self.held.select("label", F.get("margins", self.best).alias("__margin"))
+        model = HingeModel(self.found.maps[self.found.points[self.best].mapped], *self.found.models[self.k][self.best], featuresCol)
+        return PlattModel(model, *fit_sigmoid(margins, "__margin", "label"))
+
+
+def svm_search(df: DataFrame, dim_in: int, regs: Sequence[float], gammas: Sequence[float], foldCol: str, k: int, n_features: int = 256,
+               featuresCol: str = "features", labelCol: str = "label", seed: int = 0, whole: bool = True, max_iter: int = 50) -> SVMSearch:
+    """RBF SVMs over regParam x gamma, all folds and points in the same scans."""
+    maps = [FourierMap(dim_in, n_features, g, seed) for g in gammas]
+    grid = [(r, j) for r in regs for j in range(len(gammas))]
+    found = hinge_fits(df, _array(df, featuresCol), labelCol, maps, [HingePoint(j, r) for r, j in grid], foldCol, k, whole, max_iter)
+    return SVMSearch([(r, gammas[j]) for r, j in grid], found, k)
 
 
 def fit_sigmoid(margins: DataFrame, margin: str, label: str, maxIter: int = 100) -> tuple[float, float]:
@@ -307,11 +360,15 @@ def fit_sigmoid(margins: DataFrame, margin: str, label: str, maxIter: int = 100)
 class PlattScaler(Estimator):
     """M7: probability from an SVM margin; the sigmoid is fitted on out-of-fold margins."""
 
-    def __init__(self, base: Pipeline, foldCol: str, labelCol: str = "label", k: int = 3):
+    def __init__(self, base: Estimator, foldCol: str, labelCol: str = "label", k: int = 3):
         super().__init__()
         self.base, self.foldCol, self.labelCol, self.k = base, foldCol, labelCol, k
 
     def _fit(self, df: DataFrame) -> "PlattModel":
+        if isinstance(self.base, MappedSVM):  # all folds and the whole in the same scans
+            found = self.base.fits(df, self.foldCol, self.k)
+            margins = found.held_out().select(F.col("label").alias(self.labelCol), F.get("margins", 0).alias("__margin"))
+            return PlattModel(self.base.model(found, self.k), *fit_sigmoid(margins, "__margin", self.labelCol))
         parts = []
         for f in range(self.k):
             m = self.base.fit(df.where(F.col(self.foldCol) != f))
@@ -422,8 +479,9 @@ def cv_scores(estimator, df: DataFrame, foldCol: str, k: int, labelCol: str = "l
     spark = df.sparkSession
     ev = MulticlassClassificationEvaluator(labelCol=labelCol, metricName=metric)
     rows = []
+    joint = estimator.fit_folds(df, foldCol, k) if hasattr(estimator, "fit_folds") else None
     for f in range(k):
-        m = estimator.fit(df.where(F.col(foldCol) != f))
+        m = joint[f] if joint else estimator.fit(df.where(F.col(foldCol) != f))
         out = m.transform(df.where(F.col(foldCol) == f)).withColumn("prediction", F.col("prediction").cast("double"))
         rows.append((f, float(ev.evaluate(out))))
     return spark.createDataFrame(rows, "fold int, score double")

@@ -107,35 +107,27 @@ def coefficients(spark: SparkSession, d: str) -> DataFrame:
     return M.coefficients(found.best(), cols, spark, top=15)
 
 
-def _svm_search(spark: SparkSession, d: str):
-    """RBF SVM over C x gamma (nine points), three folds."""
+def _svm_search(spark: SparkSession, d: str, whole: bool):
+    """RBF SVM over C x gamma (nine points), three folds; with ``whole`` also fitted on all training rows."""
     full, cols = _doc_matrix(spark, d)
     train = cut_lineage(X.kfold(full.where(~F.col("is_test")), 3, ["doc_id"], label="label"))
     n_fit = int(train.count() * 2 / 3)
-    pipe = M.svm_rbf(len(cols), C=1.0, n=n_fit, n_features=128)
-    rff, svc = pipe.getStages()
-    found = M.grid_search(pipe, train, {svc.regParam: [M.reg_param(c, n_fit) for c in (0.1, 1, 10)],
-                                        rff.gamma: [0.1 / len(cols), 1.0 / len(cols), 10.0 / len(cols)]}, "fold", 3)
-    return found, n_fit, full, train, cols
+    found = M.svm_search(train, len(cols), [M.reg_param(c, n_fit) for c in (0.1, 1, 10)],
+                         [0.1 / len(cols), 1.0 / len(cols), 10.0 / len(cols)], "fold", 3, n_features=128, whole=whole)
+    return found, n_fit, full
 
 
 def svm_grid(spark: SparkSession, d: str) -> DataFrame:
     """RBF SVM grid over C and gamma, scored by cross-validated AUC."""
-    found, n_fit, _, _, _ = _svm_search(spark, d)
-    rows = []
-    for pm, score in zip(found.getEstimatorParamMaps(), found.avgMetrics):
-        vals = {p.name: v for p, v in pm.items()}
-        rows.append((float(round(1.0 / (vals["regParam"] * n_fit), 6)), float(vals["gamma"]), float(score)))
+    found, n_fit, _ = _svm_search(spark, d, whole=False)
+    rows = [(float(round(1.0 / (reg * n_fit), 6)), float(gamma), score) for (reg, gamma), score in zip(found.points, found.avgMetrics)]
     return spark.createDataFrame(rows, "C double, gamma double, auc double")
 
 
 def svm_sweep(spark: SparkSession, d: str) -> DataFrame:
     """Threshold sweep over the Platt probabilities of the best RBF SVM of the grid."""
-    found, n_fit, full, train, cols = _svm_search(spark, d)
-    best = M.best_point(found)
-    pipe = M.svm_rbf(len(cols), C=1.0 / (best["regParam"] * n_fit), n=n_fit, gamma=best["gamma"], n_features=128)
-    scored = M.predict_proba(M.PlattScaler(pipe, "fold", k=3).fit(train), full.where(F.col("is_test")))
-    return E.threshold_sweep(scored, "label", "p")
+    found, _, full = _svm_search(spark, d, whole=True)
+    return E.threshold_sweep(M.predict_proba(found.platt(), full.where(F.col("is_test"))), "label", "p")
 
 
 def svm_rbf(spark: SparkSession, d: str) -> DataFrame:
@@ -253,7 +245,7 @@ def _flow_models(cols: list[str], n: int) -> dict:
     sc_va = VectorAssembler(inputCols=[f"{c}_s" for c in cols], outputCol="features")
     return {
         "RandomForest": Pipeline(stages=[raw_va, M.random_forest(100, 5, "auto")]),
-        "SVC_poly": Pipeline(stages=[sc_va, M.svm_poly(len(cols), C=1.0, n=n)]),
+        "SVC_poly": _FittedFolds(M.svm_poly(len(cols), C=1.0, n=n), sc_va),
         "Boosted": _Fitted(lambda df: BoostedTrees(cols, "label", "logistic", numRounds=30, eta=0.3, maxDepth=4).fit(df)),
         "MLP": _Fitted(lambda df: PerceptronNetwork((100,), max_iter=100).fit(df), sc_va),
     }
@@ -277,6 +269,21 @@ class _Fitted:
         return self._model.transform(self._prepared(df))
 
 
+class _FittedFolds(_Fitted):
+    """The same for an estimator that fits all folds in the same scans."""
+
+    def __init__(self, estimator, before=None):
+        super().__init__(estimator.fit, before)
+        self._estimator = estimator
+
+    def fit_folds(self, df: DataFrame, fold: str, k: int) -> list[_Fitted]:
+        out = []
+        for model in self._estimator.fit_folds(self._prepared(df), fold, k):
+            out.append(_Fitted(self._fit, self._before))
+            out[-1]._model = model
+        return out
+
+
 def cv_models(spark: SparkSession, d: str) -> DataFrame:
     """Five-fold accuracy of the four models of the flow on the labelled rows: a row per model and
     fold, then its mean (fold -1) and population standard deviation (fold -2)."""
