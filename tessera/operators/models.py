@@ -173,6 +173,7 @@ def _vec_in(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn("__arr", vector_to_array(F.col(col)))
 
 
+CV_THREADS = 3  # folds fitted at the same time by an estimator that cannot fit them in the same scans
 MAP_VALUES = 1 << 20  # values of a feature map held at once (8 MB), whatever the size of an Arrow batch
 
 
@@ -478,12 +479,15 @@ def cv_scores(estimator, df: DataFrame, foldCol: str, k: int, labelCol: str = "l
     """One accuracy per fold (fit on the other folds) -> rows (fold, score)."""
     spark = df.sparkSession
     ev = MulticlassClassificationEvaluator(labelCol=labelCol, metricName=metric)
-    rows = []
     joint = estimator.fit_folds(df, foldCol, k) if hasattr(estimator, "fit_folds") else None
-    for f in range(k):
+
+    def score(f: int) -> tuple[int, float]:
         m = joint[f] if joint else estimator.fit(df.where(F.col(foldCol) != f))
         out = m.transform(df.where(F.col(foldCol) == f)).withColumn("prediction", F.col("prediction").cast("double"))
-        rows.append((f, float(ev.evaluate(out))))
+        return f, float(ev.evaluate(out))
+
+    with ThreadPool(CV_THREADS) as pool:  # the small jobs of some folds run while others wait for their slowest task
+        rows = pool.map(inheritable_thread_target(spark)(score), range(k), chunksize=1)
     return spark.createDataFrame(rows, "fold int, score double")
 
 

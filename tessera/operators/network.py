@@ -23,6 +23,8 @@ from tessera.operators.blocks import array, pack, reduced
 
 __all__ = ["lbfgs", "PerceptronNetwork", "PerceptronModel"]
 
+PIECE_VALUES = 1 << 17
+
 
 def lbfgs(fun: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndarray, max_iter: int = 200, tol: float = 1e-4,
           memory: int = 10) -> tuple[np.ndarray, list[float]]:
@@ -112,6 +114,15 @@ def block_loss(x: np.ndarray, y: np.ndarray, theta: np.ndarray, sizes: Sequence[
     return np.concatenate([[loss, len(x)], *reversed(grads)])
 
 
+def pieces_loss(x: np.ndarray, y: np.ndarray, theta: np.ndarray, sizes: Sequence[int]) -> np.ndarray:
+    """``block_loss`` in pieces whose activations (``PIECE_VALUES`` a layer) stay in the processor's cache."""
+    rows = max(1, PIECE_VALUES // max(sizes))
+    total = block_loss(x[:rows], y[:rows], theta, sizes)
+    for i in range(rows, len(x), rows):
+        total += block_loss(x[i:i + rows], y[i:i + rows], theta, sizes)
+    return total
+
+
 def _features(df: DataFrame, col: str) -> Column:
     return F.col(col).cast("array<double>") if isinstance(df.schema[col].dataType, T.ArrayType) else vector_to_array(F.col(col))
 
@@ -134,8 +145,8 @@ class PerceptronNetwork:
         weight = np.concatenate([np.r_[np.ones(a * b), np.zeros(b)] for a, b in zip(sizes, sizes[1:])])
 
         def fun(theta: np.ndarray) -> tuple[float, np.ndarray]:
-            total = reduced(blocks, lambda r: block_loss(array(r["x"], r["n"]).reshape(r["n"], -1),
-                                                         array(r["y"], r["n"]).astype(int), theta, sizes))
+            total = reduced(blocks, lambda r: pieces_loss(array(r["x"], r["n"]).reshape(r["n"], -1),
+                                                          array(r["y"], r["n"]).astype(int), theta, sizes))
             n = total[1]
             penalty = weight * theta
             return total[0] / n + self.alpha / (2 * n) * (penalty @ penalty), (total[2:] + self.alpha * penalty) / n

@@ -67,3 +67,27 @@ def test_maps_equal_the_stages_and_bad_rows_are_refused(spark):
     for bad in (df.withColumn("label", F.col("label") * 2), df.withColumn("label", F.when(F.col("id") > 3, F.col("label")))):
         with pytest.raises(ValueError):
             M.svm_poly(4).fit(bad)
+
+
+def test_cross_validation_takes_joint_folds_and_keeps_their_order(spark):
+    df, fits = rows(spark, 300), []
+
+    class Counted(H.MappedSVM):
+        def fits(self, *a, **kw):
+            fits.append(1)
+            return super().fits(*a, **kw)
+
+    svm = Counted(M.CubicMap(4, 0.25), 0.01, max_iter=6)
+    scores = M.cv_scores(svm, df, "fold", 3).orderBy("fold").collect()
+    assert len(fits) == 1 and [r.fold for r in scores] == [0, 1, 2]
+    for r in scores:
+        alone = H.MappedSVM(M.CubicMap(4, 0.25), 0.01, max_iter=6).fit(df.where(F.col("fold") != r.fold)).transform(df.where(F.col("fold") == r.fold))
+        assert r.score == pytest.approx(alone.where("prediction = label").count() / 100)
+
+
+def test_network_loss_in_pieces_is_that_of_the_block():
+    from tessera.operators import network as N
+
+    rng = np.random.default_rng(0)
+    x, y, theta = rng.normal(size=(5000, 3)), rng.integers(0, 2, 5000), rng.normal(size=3 * 100 + 100 + 200 + 2)
+    assert np.allclose(N.pieces_loss(x, y, theta, (3, 100, 2)), N.block_loss(x, y, theta, (3, 100, 2)))
