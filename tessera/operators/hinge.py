@@ -149,14 +149,17 @@ def hinge_fits(df: DataFrame, features: Column, label: str, maps: Sequence[Map],
     width = max(w.width for w in maps)
 
     def means(r) -> np.ndarray:
-        """Counts of the folds (the last: rows of none), whether all is sound, sums of the mapped features."""
-        n, s, sound = np.zeros(k + 1), np.zeros((len(maps), width)), 1.0
+        """Counts of the folds (the last: rows of none), whether all is sound, sums of the mapped features by fold."""
+        n, s, sound = np.zeros(k + 1), np.zeros((k + 1, len(maps), width)), 1.0
         for x, y, f in _pieces(r, maps):
             if not np.isin(y, (0.0, 1.0)).all() or np.isnan(x).any():
                 sound = 0.0
-            n += np.bincount(np.where((f >= 0) & (f < k), f, k), minlength=k + 1)
+            at = np.where((f >= 0) & (f < k), f, k)
+            n += np.bincount(at, minlength=k + 1)
             for j, w in enumerate(maps):
-                s[j, :w.width] += w(x).sum(0)
+                z = w(x)
+                for i in np.unique(at):
+                    s[i, j, :w.width] += z[at == i].sum(0)
         return np.concatenate([n, [1.0 - sound], s.ravel()])
 
     sums = reduced(blocks, means)
@@ -164,30 +167,30 @@ def hinge_fits(df: DataFrame, features: Column, label: str, maps: Sequence[Map],
         raise ValueError("no rows to fit")
     if sums[k + 1]:
         raise ValueError("labels must be 0 or 1 and features numbers")
-    n, shift = sums[:k + 1], sums[k + 2:].reshape(len(maps), width) / max(sums[:k + 1].sum(), 1)
+    n = sums[:k + 1]
+    own = sums[k + 2:].reshape(k + 1, len(maps), width) / np.maximum(n, 1)[:, None, None]  # means of the folds
 
     def spreads(r) -> np.ndarray:
-        out = np.zeros((k + 1, len(maps), 2, width))
+        out = np.zeros((k + 1, len(maps), width))
         for x, _, f in _pieces(r, maps):
             at = np.where((f >= 0) & (f < k), f, k)
             for j, w in enumerate(maps):
-                z = w(x) - shift[j, :w.width]
+                z = w(x)
                 for i in np.unique(at):
-                    part = z[at == i]
-                    out[i, j, 0, :w.width] += part.sum(0)
-                    out[i, j, 1, :w.width] += (part * part).sum(0)
+                    out[i, j, :w.width] += ((z[at == i] - own[i, j, :w.width]) ** 2).sum(0)
         return out.ravel()
 
-    parts = reduced(blocks, spreads).reshape(k + 1, len(maps), 2, width)
-    total = parts.sum(0)
+    within = reduced(blocks, spreads).reshape(k + 1, len(maps), width)
     sets = [*range(k), *([k] if whole else [])]  # without fold t; k: all rows
     count, mean, inverse = {}, {}, {}
     for t in sets:
-        s = total - parts[t] if t < k else total
-        count[t] = n.sum() - (n[t] if t < k else 0)
-        mean[t] = shift + s[:, 0] / max(count[t], 1)
-        var = np.maximum(s[:, 1] - s[:, 0] ** 2 / max(count[t], 1), 0.0) / max(count[t] - 1, 1)
-        inverse[t] = np.where(var > 1e-26 * mean[t] ** 2, 1 / np.sqrt(np.where(var > 0, var, 1.0)), 0.0) * (var > 0)
+        part = n * (np.arange(k + 1) != t) if t < k else n
+        count[t] = part.sum()
+        part = part[:, None, None]
+        mean[t] = (part * own).sum(0) / max(count[t], 1)
+        var = (np.where(part > 0, within, 0.0) + part * (own - mean[t]) ** 2).sum(0) / max(count[t] - 1, 1)
+        # a feature that is constant in a set, though not in the fold left out, is 0 there
+        inverse[t] = np.where(var > 1e-26 * mean[t] ** 2, 1 / np.sqrt(np.where(var > 0, var, 1.0)), 0.0)
     who = [(t, p) for t in sets for p in range(len(points))]
 
     def raw(i: int, theta: np.ndarray) -> tuple[np.ndarray, float]:
