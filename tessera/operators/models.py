@@ -254,6 +254,7 @@ class CubicFeatures(Transformer):
         super().__init__()
         self.inputCol, self.outputCol = inputCol, outputCol
         self.mapped = CubicMap(dim_in, gamma)
+        self.idx, self.wts = self.mapped.idx, self.mapped.wts
 
     def _transform(self, df: DataFrame) -> DataFrame:
         mapped = self.mapped
