@@ -206,3 +206,39 @@ def test_paragraphs_not_compared_cover_less_than_half():
 def test_grams_are_words_pairs_and_triples(spark):
     rows = spark.createDataFrame([(["a", "b", "c"],), (["a", "b"],), (["a"],), ([],)], "words array<string>")
     assert [r.grams for r in LIC.grams(rows).collect()] == [["a", "b", "c", "a b", "b c", "a b c"], ["a", "b", "a b"], ["a"], []]
+
+
+def test_hashed_grams_are_the_vector_of_the_plain_grams(spark):
+    """One place a distinct gram, equal for equal grams wherever they stand, and read back as spark.ml's vectors."""
+    texts = ["a b c a b c", "a b", "a", "x a b", "b c d e f g"]
+    rows = spark.createDataFrame([(t.split(),) for t in texts], "words array<string>")
+    plain = {" ".join(r.words): set(r.grams) for r in LIC.grams(rows.select("words", F.col("words").alias("w")))
+             .select(F.col("w").alias("words"), "grams").collect()}
+    got = {r.t: r.features for r in LIC.hashed(rows.withColumn("t", F.concat_ws(" ", "words")), "test").collect()}
+    at = {t: set(v.indices.tolist()) for t, v in got.items()}
+    for t, v in got.items():
+        assert v.size == LIC.DIMS and list(v.indices) == sorted(at[t]) and set(v.values) == {1.0}
+        assert len(at[t]) == len(plain[t]), t
+        assert all(at[t] & at[o] == at[t] for o in got if plain[t] <= plain[o])
+    assert len(set().union(*at.values())) == len(set().union(*plain.values()))
+
+
+def test_grams_are_made_once_a_paragraph(spark, monkeypatch):
+    """The scan writes every paragraph's features once; fit, calibration and scoring read them back."""
+    seen = []
+    monkeypatch.setattr(LIC, "hashed", lambda rows, name, real=LIC.hashed: (seen.append((name, rows.count())), real(rows, name))[1])
+    docs = [(i, f"plain words of line {i}\nReleased under the MIT License.") for i in range(200)]
+    got = LIC.licences(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {tuple(r.families) for r in got} == {("mit",)}
+    written = dict(seen)
+    assert len(written) == len(seen) and written["paragraphs"] + written["held_out"] == 400 and min(written.values()) > 0
+    model, need = LIC.train(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert model.licence.numClasses == 2 and model.family.numClasses == len(LIC.TEMPLATES) and 0.5 <= need <= 1
+
+
+def test_covers_of_known_pairs_are_those_of_all_pairs(spark):
+    texts = [t for many in LIC.TEMPLATES.values() for t in many] + ["a licensed under the mit license b", "no licence", "all rights reserved do not"]
+    w = F.split("t", " ")
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(LIC._neighbours(w).alias("p"))
+    for r in rows.select(F.array(*LIC.cover(F.col("p")).values()).alias("a"), F.array(*LIC.cover(LIC.known_pairs(F.col("p"))).values()).alias("b")).collect():
+        assert r.a == r.b
