@@ -18,9 +18,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import cut_lineage, spread
+from tessera.session import cut_lineage
 
 BLOCK_ROWS = 8192
+PART_ROWS, PART_VALUES = 20_000, 1 << 21  # rows of a partition of blocks; more for large tables, of at most so many numbers (16 MB)
 
 
 def pack(df: DataFrame, features: Column, others: Sequence[str], dtype: str = "f8", rows: int = BLOCK_ROWS) -> DataFrame:
@@ -53,8 +54,18 @@ def pack(df: DataFrame, features: Column, others: Sequence[str], dtype: str = "f
         if n:
             yield block()
 
-    source = spread(df.select(features.alias("__x"), *[F.col(c).cast("double").alias(c) for c in others]))
-    return cut_lineage(source.mapInArrow(run, schema))
+    source = df.select(features.alias("__x"), *[F.col(c).cast("double").alias(c) for c in others])
+    return cut_lineage(source.repartition(_partitions(source, len(others))).mapInArrow(run, schema))
+
+
+def _partitions(source: DataFrame, others: int) -> int:
+    """``PART_ROWS`` rows each; a table with many more partitions than two a core has larger ones, since a fit reads
+    them dozens of times and a task that is soon done costs more than its rows."""
+    n, rows, slots = source.count(), PART_ROWS, 2 * source.sparkSession.sparkContext.defaultParallelism
+    if n > slots * rows:
+        width = max(source.select(F.size("__x")).first()[0] or 0, 0) + others
+        rows = max(rows, min(-(-n // slots), PART_VALUES // max(width, 1)))
+    return max(1, -(-n // rows))
 
 
 def array(cell: bytes, n: int, dtype: str = "f8") -> np.ndarray:

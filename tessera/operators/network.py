@@ -84,42 +84,53 @@ def _layers(theta: np.ndarray, sizes: Sequence[int]) -> list[tuple[np.ndarray, n
     return out
 
 
-def _forward(x: np.ndarray, layers: list) -> list[np.ndarray]:
+def _room(rows: int, sizes: Sequence[int]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Memory for a piece, by layer: what goes forward, what goes back and which units are on.  Pieces share it,
+    since memory that is asked for anew has to be cleared by the system for each of them."""
+    return [(np.empty((rows, n)), np.empty((rows, n)), np.empty((rows, n), bool)) for n in sizes]
+
+
+def _forward(x: np.ndarray, layers: list, room: list | None = None) -> list[np.ndarray]:
     """Activations of every layer; the last are class probabilities."""
     acts = [x]
     for i, (w, b) in enumerate(layers):
-        z = acts[-1] @ w + b
+        z = np.matmul(acts[-1], w, out=room[i + 1][0][:len(x)] if room else None)
+        z += b
         if i < len(layers) - 1:
-            acts.append(np.maximum(z, 0.0))
+            acts.append(np.maximum(z, 0.0, out=z))
         else:
-            z = np.exp(z - z.max(axis=1, keepdims=True))
-            acts.append(z / z.sum(axis=1, keepdims=True))
+            z -= z.max(axis=1, keepdims=True)
+            np.exp(z, out=z)
+            z /= z.sum(axis=1, keepdims=True)
+            acts.append(z)
     return acts
 
 
-def block_loss(x: np.ndarray, y: np.ndarray, theta: np.ndarray, sizes: Sequence[int]) -> np.ndarray:
+def block_loss(x: np.ndarray, y: np.ndarray, theta: np.ndarray, sizes: Sequence[int], room: list | None = None) -> np.ndarray:
     """[summed cross-entropy, rows, gradient...] of a block; y holds class numbers."""
-    layers = _layers(theta, sizes)
-    acts = _forward(x, layers)
-    p = acts[-1]
-    rows = np.arange(len(x))
-    loss = -np.log(np.maximum(p[rows, y], 1e-300)).sum()
-    back = p.copy()
+    layers, room, n = _layers(theta, sizes), room or _room(len(x), sizes), len(x)
+    acts = _forward(x, layers, room)
+    back = acts[-1]
+    rows = np.arange(n)
+    loss = -np.log(np.maximum(back[rows, y], 1e-300)).sum()
     back[rows, y] -= 1.0
     grads = []
     for i in range(len(layers) - 1, -1, -1):
         grads.append(np.concatenate([(acts[i].T @ back).ravel(), back.sum(axis=0)]))
         if i:
-            back = (back @ layers[i][0].T) * (acts[i] > 0)
+            _, out, on = room[i]
+            back = np.matmul(back, layers[i][0].T, out=out[:n])
+            back *= np.greater(acts[i], 0, out=on[:n])
     return np.concatenate([[loss, len(x)], *reversed(grads)])
 
 
 def pieces_loss(x: np.ndarray, y: np.ndarray, theta: np.ndarray, sizes: Sequence[int]) -> np.ndarray:
     """``block_loss`` in pieces whose activations (``PIECE_VALUES`` a layer) stay in the processor's cache."""
     rows = max(1, PIECE_VALUES // max(sizes))
-    total = block_loss(x[:rows], y[:rows], theta, sizes)
+    room = _room(min(rows, len(x)), sizes)
+    total = block_loss(x[:rows], y[:rows], theta, sizes, room)
     for i in range(rows, len(x), rows):
-        total += block_loss(x[i:i + rows], y[i:i + rows], theta, sizes)
+        total += block_loss(x[i:i + rows], y[i:i + rows], theta, sizes, room)
     return total
 
 

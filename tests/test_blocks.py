@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.operators import blocks
 from tessera.operators.blocks import array, pack
 
 
@@ -22,3 +23,17 @@ def test_rows_of_different_length_are_refused(spark):
     df = spark.createDataFrame([([1.0],), ([1.0, 2.0, 3.0],)], "x array<double>").coalesce(1)
     with pytest.raises(Exception, match="number of features"):
         pack(df, F.col("x"), [])
+
+
+def test_large_tables_have_few_partitions_of_bounded_size(spark, monkeypatch):
+    df = spark.range(6000).select(F.array(F.col("id").cast("double"), F.lit(1.0)).alias("x"), F.col("id").alias("y"))
+    count = lambda: pack(df, F.col("x"), ["y"]).rdd.getNumPartitions()
+    slots = 2 * spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(blocks, "PART_ROWS", 1000)
+    assert count() == 6  # as many as before where they are at most two a core
+    monkeypatch.setattr(blocks, "PART_ROWS", 100)
+    assert count() == slots  # before: 60
+    monkeypatch.setattr(blocks, "PART_VALUES", 3 * 200)
+    assert count() == 30
+    y = np.concatenate([array(r["y"], r.n) for r in pack(df, F.col("x"), ["y"]).collect()])
+    assert sorted(y) == list(range(6000))

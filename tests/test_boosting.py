@@ -130,3 +130,32 @@ def test_rows_in_equal_bins_are_one_row_of_the_blocks(spark, objective, monkeypa
     assert [(t.feature, t.bin, t.missing_left) for t in a.trees] == [(t.feature, t.bin, t.missing_left) for t in b.trees]
     assert np.allclose([v for t in a.trees for v in t.value], [v for t in b.trees for v in t.value], rtol=1e-9, atol=1e-12)
     assert np.allclose([h[1:] for h in a.history], [h[1:] for h in b.history], rtol=1e-9)
+
+
+def test_rows_are_merged_by_the_cells_that_occur(spark, monkeypatch):
+    """Dummies of one column allow few of the combinations that their bins would; before: a row for each of the 20,000."""
+    rng = np.random.default_rng(8)
+    day, v = rng.integers(0, 12, 20_000), rng.integers(0, 30, 20_000)
+    x = np.column_stack([v.astype(float), *[(day == i).astype(float) for i in range(1, 12)]])
+    x[rng.random(20_000) < 0.05, 0] = np.nan
+    y = (rng.random(20_000) < 1 / (1 + np.exp(1 - v / 15 - (day > 8)))).astype(float)
+    df, names = frame(spark, x, y, [bool(i % 5 == 0) for i in range(20_000)])
+    args = dict(numRounds=8, eta=0.3, maxDepth=3, validationCol="m0", checkpointInterval=3)
+    a, b = B.BoostedTrees(names, "y", "logistic", **args), B.BoostedTrees(names, "y", "logistic", **args)
+    held = a._prepare(df).select("n", "rows", "w").collect()
+    assert sum(r.n for r in held) <= 31 * 12 * 2 and sum(np.frombuffer(r["rows"]).sum() for r in held) == 20_000
+    a.fit(df)
+    monkeypatch.setattr(B, "CELLS", 0)
+    assert b._prepare(df).agg(F.sum("n")).first()[0] == 20_000
+    b.fit(df)
+    assert [(t.feature, t.bin, t.missing_left) for t in a.trees] == [(t.feature, t.bin, t.missing_left) for t in b.trees]
+    assert np.allclose([v for t in a.trees for v in t.value], [v for t in b.trees for v in t.value], rtol=1e-9, atol=1e-12)
+    assert np.allclose([h[1:] for h in a.history], [h[1:] for h in b.history], rtol=1e-9)
+
+
+@pytest.mark.parametrize("cells", [1, 300, 50_000])
+def test_sketch_counts_the_cells(cells):
+    at = np.random.default_rng(cells).integers(0, cells, 120_000)
+    bins = np.column_stack([at % 64, at // 64 % 64, at // 4096]).astype(np.uint16)
+    parts = [B.cell_sketch(bins[i::3], at[i::3] % 2 == 0) for i in range(3)]
+    assert abs(B.cells_of(np.maximum.reduce(parts)) / len(set(at)) - 1) < 0.08

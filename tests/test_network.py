@@ -3,6 +3,7 @@ import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from tessera.operators import network as N
 from tessera.operators.blocks import array, pack, reduced
 from tessera.operators.models import mlp
 from tessera.operators.network import PerceptronNetwork, block_loss, lbfgs
@@ -74,3 +75,14 @@ def test_penalty_labels_and_errors(spark):
     assert {r[0] for r in free.transform(data).select("prediction").distinct().collect()} <= set(free.classes)
     with pytest.raises(ValueError):
         PerceptronNetwork((8,)).fit(data.where("label = 'c0'"))
+
+
+def test_pieces_share_their_memory_and_give_the_plain_sums():
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(5000, 4)), rng.integers(0, 3, 5000)
+    for sizes in ((4, 60, 3), (4, 60, 50, 3)):
+        theta = rng.normal(size=sum(a * b + b for a, b in zip(sizes, sizes[1:])))
+        whole, x0 = N.block_loss(x, y, theta, sizes), x.copy()
+        assert np.allclose(N.pieces_loss(x, y, theta, sizes), whole, rtol=1e-9, atol=1e-9) and np.array_equal(x, x0)
+        p = N._forward(x, N._layers(theta, sizes))[-1]
+        assert np.isclose(whole[0], -np.log(p[np.arange(5000), y]).sum()) and np.allclose(p.sum(1), 1)
